@@ -10,10 +10,16 @@ from quire.llm.gif import op9_gif_media
 from quire.llm.neighbours import op4_vantage_point_search
 from quire.llm.packing import op5_best_fit_packing
 from quire.llm.secrets import op8_secret_scans
+from quire.llm.simhash import op1_simhash_near_dedup
+from quire.llm.substrings import op2_substring_dedup
+from quire.llm.suffixes import op3_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_simhash_near_dedup,
+        op2_substring_dedup,
+        op3_suffix_array_dedup,
         op4_vantage_point_search,
         op5_best_fit_packing,
         op8_secret_scans,
