@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.gif import op9_gif_media
+from quire.llm.language import op7_language_mixture
 from quire.llm.neighbours import op4_vantage_point_search
 from quire.llm.packing import op5_best_fit_packing
+from quire.llm.pieces import op6_sentencepiece_round_trip
 from quire.llm.secrets import op8_secret_scans
 from quire.llm.simhash import op1_simhash_near_dedup
 from quire.llm.substrings import op2_substring_dedup
 from quire.llm.suffixes import op3_suffix_array_dedup
+from quire.llm.toxicity import op10_toxicity_chain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -22,8 +25,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_suffix_array_dedup,
         op4_vantage_point_search,
         op5_best_fit_packing,
+        op6_sentencepiece_round_trip,
+        op7_language_mixture,
         op8_secret_scans,
         op9_gif_media,
+        op10_toxicity_chain,
     )
 }
 SQL: dict[str, str] = {}
