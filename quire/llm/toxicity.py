@@ -25,9 +25,9 @@ SAMPLE, KNOWN, FOLDS = 12_000, 400, 4
 #: Documents of the sample that a feature must be in.
 SEEN = 5
 #: Weight of the squared coefficients, and steps of accelerated gradient descent.
-RIDGE, STEPS = 1e-3, 200
+RIDGE, STEPS = 1e-4, 400
 #: Word beginnings that are features, in characters.
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6, 7)
 _TOKENS = re.compile(r"\w+|[^\w\s]{2,}")
 STYLE = 5
 _CLASSES = np.array([4 if c.isspace() else 3 if c.isdigit() else 2 if c.isupper() else 1 if c.isalpha() else 0 for c in map(chr, range(0x3000))], np.uint8)
