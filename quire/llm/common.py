@@ -46,6 +46,14 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 2048) -> None:
+    """Hold Arrow batches of this session to so many rows. Batches are counted in rows, so with whole texts in them the
+    default of 10,000 takes hundreds of MB of an executor outside its heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import NULL_ID, cut, order_id
+from quire.llm.common import NULL_ID, cut, order_id, small_batches
 
 #: A key with more rows than this and than a thousandth of all is dealt out by window.
 HEAVY, HEAVY_SHARE = 256, 1000
+#: Documents, or rows of a shuffled table, that a Python worker works on at a time.
+DOCS, ROWS = 2048, 2048
 _I64 = np.int64
 
 
@@ -51,6 +53,13 @@ def _batch(names: str, *cols: np.ndarray | pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names.split())
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, which bounds what a Python worker holds beside its batch."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.uint64)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -65,9 +74,7 @@ def _scatter(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
     """Batches sorted by their first column, regrouped so that no value of it is spread over two groups."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in sliced(batches, ROWS):
         first = batch.column(0).to_numpy(zero_copy_only=False)
         head = int(np.searchsorted(first, first[-1], side="left"))
         if held and first[0] != held[-1].column(0)[-1].as_py():
@@ -91,7 +98,7 @@ def _column(group: list[pa.RecordBatch], i: int) -> np.ndarray:
 
 def _find_anchors(kind: Kind) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, DOCS):
             doc, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             texts = [x.as_py().encode() for x in batch.column(2)]
             row, start, n, key = kind.anchors(texts)
@@ -103,7 +110,8 @@ def _find_anchors(kind: Kind) -> Callable:
             count = np.zeros(len(key), _I64)
             count[order[head]] = counts
             part = np.where(first, key, _scatter(doc[row], start))
-            yield _batch("part key seen doc tag start n", part, key, count, doc[row], tag[row], start.astype(_I64), n.astype(np.int32))
+            # a key that is the part itself needs no second copy
+            yield _batch("part key seen doc tag start n", part, np.where(first, 0, key), count, doc[row], tag[row], start.astype(_I64), n.astype(np.int32))
 
     return run
 
@@ -112,6 +120,7 @@ def _find_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Rows whose key occurs again, and rows with n = 0 that say how often a frequent key occurs (in start)."""
     for group in _groups(batches):
         part, key, seen, doc, tag, start, n = (_column(group, i) for i in range(7))
+        key = np.where(seen > 0, part, key)
         head = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         total = np.add.reduceat(seen, head)
         each = np.repeat(total, np.diff(np.r_[head, len(part)]))
@@ -131,7 +140,7 @@ def _cut_slices(kind: Kind, heavy: frozenset[int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in sliced(batches, DOCS):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tags = batch.column(1).to_numpy(zero_copy_only=False)
             known: dict[tuple[int, bytes], tuple[int, int]] = {}
@@ -140,7 +149,8 @@ def _cut_slices(kind: Kind, heavy: frozenset[int]) -> Callable:
                 doc, tag = int(ids[i]), int(tags[i])
                 rows = batch.column(3)[i].values
                 start, n, key = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n", "key"))
-                order = np.argsort(start, kind="stable")
+                # rows of one document come as often as the document does
+                order = np.unique(np.stack([start, key]), axis=1, return_index=True)[1] if len(start) > 1 else np.arange(len(start))
                 start, n, key = start[order], n[order], key[order]
                 slices = kind.slices(batch.column(2)[i].as_py().encode(), start, n)
                 dealt = np.isin(key, hot) if len(hot) else np.zeros(len(key), bool)
@@ -216,21 +226,27 @@ def _find_later(kind: Kind) -> Callable:
 
 
 def with_spans(docs: DataFrame, doc: str, text: str, kind: Kind) -> DataFrame:
-    """doc_, text_ and spans for every row of docs: the id, the text (null becomes empty), and null or an array of
-    (start, n) runs of windows that also start earlier."""
-    rows = docs.select(order_id(doc).alias("id_"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tag_"), F.coalesce(F.col(text), F.lit("")).alias("text_"))
-    met = rows.mapInArrow(_find_anchors(kind), "part bigint, key bigint, seen bigint, doc bigint, tag bigint, start bigint, n int")
+    """doc_, text_, spans and row_ for every row of docs: the id, the text (null becomes empty), null or an array of
+    (start, n) runs of windows that also start earlier, and a struct of the other columns."""
+    small_batches(docs.sparkSession)
+    twice = docs.groupBy(doc).count().filter("count > 1").limit(1).count()
+    # only ids that have several rows need the text to tell these apart; a literal 0 would be folded into one of the two
+    # joins below, and the exchange of the texts would not be read twice but made twice
+    tag = F.xxhash64(F.coalesce(F.col(text), F.lit(""))) if twice else F.least(F.coalesce(F.length(text), F.lit(0)), F.lit(0)).cast("long")
+    others = [F.col(c) for c in docs.columns if c.lower() != text.lower()]
+    rows = docs.select(order_id(doc).alias("id_"), tag.alias("tag_"), F.coalesce(F.col(text), F.lit("")).alias("text_"), F.struct(*others, F.col(text).isNull().alias("null_")).alias("row_"))
+    met = rows.select("id_", "tag_", "text_").mapInArrow(_find_anchors(kind), "part bigint, key bigint, seen bigint, doc bigint, tag bigint, start bigint, n int")
     repeated = cut(met.repartition("part").sortWithinPartitions("part").mapInArrow(_find_repeated, "key bigint, doc bigint, tag bigint, start bigint, n int"), "repeated")
     count = repeated.filter("n > 0").count()
     heavy = repeated.filter(F.col("n") == 0).filter(F.col("start") > count // HEAVY_SHARE).select("key").limit(HEAVY_SHARE * 2).collect()
-    asked = repeated.filter("n > 0").groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "n", "key")).alias("rows"))
-    # both joins read the same exchange of the texts
-    held = rows.join(asked, (F.col("id_") == F.col("doc")) & (F.col("tag_") == F.col("tag"))).select("id_", "tag_", "text_", "rows")
+    asked = repeated.filter("n > 0").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n", "key")).alias("rows"))
+    # both joins need the same columns of rows, so that they read one exchange of the texts
+    held = rows.join(asked, (F.col("id_") == F.col("doc")) & (F.col("tag_") == F.col("tag"))).select("id_", "tag_", "text_", "rows", "row_")
     slices = held.mapInArrow(_cut_slices(kind, frozenset(r.key for r in heavy)), "route bigint, doc bigint, tag bigint, start bigint, n int, slice binary")
     later = slices.repartition("route").sortWithinPartitions("route").mapInArrow(_find_later(kind), "id_ bigint, tag_ bigint, start bigint, n int")
     spans = later.groupBy("id_", "tag_").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     own = F.when(F.col("id_") != NULL_ID, F.col("id_")).cast(docs.schema[doc].dataType)
-    return rows.join(spans, ["id_", "tag_"], "left").select(own.alias("doc_"), "text_", "spans")
+    return rows.join(spans, ["id_", "tag_"], "left").select(own.alias("doc_"), "text_", "spans", "row_")
 
 
 def covered(spans: list[dict] | None, length: int) -> np.ndarray:

@@ -9,15 +9,17 @@ symbol too. A window's anchor is the symbol of least hash on the highest level t
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.llm.common import table
-from quire.llm.repeats import Kind, _mix, covered, with_spans
+from quire.llm.repeats import Kind, _mix, covered, sliced, with_spans
 
 WINDOW, ROUNDS = 20, 2
 #: Words looked at together, and the context kept on each side of a part of a longer document.
@@ -202,7 +204,7 @@ def removal_digest(docs: DataFrame, key: str, text: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 512):
             total, lost, sha = [], [], []
             for x, s in zip(batch.column(1), batch.column(2), strict=True):
                 words = (x.as_py() or "").encode().split()
@@ -217,5 +219,38 @@ def removal_digest(docs: DataFrame, key: str, text: str) -> DataFrame:
     return found.mapInArrow(run, f"key {kind}, n_words bigint, n_removed bigint, kept_sha256 string").withColumnRenamed("key", key)
 
 
+def remove_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """docs without repeated words: each word that such a window covers goes, with the white space after it. A text that
+    loses nothing stays as it is; one that loses every word leaves a row only if it had none before. All columns stay."""
+    gap = re.compile(rb"[\x20\x09-\x0D]+")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 512):
+            out, lost = [], []
+            for x, s in zip(batch.column(1), batch.column(2), strict=True):
+                if not s.is_valid:
+                    out.append(x.as_py())
+                    lost.append(False)
+                    continue
+                data = x.as_py().encode()
+                words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+                parts, at = [], 0
+                runs = covered(s.as_py(), WINDOW).tolist()
+                for a, b in runs:
+                    parts.append(data[at : words[a][0]])
+                    behind = gap.match(data, words[b - 1][1])
+                    at = behind.end() if behind else words[b - 1][1]
+                parts.append(data[at:])
+                out.append(b"".join(parts).decode())
+                lost.append(sum(b - a for a, b in runs) == len(words))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(lost), batch.column(3)], ["text", "lost", "row_"])
+
+    found = with_spans(docs, key, text, WORDS)
+    inner = found.schema["row_"].dataType.simpleString()
+    kept = found.mapInArrow(run, f"text string, lost boolean, row_ {inner}").filter("NOT lost")
+    back = F.when(~F.col("row_.null_"), F.col("text")).alias(text)
+    return kept.select(*(back if c.lower() == text.lower() else F.col("row_")[c].alias(c) for c in docs.columns))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removal_digest(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return removal_digest(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")

@@ -3,7 +3,7 @@
 LPF[i] is the length of the longest string at i that also starts at an earlier place. In suffix order the best such place
 is the previous or the next suffix with a smaller place (PSV or NSV), so LPF[i] is the larger of the two common prefixes.
 A byte goes if it is within 100 bytes from an i with LPF[i] >= 100; the earliest copy stays. What shares an anchor (the
-24 bytes of least hash in each 100-byte string) is gathered first, and the arrays are built over such groups.
+20 bytes of least hash in each 100-byte string) is gathered first, and the arrays are built over such groups.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.common import table
-from quire.llm.repeats import Kind, _mix, covered, with_spans
+from quire.llm.repeats import Kind, _mix, covered, sliced, with_spans
 
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM = 100, 20
 #: Bytes hashed together.
 PART = 1 << 20
 _U = np.uint64
@@ -157,7 +157,7 @@ def removal_digest(docs: DataFrame, key: str, text: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 512):
             total, lost, n_spans, sha = [], [], [], []
             for x, s in zip(batch.column(1), batch.column(2), strict=True):
                 data = (x.as_py() or "").encode()
@@ -174,4 +174,4 @@ def removal_digest(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removal_digest(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return removal_digest(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
