@@ -27,10 +27,12 @@ from quire.llm.common import table
 MARK = "▁"
 #: Remembered verdicts on neighbouring pieces, and remembered words; beyond that the memory is emptied.
 MEMORY, WORDS = 1_000_000, 500_000
+#: Documents whose words are encoded together.
+DOCS = 8192
 
 
 class Pieces:
-    """A vocabulary: pieces, their scores, and the ids of the 256 byte pieces."""
+    """A vocabulary: pieces, their scores, and the ids of the 256 byte pieces. A character without a piece has the symbol -1 - its code."""
 
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: list[int], special: set[int], bpe: bool) -> None:
         self.pieces, self.scores, self.byte_ids, self.bpe = pieces, scores, byte_ids, bpe
@@ -42,39 +44,66 @@ class Pieces:
                 lengths.setdefault(p[-3:], {2, 1}).add(len(p))
         #: Lengths that pieces ending in three given characters may have, longest first.
         self.ending = {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}
-        self.known: dict[str, list[int]] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, bytes] = {}
+        self.fits: dict[int | None, dict[int, bool]] = {}
+        self.judged = 0
         self.byte_of = {i: b for b, i in enumerate(byte_ids)}
+        #: What each piece adds to a decoded text; None for byte pieces.
+        self.shown = [None if i in self.byte_of else p.replace(MARK, " ") for i, p in enumerate(pieces)]
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has a mark after another character, so words do not encode on their own")
 
+    def spelled(self, symbol: int) -> str:
+        return self.pieces[symbol] if symbol >= 0 else chr(-1 - symbol)
+
     def merged(self, text: str) -> list[str]:
         """The merges themselves: again and again the neighbours whose union scores highest, the leftmost of equals."""
-        parts = [*text]
+        parts, get, scores = [*text], self.ids.get, self.scores
+        ranks = [get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
         while True:
             best, at = None, -1
-            for i in range(len(parts) - 1):
-                k = self.ids.get(parts[i] + parts[i + 1])
-                if k is not None and (best is None or self.scores[k] > best):
-                    best, at = self.scores[k], i
+            for i, k in enumerate(ranks):
+                if k is not None and (best is None or scores[k] > best):
+                    best, at = scores[k], i
             if at < 0:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def fit(self, left: str, right: str) -> bool:
-        """Whether merging left + right leaves just these two (or right alone, if left is empty)."""
-        key = (left, right)
-        known = self.fits.get(key)
-        if known is None:
-            if len(self.fits) >= MEMORY:
-                self.fits.clear()
-            known = self.fits[key] = self.merged(left + right) == ([left, right] if left else [right])
-        return known
-
-    def ids_of(self, symbol: str) -> list[int]:
-        """A piece's id, or the byte pieces of a character that has none."""
-        k = self.ids.get(symbol)
-        return [k] if k is not None else [self.byte_ids[b] for b in symbol.encode()]
+            ranks[at : at + 1] = []
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + parts[at])
+            if at < len(ranks):
+                ranks[at] = get(parts[at] + parts[at + 1])
+
+    def beside(self, left: int | None) -> dict[int, bool]:
+        """What is known of the pieces that may follow left (None: nothing)."""
+        return self.fits.setdefault(left, {})
+
+    def judge(self, left: int | None, right: int) -> bool:
+        """Whether merging both leaves just these two, or right alone if there is no left; remembered in beside(left)."""
+        b = self.spelled(right)
+        whole = [b] if left is None else [self.spelled(left), b]
+        verdict = self.merged("".join(whole)) == whole
+        self.fits[left][right] = verdict
+        self.judged += 1
+        return verdict
+
+    def forget(self) -> None:
+        """Empty what has grown beyond its limit; called between batches."""
+        if self.judged > MEMORY:
+            self.fits.clear()
+            self.judged = 0
+        if len(self.known) > WORDS:
+            self.known.clear()
+
+    def coded(self, symbols: list[int]) -> bytes:
+        """Little-endian 32-bit ids of symbols; a character without a piece gives its bytes' pieces."""
+        ids: list[int] = []
+        for k in symbols:
+            if k >= 0:
+                ids.append(k)
+            else:
+                ids += [self.byte_ids[b] for b in chr(-1 - k).encode()]
+        return np.array(ids, "<i4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -88,12 +117,13 @@ def load(path: str, bpe: bool = True) -> Pieces:
     return Pieces(names, [m.get_score(i) for i in range(n)], [bytes_[f"<0x{b:02X}>"] for b in range(256)], {i for i in range(n) if m.is_control(i) or m.is_unknown(i) or m.is_unused(i)}, bpe)
 
 
-def encode_words(vocab: Pieces, words: list[str]) -> dict[str, list[int]]:
-    """The ids of distinct words. columns[i] stands for the first i characters: (sum of scores, last piece, place before it)."""
-    ids, scores, ending, fits = vocab.ids, vocab.scores, vocab.ending, vocab.fits
+def encode_words(vocab: Pieces, words: list[str]) -> dict[str, bytes]:
+    """The ids of distinct words. Column i stands for the first i characters: the last piece's symbol, where that piece
+    begins, and the sum of scores (unigram) or what may follow the piece (BPE)."""
+    get, scores, ending, bpe, short = vocab.ids.get, vocab.scores, vocab.ending, vocab.bpe, (2, 1)
     floor = min(scores, default=0.0) - 10.0  # of a character that only byte pieces give
-    out: dict[str, list[int]] = {}
-    columns: list[tuple[float, str, int]] = [(0.0, "", 0)]
+    out: dict[str, bytes] = {}
+    columns: list[tuple] = [(None, 0, vocab.beside(None) if bpe else 0.0)]
     before = ""
     for word in sorted(words):
         shared = 0
@@ -104,34 +134,35 @@ def encode_words(vocab: Pieces, words: list[str]) -> dict[str, list[int]]:
         del columns[shared + 1 :]
         for i in range(shared + 1, len(word) + 1):
             best = None
-            for length in ending.get(word[i - 3 : i], (2, 1)) if i > 2 else (2, 1):
+            for length in ending.get(word[i - 3 : i], short) if i > 2 else short:
                 j = i - length
                 if j < 0:
                     continue
-                symbol = word[j:i]
-                k = ids.get(symbol)
-                if k is None and length > 1:
-                    continue
-                total, last, _ = columns[j]
-                if vocab.bpe:
-                    # the first piece must be what its characters merge to; behind another, the two together must
-                    verdict = fits.get((last, symbol))
+                k = get(word[j:i])
+                if k is None:
+                    if length > 1:
+                        continue
+                    k = -1 - ord(word[j])
+                left, _, forward = columns[j]
+                if bpe:
+                    verdict = forward.get(k)
                     if verdict is None:
-                        verdict = vocab.fit(last, symbol)
+                        verdict = vocab.judge(left, k)
                     if verdict:
-                        best = (0.0, symbol, j)
+                        best = (k, j, vocab.beside(k))
                         break
                 else:
-                    value = total + (scores[k] if k is not None else floor)
-                    if best is None or value > best[0]:
-                        best = (value, symbol, j)
+                    value = forward + (scores[k] if k >= 0 else floor)
+                    if best is None or value > best[2]:
+                        best = (k, j, value)
             columns.append(best)
-        parts = []
+        symbols = []
         i = len(word)
         while i:
-            parts.append(columns[i][1])
-            i = columns[i][2]
-        out[word] = [k for p in reversed(parts) for k in vocab.ids_of(p)]
+            k, i, _ = columns[i]
+            symbols.append(k)
+        symbols.reverse()
+        out[word] = vocab.coded(symbols)
         before = word
     return out
 
@@ -146,26 +177,20 @@ def marked(text: str) -> list[str]:
 
 def encode_texts(vocab: Pieces, texts: list[str]) -> list[np.ndarray]:
     spoken = [marked(t) for t in texts]
+    vocab.forget()
     known = vocab.known
-    if len(known) > WORDS:
-        known.clear()
     known |= encode_words(vocab, [*{w for s in spoken for w in s}.difference(known)])
-    out = []
-    for s in spoken:
-        ids: list[int] = []
-        for w in s:
-            ids += known[w]
-        out.append(np.array(ids, np.int32))
-    return out
+    return [np.frombuffer(b"".join(map(known.__getitem__, s)), "<i4") for s in spoken]
 
 
 def decode_ids(vocab: Pieces, ids: list[int]) -> str:
     """Text of ids: byte pieces in a row are UTF-8 (what is not becomes U+FFFD), marks become spaces, the first is dropped."""
-    parts: list[bytes] = []
-    for k in ids:
-        b = vocab.byte_of.get(k)
-        parts.append(bytes((b,)) if b is not None else vocab.pieces[k].replace(MARK, " ").encode())
-    text = b"".join(parts).decode(errors="replace")
+    parts = [vocab.shown[k] for k in ids]
+    if None in parts:
+        byte_of = vocab.byte_of
+        text = b"".join(bytes((byte_of[k],)) if p is None else p.encode() for p, k in zip(parts, ids, strict=True)).decode(errors="replace")
+    else:
+        text = "".join(parts)
     return text[1:] if text.startswith(" ") else text
 
 
@@ -177,8 +202,8 @@ def encode(docs: DataFrame, key: str, text: str, model: str | None = None, bpe:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _vocabulary(model, bpe)
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
+            for i in range(0, batch.num_rows, DOCS):
+                part = batch.slice(i, DOCS)
                 texts = part.column(1).to_pylist()
                 coded = encode_texts(vocab, [t or "" for t in texts])
                 ids = pa.array([None if t is None else c for t, c in zip(texts, coded, strict=True)], pa.list_(pa.int32()))
@@ -214,8 +239,8 @@ def round_trip(docs: DataFrame, key: str, text: str, model: str | None = None) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _vocabulary(model, True)
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
+            for i in range(0, batch.num_rows, DOCS):
+                part = batch.slice(i, DOCS)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 coded = encode_texts(vocab, texts)
                 back = [decode_ids(vocab, c.tolist()) for c in coded]
