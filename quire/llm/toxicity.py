@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
+from quire.llm.common import small_batches, table
 from quire.llm.language import held_out
 
 #: Labelled documents that the chain is fitted on at most, those of least hash; features that a model knows; folds.
-SAMPLE, KNOWN, FOLDS = 12_000, 400, 4
+SAMPLE, KNOWN, FOLDS = 5_000, 400, 4
 #: Documents of the sample that a feature must be in.
 SEEN = 5
 #: Weight of the squared coefficients, and steps of accelerated gradient descent.
@@ -172,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: d
 
     Label rows with a null are left out; of several rows for one key each category takes the largest value.
     """
+    small_batches(docs.sparkSession)
     named = labels.select(F.col(key), *(F.expr(c).cast("int").alias(n) for n, c in categories.items())).na.drop()
     named = named.groupBy(key).agg(*(F.max(n).alias(n) for n in categories))
     chosen = named.orderBy(F.xxhash64(key), key).limit(sample)
