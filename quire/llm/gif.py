@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import table
+from quire.llm.common import small_batches, table
 
 WIDTH = 64
 #: Rows of a frame at most; longer payloads take more frames.
@@ -287,6 +287,7 @@ def store_payload(df: DataFrame, key: str, text: str) -> DataFrame:
                 media = [encode_gif(x.ljust(max(WIDTH, -(-len(x) // WIDTH) * WIDTH), b"\0")) for x in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(media, pa.binary())], ["key", "n_bytes", "media"])
 
+    small_batches(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     return df.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(pack, f"key {kind}, n_bytes bigint, media binary").withColumnRenamed("key", key)
 

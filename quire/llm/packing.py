@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, table
+from quire.llm.common import cut, small_batches, table
 
 MAX_TOKENS = 2048
 #: A shard of the packing holds about this many full sequences, and no more than so many pieces on average.
@@ -72,6 +72,7 @@ def tokenize(docs: DataFrame, key: str, text: str, most: int = MAX_TOKENS, ranks
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take, pa.int64())), *map(pa.array, cols, kinds)], ["key", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(encode, f"key {kind}, {PIECES}").withColumnRenamed("key", key)
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import table
+from quire.llm.common import small_batches, table
 
 MARK = "▁"
 #: Remembered verdicts on neighbouring pieces, and remembered words; beyond that the memory is emptied.
@@ -252,6 +252,7 @@ def round_trip(docs: DataFrame, key: str, text: str, model: str | None = None) -
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["key", "n_pieces", "ids_crc32", "decoded_sha256", "same"])
 
+    small_batches(docs.sparkSession, DOCS)
     kind = docs.schema[key].dataType.simpleString()
     return docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(run, f"key {kind}, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, same boolean").withColumnRenamed("key", key)
 

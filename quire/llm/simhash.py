@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, table
+from quire.llm.common import cut, small_batches, table
 from quire.llm.components import components
 
 SEED, BITS = 42, 2
@@ -49,6 +49,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, size: int = 3) -> DataFra
             fp = np.fromiter((fingerprint(x.as_py(), size) for x in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["key", "fp"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(run, f"key {kind}, fp bigint").withColumnRenamed("key", key)
 
