@@ -13,6 +13,7 @@ from quire.llm.packing import op5_best_fit_packing
 from quire.llm.pieces import op6_sentencepiece_round_trip
 from quire.llm.secrets import op8_secret_scans
 from quire.llm.simhash import op1_simhash_near_dedup
+from quire.llm.sql import SQL  # noqa: F401
 from quire.llm.substrings import op2_substring_dedup
 from quire.llm.suffixes import op3_suffix_array_dedup
 from quire.llm.toxicity import op10_toxicity_chain
@@ -32,4 +33,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity_chain,
     )
 }
-SQL: dict[str, str] = {}
