@@ -186,12 +186,165 @@ def near_duplicates(docs: DataFrame, key: str, text: str, size: int = 3) -> Data
     return fps.join(classes, "fp").select(key, "fp", "component")
 
 
-def keep_one(docs: DataFrame, key: str, text: str, size: int = 5) -> DataFrame:
-    """docs with one row of each group of near-duplicates, the one with the smallest key; repeats of a key count as copies."""
-    kept = near_duplicates(docs, key, text, size).filter(F.col(key).eqNullSafe(F.col("component"))).select(F.col(key).alias("__kept")).distinct()
+# Near copies further apart ------------------------------------------------------------------------------------------
+#
+# At a similarity of 0.8 about 15 % of the bits differ, too many for the anchors of one fingerprint. A signature of 512
+# bits is cut into 16 words of 31; each has its own perfect Hamming code and is replicated to the 16 anchors within
+# covering radius plus half a threshold of 2. Near copies meet in some word with high probability (0.89 at a similarity of
+# 0.8, 0.95 at 0.83), and what meets is compared on all 512 bits.
+
+WORDS, BITS_OF_WORD = 16, 31
+_SALTS = [np.uint64(x) for x in (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
+#: Buckets up to this size are compared pair by pair, in larger ones all are compared with the CENTRES nearest to the anchor.
+SMALL, CENTRES = 8, 4
+#: Of 17 bits of another word so many may differ before the whole signatures are fetched.
+ROUGH = 6
+
+
+def _mixed(h: np.ndarray, salt: np.uint64) -> np.ndarray:
+    x = (h ^ salt) * np.uint64(0xFF51AFD7ED558CCD)
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
+
+
+def signature(text: str | None, size: int) -> bytes:
+    """A SimHash of 512 bits over the text's word shingles, from eight mixes of each shingle's XXH64; zero for no word."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return bytes(64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
+    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64)
+    ones = np.zeros(512, np.int64)
+    for i in range(0, len(h), 255 * 32):
+        part = h[i : i + 255 * 32]
+        rows = np.stack([_mixed(part, s) for s in _SALTS], axis=1)
+        bits = np.unpackbits(rows.astype("<u8").view(np.uint8).reshape(len(part), 64), axis=1, bitorder="little")
+        for j in range(0, len(part), 255):
+            ones += np.add.reduce(bits[j : j + 255], axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(h), bitorder="little").tobytes()
+
+
+def _word_tables() -> tuple[np.ndarray, np.ndarray]:
+    """For each syndrome of the code on 31 bits the 16 error patterns to anchors within 2 (the single bit first), and the
+    patterns' codes of 10 bits: the numbers of their bits."""
+    masks, codes = np.zeros((32, 16), np.uint64), np.zeros((32, 16), np.uint64)
+    for s in range(1, 32):
+        pairs = [(s, 0), *((i, i ^ s) for i in range(1, 32) if i < i ^ s and i != s)]
+        masks[s] = [(1 << (i - 1)) | (1 << (j - 1) if j else 0) for i, j in pairs]
+        codes[s] = [i | j << 5 for i, j in pairs]
+    return masks, codes
+
+
+_WORD_MASKS, _WORD_CODES = _word_tables()
+_WORD_CHECKS = [np.uint64(sum(1 << (i - 1) for i in range(1, 32) if i >> b & 1)) for b in range(5)]
+_PATTERN = np.array([(1 << (c & 31) >> 1 if c & 31 else 0) | (1 << (c >> 5) >> 1 if c >> 5 else 0) for c in range(1024)], np.uint64)
+
+
+def meeting_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For words (signatures, 16) of 31 bits: (row, key). A key holds from the top the word's number, the anchor, the error
+    pattern (10 bits) and 17 bits of the next word."""
+    rows, keys = [], []
+    for t in range(WORDS):
+        x, rough = words[:, t], words[:, (t + 1) % WORDS] & np.uint64((1 << 17) - 1)
+        s = np.zeros(len(x), np.int64)
+        for b, mask in enumerate(_WORD_CHECKS):
+            s |= (np.bitwise_count(x & mask).astype(np.int64) & 1) << b
+        head = (np.uint64(t) << np.uint64(58)) | rough
+        exact, other = np.flatnonzero(s == 0), np.flatnonzero(s)
+        rows += [exact, np.repeat(other, 16)]
+        at = x[other][:, None] ^ _WORD_MASKS[s[other]]
+        keys += [head[exact] | x[exact] << np.uint64(27), (head[other][:, None] | at << np.uint64(27) | _WORD_CODES[s[other]] << np.uint64(17)).ravel()]
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _candidates(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes at one anchor whose words differ in 2 bits at most. Rows are sorted by key."""
+    bucket = key >> np.uint64(27)
+    pattern = _PATTERN[(key >> np.uint64(17)).astype(np.int64) & 1023]
+    rough = key & np.uint64((1 << 17) - 1)
+    heads = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    sizes = np.diff(np.r_[heads, len(key)])
+    left, right = [], []
+
+    def put(i: np.ndarray, j: np.ndarray) -> None:
+        near = (np.bitwise_count(pattern[i] ^ pattern[j]) <= BITS) & (np.bitwise_count(rough[i] ^ rough[j]) <= ROUGH) & (node[i] != node[j])
+        left.append(np.minimum(node[i], node[j])[near])
+        right.append(np.maximum(node[i], node[j])[near])
+
+    large = np.repeat(sizes > SMALL, sizes)
+    for step in range(1, SMALL):
+        i = np.flatnonzero((bucket[step:] == bucket[:-step]) & ~large[step:])
+        put(i, i + step)
+    for h, n in zip(heads[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        rows = np.arange(h, h + n)
+        for c in rows[np.lexsort((node[rows], np.bitwise_count(pattern[rows])))[:CENTRES]]:
+            put(rows, np.full(n, c))
+    pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1) if left else np.empty((2, 0), np.int64)
+    return pairs[0], pairs[1]
+
+
+def limit_of(similarity: float) -> int:
+    """Differing bits of 512 that are expected at a Jaccard similarity, and a standard deviation more, so that five in six of the
+    pairs just as similar are within."""
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(512 * p + (512 * p * (1 - p)) ** 0.5)
+
+
+def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(node, root): the smallest key of each distinct signature, and the smallest key of its group. Null keys take no part.
+
+    Near copies are linked if their signatures are as alike as those of sets of shingles with the given similarity. Copies are
+    one node; a bucket sends each node a few candidates, so large groups give rows in proportion."""
+    small_batches(docs.sparkSession)
+    most = limit_of(similarity)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signature(x.as_py(), size) for x in batch.column(1)], pa.binary())], ["doc", "sig"])
+
+    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch.column(0).to_numpy(zero_copy_only=False)
+            half = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, WORDS)
+            rows, keys = meeting_keys((half & ((1 << BITS_OF_WORD) - 1)).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[rows])], ["key", "node"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.int64)]
+        for batch in batches:
+            key = np.r_[rest[0], batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]
+            node = np.r_[rest[1], batch.column(1).to_numpy(zero_copy_only=False)]
+            bucket = key >> np.uint64(27)
+            whole = int(np.searchsorted(bucket, bucket[-1], side="left")) if len(key) else 0
+            x, y = _candidates(key[:whole], node[:whole]) if whole else (rest[1][:0], rest[1][:0])
+            rest = [key[whole:], node[whole:]]
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+        if len(rest[0]):
+            x, y = _candidates(*rest)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 8) for i in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= most))
+
+    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    nodes = cut(rows.mapInArrow(sign, "doc bigint, sig binary").groupBy("sig").agg(F.min("doc").alias("node")).select("node", "sig"), "signatures")
+    dealt = nodes.mapInArrow(replicate, "key bigint, node bigint").repartition(F.shiftrightunsigned("key", 27)).sortWithinPartitions("key")
+    pairs = cut(dealt.mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
+    sig = lambda end: nodes.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
+    linked = pairs.join(sig("x"), "x").join(sig("y"), "y").select("x", "y", "sig_x", "sig_y").mapInArrow(verify, "x bigint, y bigint")
+    roots = components(linked)
+    return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of each group of near copies, the one with the smallest key; rows that repeat a key count as copies,
+    rows without a key stay."""
+    kept = cut(similar_groups(docs, key, text, size, similarity).filter("node = root").select(F.col("node").alias("__kept")), "kept")
     first = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    stays = docs.join(kept, F.col(key).eqNullSafe(F.col("__kept")), "left_semi")
-    return stays.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
+    stays = docs.filter(F.col(key).isNotNull()).join(kept, F.col(key).cast("long") == F.col("__kept"), "left_semi")
+    stays = stays.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
+    return stays.unionByName(docs.filter(F.col(key).isNull()))
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,6 +131,37 @@ def test_anchor_links(pairwise, monkeypatch):
     assert brute.components(fp.tolist(), lambda a, b: (a, b) in pairs or (b, a) in pairs) == want
 
 
+def test_similar_groups(spark):
+    r = random.Random(20)
+    docs, kinds = [], {}
+    for g in range(12):
+        base = [f"b{r.randrange(10**6)}" for _ in range(400)]
+        for k in range(6):
+            words = list(base)
+            for _ in range(k % 3 * 2):  # up to four of 400 words differ: a similarity of 0.9
+                words[r.randrange(400)] = f"c{r.random()}"
+            docs.append((g * 10 + k, " ".join(words)))
+            kinds[g * 10 + k] = g
+    docs += [(900, None), (901, ""), (None, docs[0][1]), (None, None), (902, "one two"), (903, "one three"), (0, docs[0][1])]
+    frame_ = frame(spark, docs)
+    got = {x.node: x.root for x in simhash.similar_groups(frame_, "doc_id", "text").collect()}
+    assert all(kinds[n] == kinds[m] for n, m in got.items() if n in kinds)
+    assert sum(got[n] == kinds[n] * 10 for n in got if n in kinds) >= 0.95 * sum(n in kinds for n in got)
+    assert got[902] == 902 and got[903] == 903 and got[900] == 900 and 901 not in got
+    kept = [x.doc_id for x in simhash.keep_one(frame_, "doc_id", "text").collect()]
+    assert kept.count(None) == 2 and kept.count(0) == 1 and {900, 902, 903} <= {*kept} and 901 not in kept
+    assert simhash.keep_one(frame_.limit(0), "doc_id", "text").count() == 0
+
+
+def test_word_anchors_cover():
+    rng = np.random.default_rng(21)
+    words = rng.integers(0, 1 << 31, (1, 16), dtype=np.uint64)
+    for flips in [(3,), (3, 9), (0, 30)]:
+        other = words ^ np.uint64(sum(1 << f for f in flips))
+        a, b = ({int(k) >> 27 for k in simhash.meeting_keys(w)[1]} for w in (words, other))
+        assert len({k >> 31 for k in a & b}) == 16
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(6, 60)] + [(70, 70), (81, 80), (80, 81)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "x long, y long")).collect()}
