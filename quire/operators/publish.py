@@ -46,7 +46,7 @@ def subentries_by_scope(subs: DataFrame, scope: DataFrame) -> DataFrame:
 def removals(nodes: DataFrame, target: str) -> DataFrame:
     """nodes that a target never has: navigation menus for print, duplicates or aggregates, empty titles, images for text."""
     empty_title = (F.col("name") == "title") & (F.trim(F.coalesce("text", F.lit(""))) == "")
-    drop = {"sword": (F.col("type") == "x-navmenu") | (F.col("type") == "x-aggregate"), "ebook": F.col("type") == "x-duplicate", "text": F.col("name") == "figure"}[target]
+    drop = {"module": (F.col("type") == "x-navmenu") | (F.col("type") == "x-aggregate"), "ebook": F.col("type") == "x-duplicate", "text": F.col("name") == "figure"}[target]
     return nodes.filter(~(F.coalesce(drop, F.lit(False)) | F.coalesce(empty_title, F.lit(False))))
 
 

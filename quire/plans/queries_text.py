@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import integrity, publish, ranges, references, terms, verses
+from quire.operators import integrity, publish, quality, ranges, references, terms, verses
 from quire.plans import graph
 from quire.plans.queries import load, query
 from quire.sources import commands, conf, xml
@@ -357,7 +357,7 @@ def ancestor_pairs(spark, d):  # JN12, F1
 
 @query("SELECT n.s_suppkey FROM supplier n WHERE NOT EXISTS (SELECT 1 FROM supplier a WHERE a.s_nationkey % 5 = 0 AND a.s_suppkey // 10 = n.s_suppkey // 10 AND a.s_suppkey <= n.s_suppkey AND n.s_suppkey <= a.s_suppkey + a.s_nationkey % 4)")
 def conversion_marks(spark, d):  # F5, F2
-    n = load(spark, d, "supplier").select(F.floor(F.col("s_suppkey") / 10).alias("work"), F.col("s_suppkey").alias("pre"), (F.col("s_suppkey") + F.col("s_nationkey") % 4).alias("post"), F.when(F.col("s_nationkey") % 5 == 0, F.array(F.lit("sword"))).otherwise(F.array().cast("array<string>")).alias("marks"))
+    n = load(spark, d, "supplier").select(F.floor(F.col("s_suppkey") / 10).alias("work"), F.col("s_suppkey").alias("pre"), (F.col("s_suppkey") + F.col("s_nationkey") % 4).alias("post"), F.when(F.col("s_nationkey") % 5 == 0, F.array(F.lit("module"))).otherwise(F.array().cast("array<string>")).alias("marks"))
     return integrity.conversion_filter(n, F.col("marks"), F.array().cast("array<string>"), ["epub"]).select(F.col("pre").alias("s_suppkey"))
 
 
@@ -431,3 +431,93 @@ def settings_with_defaults(spark, d):  # SC14
 def default_files(spark, d):  # SC18, SC20
     p = load(spark, d, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("path"), F.col("p_retailprice").alias("priority"))
     return conf.default_file(p)
+
+
+# quality -----------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT check_, location, message FROM (
+SELECT 'missing target' AS check_, CAST(o_orderkey AS VARCHAR) AS location, CAST(o_custkey AS VARCHAR) AS message FROM orders WHERE o_orderstatus <> 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0)
+UNION ALL SELECT 'outside verse system', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'repeated id', CAST(id AS VARCHAR), CAST(count(*) AS VARCHAR) FROM (SELECT c_custkey AS id FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 > 0) GROUP BY id HAVING count(*) > 1)""")
+def integrity_suite(spark, d):  # DQ2
+    refs = load(spark, d, "orders").select(F.col("o_orderkey").alias("location"), F.col("o_custkey").alias("target"), (F.col("o_orderstatus") == "F").alias("is_verse"))
+    ids = load(spark, d, "customer").select(F.col("c_custkey").alias("id")).filter("id % 3 > 0").unionByName(load(spark, d, "supplier").select(F.col("s_suppkey").alias("id")).filter("id % 3 > 0"))
+    return quality.integrity_suite(refs, ids, load(spark, d, "supplier").select(F.col("s_suppkey").alias("id"))).select(F.col("check").alias("check_"), "location", "message")
+
+
+@query("SELECT o_orderkey, o_custkey IN (SELECT s_suppkey FROM supplier) AS in_system FROM orders")
+def verse_system_ids(spark, d):  # SF17
+    return quality.in_verse_system(load(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", load(spark, d, "supplier").select(F.col("s_suppkey").alias("id"))).select("o_orderkey", "in_system")
+
+
+@query("SELECT l_orderkey, CASE WHEN a <> 'skip' THEN a END AS last_book, CASE WHEN b <> 'skip' THEN b END AS first_book FROM (SELECT l_orderkey, max_by(v, r) AS a, min_by(v, r) AS b FROM (SELECT l_orderkey, lpad(CAST(l_linenumber * 100000 + l_partkey AS VARCHAR), 9, '0') || l_suppkey AS r, CASE WHEN l_returnflag = 'R' THEN 'skip' ELSE l_returnflag END AS v FROM lineitem) GROUP BY 1)")
+def rule_overrides(spark, d):  # F3, F4
+    m = load(spark, d, "lineitem").select("l_orderkey", F.concat(F.lpad((F.col("l_linenumber") * 100000 + F.col("l_partkey")).cast("string"), 9, "0"), F.col("l_suppkey").cast("string")).alias("r"), F.when(F.col("l_returnflag") == "R", "skip").otherwise(F.col("l_returnflag")).alias("v"))
+    last, first = quality.override(m, "l_orderkey", "r", "v", True), quality.override(m, "l_orderkey", "r", "v", False)
+    return last.withColumnRenamed("v", "last_book").join(first.withColumnRenamed("v", "first_book"), "l_orderkey")
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'click' THEN coalesce(CASE WHEN value < 5 THEN -1 END, last_value(CASE WHEN event_type = 'view' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) END AS target FROM events")
+def note_targets(spark, d):  # AN15
+    e = load(spark, d, "events").select(F.lit("w").alias("work"), F.col("user_id").alias("book"), F.col("event_id").alias("pre"), F.when(F.col("event_type") == "view", "verse").when(F.col("event_type") == "click", "note").otherwise("x").alias("name"), F.col("event_id").alias("id"), F.when(F.col("value") < 5, -1).cast("long").alias("annotate_ref"))
+    return quality.note_targets(e).select(F.col("pre").alias("event_id"), "target")
+
+
+@query("SELECT doc_id, regexp_extract(text, '([$][$]+|[#][#]+)', 1) AS first, CAST(len(regexp_extract_all(text, '[$][$]+|[#][#]+')) AS BIGINT) AS n FROM documents WHERE regexp_matches(text, '[$][$]+|[#][#]+')")
+def leftover_markup(spark, d):  # DQ10
+    return quality.leftover_markup(load(spark, d, "documents"), "doc_id", "text", "[$][$]+|[#][#]+")
+
+
+@query("SELECT doc_id FROM documents WHERE contains(text, 'ei')")
+def changed_texts(spark, d):  # DQ11: adding markup changes nothing, replacing letters does
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    after = docs.withColumn("text", F.concat(F.lit("<p>"), F.replace("text", F.lit("ei"), F.lit("EI")), F.lit("</p>")))
+    return quality.changed_texts(docs, after, "doc_id", "text")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS location FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def dropped_material(spark, d):  # DQ13
+    return quality.dropped_material(load(spark, d, "documents").select("doc_id"), load(spark, d, "labels"), "doc_id").select("location")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey AS target FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'ECONOMY' AND p_size < 5)")
+def misused_aggregates(spark, d):  # JN19
+    refs = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("target"))
+    return quality.misused_aggregates(refs, load(spark, d, "part").filter("p_type = 'ECONOMY' AND p_size < 5").select(F.col("p_partkey").alias("id"))).select("l_orderkey", "l_linenumber", "target")
+
+
+@query("SELECT conv_id AS work, turn AS pre, CASE WHEN conv_id % 2 = 0 THEN turn = min(turn) OVER w ELSE turn = max(turn) OVER w END AS holds_toc FROM conversations WINDOW w AS (PARTITION BY conv_id, role)")
+def toc_places(spark, d):  # RD4
+    c = load(spark, d, "conversations").select(F.col("conv_id").alias("work"), F.col("role").alias("parent"), F.col("turn").alias("pre"), F.when(F.col("conv_id") % 2 == 0, "first").otherwise("last").alias("place"))
+    return quality.toc_places(c).select("work", "pre", "holds_toc")
+
+
+@query("SELECT p_partkey, p_brand || '-' || p_size || '.html' AS file, regexp_replace(p_name, '(?i)BOLT', 'nut', 'g') AS name FROM part")
+def file_names(spark, d):  # UX2, UX5
+    return load(spark, d, "part").select("p_partkey", quality.file_name("{p_brand}-{p_size}.html").alias("file"), quality.rewrite(F.col("p_name"), [("BOLT", "nut", "i")]).alias("name"))
+
+
+@query("SELECT s_suppkey, s_name, n_name FROM supplier, (SELECT n_name FROM nation WHERE n_nationkey = 3)")
+def fanned_out_calls(spark, d):  # JN20
+    return quality.calls(load(spark, d, "nation").filter("n_nationkey = 3").select("n_name"), load(spark, d, "supplier").select("s_suppkey", "s_name"))
+
+
+@query("SELECT o_orderkey AS path FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def used_files(spark, d):  # SK12
+    return quality.used_files(load(spark, d, "orders").select(F.col("o_orderkey").alias("path")), load(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("src")))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'own' ELSE 'main' END AS value FROM customer")
+def header_settings(spark, d):  # SC23
+    c = load(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("work"))
+    rows = c.select("work", F.lit("Title").alias("key"), F.lit("main").alias("value")).unionByName(c.filter("work % 3 = 0").select("work", F.concat("work", F.lit("+Title")).alias("key"), F.lit("own").alias("value")))
+    return quality.header_conf(rows).select(F.col("work").cast("long").alias("c_custkey"), "value")
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n_sessions FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS b FROM events) WHERE b IS NULL OR ts - b >= INTERVAL 30 MINUTE GROUP BY user_id")
+def event_sessions(spark, d):  # an extension: sessions by time
+    from quire.streaming.sessions import session_counts
+
+    return session_counts(load(spark, d, "events"), "user_id", "ts").groupBy("user_id").agg(F.count("*").alias("n_sessions"))
