@@ -72,7 +72,7 @@ def in_context(atoms: DataFrame, sets: DataFrame, rule: str) -> DataFrame:
     """JN9: atoms (column atom) that a rule's set admits: the set has `all`, the atom, or the atom's book.
 
     The OR is split into equi-joins. sets: (rule, value). Result: atoms' columns and rule, distinct."""
-    every = atoms.crossJoin(F.broadcast(sets.filter(F.lower("value") == "all").select(rule).distinct().limit(1_000)))
+    every = atoms.crossJoin(sets.filter(F.lower("value") == "all").select(rule).distinct())
     exact = atoms.join(sets.select(rule, F.col("value").alias("__v")), F.col("atom") == F.col("__v")).drop("__v")
     book = atoms.join(sets.select(rule, F.col("value").alias("__v")), F.substring_index("atom", ".", 1) == F.col("__v")).drop("__v")
     return every.unionByName(exact).unionByName(book).distinct()

@@ -21,7 +21,7 @@ def by_scope(nodes: DataFrame, publications: DataFrame) -> DataFrame:
     Nodes outside books stay in every publication; `is_first_book` marks the nodes of the first book left, for what is relocated there."""
     books = publications.select("pub_id", F.explode("books").alias("book"))
     kept = nodes.filter("book IS NOT NULL").join(books, "book")
-    loose = nodes.filter("book IS NULL").crossJoin(F.broadcast(publications.select("pub_id").limit(10_000)))
+    loose = nodes.filter("book IS NULL").crossJoin(publications.select("pub_id"))
     every = kept.unionByName(loose)
     first = F.min_by("book", F.when(F.col("book").isNotNull(), F.col("pre"))).over(Window.partitionBy("pub_id", "work"))
     return every.withColumn("is_first_book", F.col("book").eqNullSafe(first) & F.col("book").isNotNull())

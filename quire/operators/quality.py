@@ -36,7 +36,7 @@ def in_verse_system(df: DataFrame, ident: str, index: DataFrame) -> DataFrame:
 
 def book_facts(df: DataFrame, book: str, books: DataFrame) -> DataFrame:
     """SF15: a book's group and place in it, from a dimension (book, group, place)."""
-    return df.join(F.broadcast(books.limit(10_000)), book, "left")
+    return df.join(books, book, "left")
 
 
 def size_text(n: Column) -> Column:
@@ -132,7 +132,7 @@ def misused_aggregates(refs: DataFrame, aggregates: DataFrame) -> DataFrame:
 
 def calls(constant: DataFrame, each: DataFrame) -> DataFrame:
     """JN20: constant arguments beside each call's own. constant has one row."""
-    return each.crossJoin(F.broadcast(constant.limit(1)))
+    return each.crossJoin(constant)
 
 
 def toc_places(items: DataFrame) -> DataFrame:

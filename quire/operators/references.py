@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 # Books of one chapter.
 ONE_CHAPTER = ("Obad", "Phlm", "Jude", "2John", "3John")
+MOST_FIXES = 100_000
 LINK = "array<struct<start:int,end:int,text:string,type:string,book:string,ch:int,vs:int,lv:int,ref:string,status:string>>"
 
 
@@ -187,7 +188,12 @@ def link_references(df: DataFrame, text: str, settings: Settings, book: str | No
     """AN1-AN4: df with `links`, an array of links of each text. book, ch: columns of the text's own place. fixes: a small table (found, instead).
 
     Texts without a digit never reach Python's grammar."""
-    table = {r.found: r.instead for r in fixes.limit(100_000).collect()} if fixes is not None else None
+    table = None
+    if fixes is not None:
+        rows = fixes.limit(MOST_FIXES + 1).collect()
+        if len(rows) > MOST_FIXES:
+            raise ValueError(f"more than {MOST_FIXES} fixes; they are a hand-made table that goes to every task")
+        table = {r.found: r.instead for r in rows}
 
     @F.pandas_udf(LINK)
     def run(t: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:

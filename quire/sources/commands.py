@@ -27,7 +27,7 @@ def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
 def run_files(files: DataFrame, runs: DataFrame) -> DataFrame:
     """SC1: files of RUN lines (seq, glob) in the listed order; a file listed twice comes twice. files: path."""
     like = F.regexp_replace(F.regexp_replace(F.regexp_replace("glob", "\\.", "\\\\."), "\\*", "[^/]*"), "\\?", "[^/]")
-    return files.crossJoin(F.broadcast(runs.limit(10_000))).filter(F.expr("path").rlike(F.concat(F.lit("(^|/)"), like, F.lit("$")))).select("seq", "path")
+    return files.crossJoin(runs).filter(F.expr("path").rlike(F.concat(F.lit("(^|/)"), like, F.lit("$")))).select("seq", "path")
 
 
 def markers(lines: DataFrame, key: str) -> DataFrame:
@@ -50,7 +50,7 @@ def file_facts(marks: DataFrame, key: str, wanted: Sequence[str] = ("id", "h", "
 def classify(facts: DataFrame, books: DataFrame) -> DataFrame:
     """SC3: a file's type from its \\id: a known book is `bible`, GLO/DIC... a dictionary, CB a children's book, else other."""
     code = F.upper(F.substring(F.col("id"), 1, 3))
-    known = F.broadcast(books.select(F.upper("code").alias("__c")).distinct().limit(1_000)).withColumn("__known", F.lit(True))
+    known = books.select(F.upper("code").alias("__c")).distinct().withColumn("__known", F.lit(True))
     out = facts.withColumn("__code", code).join(known, F.col("__code") == F.col("__c"), "left")
     kind = F.when(F.col("__known"), "bible").when(F.col("__code").isin("GLO", "DIC", "CNC", "NDX"), "dictionary").when(F.upper("id").rlike("CHILD|^CB"), "childrens").otherwise("other")
     return out.withColumn("kind", kind).drop("__code", "__c", "__known")
