@@ -11,6 +11,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ DELAY_CS = 10
 #: Histogram bins of each colour channel.
 BINS = 8
 _ENTRIES = 4096
+_SHIFTS = np.arange(12, dtype=np.uint16)
 _GREYS = bytes(v for i in range(256) for v in (i, i, i))
 
 
@@ -46,9 +48,11 @@ class Frame:
     delay_cs: int = 0
 
 
-def _widths(first: int, count: int, clear: int) -> np.ndarray:
-    """Bits of the codes number first, first + 1, ... after a clear code (numbers from 1)."""
-    return np.minimum(12, np.frexp((np.arange(first, first + count) + clear).astype(np.float64))[1]).astype(np.int64)
+@lru_cache(maxsize=16)
+def _widths(first: int, clear: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of 4096 codes from the number `first` after a clear code (numbers from 1), and where each code ends."""
+    widths = np.minimum(12, np.frexp((np.arange(first, first + _ENTRIES) + clear).astype(np.float64))[1]).astype(np.int64)
+    return widths, np.cumsum(widths)
 
 
 def lzw_encode(data: bytes, depth: int = 8) -> bytes:
@@ -81,14 +85,11 @@ def lzw_encode(data: bytes, depth: int = 8) -> bytes:
         emit(prefix)
     codes.append(clear + 1)
     runs.append(codes)
-    values = np.concatenate([np.array([clear]), *map(np.array, runs)]).astype(np.uint32)
-    widths = np.concatenate([np.array([depth + 1]), *(_widths(1, len(r), clear) for r in runs)])
-    at = np.cumsum(widths) - widths
-    bits = np.zeros(int(at[-1] + widths[-1] + 7) // 8 * 8 + 32, np.uint8)
-    for b in range(12):
-        on = widths > b
-        bits[at[on] + b] = (values[on] >> b) & 1
-    return np.packbits(bits[:-32], bitorder="little").tobytes()
+    widths, _ = _widths(1, clear)
+    values = np.concatenate([[clear], *runs]).astype(np.uint16)
+    sizes = np.concatenate([[depth + 1], *(widths[: len(r)] for r in runs)])
+    bits = (values[:, None] >> _SHIFTS) & 1
+    return np.packbits(bits.astype(bool)[_SHIFTS < sizes[:, None]], bitorder="little").tobytes()
 
 
 def lzw_decode(stream: bytes, depth: int, size: int) -> bytes:
@@ -100,10 +101,10 @@ def lzw_decode(stream: bytes, depth: int, size: int) -> bytes:
     while not ended and len(out) < size:
         start, lengths, number, n = [], [], 1, len(out)  # a stretch begins
         while True:
-            widths = _widths(number, 4096, clear)
-            at = bit + np.cumsum(widths) - widths
-            fits = int(np.searchsorted(at + widths, total, side="right"))
-            at, widths = at[:fits], widths[:fits]
+            every, ends_at = _widths(1 if number == 1 else _ENTRIES, clear)
+            fits = int(np.searchsorted(ends_at, total - bit, side="right"))
+            widths = every[:fits]
+            at = bit + ends_at[:fits] - widths
             byte = at >> 3
             codes = ((raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> (at & 7).astype(np.uint32)) & ((1 << widths) - 1).astype(np.uint32)
             ends = np.flatnonzero((codes == clear) | (codes == stop))
@@ -129,7 +130,7 @@ def lzw_decode(stream: bytes, depth: int, size: int) -> bytes:
                 bit = int(at[upto] + widths[upto])
                 ended = int(codes[upto]) == stop
                 break
-            if fits < 4096 or n >= size:
+            if fits < _ENTRIES or n >= size:
                 ended = True
                 break
             bit, number = int(at[-1] + widths[-1]), number + fits
