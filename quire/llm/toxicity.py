@@ -196,8 +196,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: d
 
 def score(docs: DataFrame, text: str, chain: Chain | None) -> DataFrame:
     """docs with p_<category> and is_<category> (the probability reaches the category's threshold) for every category.
-    Null text counts as empty; without a chain all are null. One pass, no shuffle, columns of docs are kept."""
+    Null text counts as empty; without a chain docs come back as they are. One pass, no shuffle; columns of docs with one of the
+    new names are replaced."""
     models = chain.models if chain else []
+    new = {f"{x}_{m.category}".lower() for m in models for x in ("p", "is")}
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in new))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     if not models:
         return docs
