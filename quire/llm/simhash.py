@@ -9,7 +9,7 @@ at an anchor is compared on all 64 bits. A whole threshold on one side would fin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -188,15 +188,19 @@ def near_duplicates(docs: DataFrame, key: str, text: str, size: int = 3) -> Data
 
 # Near copies further apart ------------------------------------------------------------------------------------------
 #
-# At a similarity of 0.8 about 15 % of the bits differ, too many for the anchors of one fingerprint. A signature of 512
-# bits is cut into 16 words of 31; each has its own perfect Hamming code and is replicated to the 16 anchors within
-# covering radius plus half a threshold of 2. Near copies meet in some word with high probability (0.89 at a similarity of
-# 0.8, 0.95 at 0.83), and what meets is compared on all 512 bits.
-
-WORDS, BITS_OF_WORD = 16, 31
-_SALTS = [np.uint64(x) for x in (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
-#: Buckets up to this size are compared pair by pair, in larger ones all are compared with the CENTRES nearest to the anchor.
-SMALL, CENTRES = 8, 4
+# At a similarity of 0.8 about 15 % of the bits differ, too many for the anchors of one fingerprint. A signature of 768
+# bits is cut into 24 words of 31 (of 32 bits each one is left out); each has its own perfect Hamming code and is replicated to the 16 anchors within
+# covering radius plus half a threshold of 2. Near copies meet in some word with high probability (0.96 at a similarity of
+# 0.8, 0.99 at 0.83), and what meets is compared on all 768 bits.
+
+WORDS, BITS_OF_WORD = 24, 31
+SIGNATURE = 32 * WORDS
+_SALTS = [np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in range(WORDS // 2)]
+#: Buckets up to this size are compared pair by pair, in larger ones all are compared with the CENTRES nearest to the
+#: anchor: a star, so that a large group of near copies gives links in proportion to its size.
+SMALL, CENTRES = 4, 1
+#: Words that are compared in one round. What a round links is left out of the next but for its hub.
+ROUNDS = (range(0, 4), range(4, WORDS))
 #: Of 17 bits of another word so many may differ before the whole signatures are fetched.
 ROUGH = 6
 
@@ -207,17 +211,17 @@ def _mixed(h: np.ndarray, salt: np.uint64) -> np.ndarray:
 
 
 def signature(text: str | None, size: int) -> bytes:
-    """A SimHash of 512 bits over the text's word shingles, from eight mixes of each shingle's XXH64; zero for no word."""
+    """A SimHash of 768 bits over the text's word shingles, from twelve mixes of each shingle's XXH64; zero for no word."""
     words = (text or "").encode().lower().split()
     if not words:
-        return bytes(64)
+        return bytes(SIGNATURE // 8)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
     h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64)
-    ones = np.zeros(512, np.int64)
+    ones = np.zeros(SIGNATURE, np.int64)
     for i in range(0, len(h), 255 * 32):
         part = h[i : i + 255 * 32]
         rows = np.stack([_mixed(part, s) for s in _SALTS], axis=1)
-        bits = np.unpackbits(rows.astype("<u8").view(np.uint8).reshape(len(part), 64), axis=1, bitorder="little")
+        bits = np.unpackbits(rows.astype("<u8").view(np.uint8).reshape(len(part), SIGNATURE // 8), axis=1, bitorder="little")
         for j in range(0, len(part), 255):
             ones += np.add.reduce(bits[j : j + 255], axis=0, dtype=np.uint8)
     return np.packbits(ones * 2 > len(h), bitorder="little").tobytes()
@@ -239,11 +243,11 @@ _WORD_CHECKS = [np.uint64(sum(1 << (i - 1) for i in range(1, 32) if i >> b & 1))
 _PATTERN = np.array([(1 << (c & 31) >> 1 if c & 31 else 0) | (1 << (c >> 5) >> 1 if c >> 5 else 0) for c in range(1024)], np.uint64)
 
 
-def meeting_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For words (signatures, 16) of 31 bits: (row, key). A key holds from the top the word's number, the anchor, the error
+def meeting_keys(words: np.ndarray, use: Iterable[int] = range(WORDS)) -> tuple[np.ndarray, np.ndarray]:
+    """For words (signatures, WORDS) of 31 bits, those in use: (row, key). A key holds from the top the word's number, the anchor, the error
     pattern (10 bits) and 17 bits of the next word."""
     rows, keys = [], []
-    for t in range(WORDS):
+    for t in use:
         x, rough = words[:, t], words[:, (t + 1) % WORDS] & np.uint64((1 << 17) - 1)
         s = np.zeros(len(x), np.int64)
         for b, mask in enumerate(_WORD_CHECKS):
@@ -283,29 +287,20 @@ def _candidates(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def limit_of(similarity: float) -> int:
-    """Differing bits of 512 that are expected at a Jaccard similarity, and a standard deviation more, so that five in six of the
+    """Differing bits of a signature that are expected at a Jaccard similarity, and a standard deviation more, so that five in six of the
     pairs just as similar are within."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(512 * p + (512 * p * (1 - p)) ** 0.5)
+    return int(SIGNATURE * p + (SIGNATURE * p * (1 - p)) ** 0.5)
 
 
-def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(node, root): the smallest key of each distinct signature, and the smallest key of its group. Null keys take no part.
-
-    Near copies are linked if their signatures are as alike as those of sets of shingles with the given similarity. Copies are
-    one node; a bucket sends each node a few candidates, so large groups give rows in proportion."""
-    small_batches(docs.sparkSession)
-    most = limit_of(similarity)
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signature(x.as_py(), size) for x in batch.column(1)], pa.binary())], ["doc", "sig"])
+def _similar_links(nodes: DataFrame, signatures: DataFrame, use: range, most: int) -> DataFrame:
+    """Links (x, y) among nodes (node, sig) that meet in one of the words in use and differ in `most` bits or fewer."""
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = batch.column(0).to_numpy(zero_copy_only=False)
             half = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, WORDS)
-            rows, keys = meeting_keys((half & ((1 << BITS_OF_WORD) - 1)).astype(np.uint64))
+            rows, keys = meeting_keys((half & ((1 << BITS_OF_WORD) - 1)).astype(np.uint64), use)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[rows])], ["key", "node"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,17 +319,53 @@ def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similari
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 8) for i in (2, 3))
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, WORDS // 2) for i in (2, 3))
             yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= most))
 
-    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    nodes = cut(rows.mapInArrow(sign, "doc bigint, sig binary").groupBy("sig").agg(F.min("doc").alias("node")).select("node", "sig"), "signatures")
-    dealt = nodes.mapInArrow(replicate, "key bigint, node bigint").repartition(F.shiftrightunsigned("key", 27)).sortWithinPartitions("key")
+    dealt = nodes.select("node", "sig").mapInArrow(replicate, "key bigint, node bigint").repartition(F.shiftrightunsigned("key", 27)).sortWithinPartitions("key")
     pairs = cut(dealt.mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
-    sig = lambda end: nodes.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
-    linked = pairs.join(sig("x"), "x").join(sig("y"), "y").select("x", "y", "sig_x", "sig_y").mapInArrow(verify, "x bigint, y bigint")
-    roots = components(linked)
-    return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    sig = lambda end: signatures.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
+    linked = pairs.join(sig("x"), "x").join(sig("y"), "y").select("x", "y", "sig_x", "sig_y")
+    return cut(linked.mapInArrow(verify, "x bigint, y bigint"), "links")
+
+
+def _survivors(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """Nodes without a link to one that has more links than they (or as many and a smaller number): the hub of a group stays, and
+    every other node is linked, step by step, to one that stays."""
+    ends = found.select(F.col("x").alias("node")).unionAll(found.select("y"))
+    weight = cut(ends.groupBy("node").agg(F.count("*").alias("n")).select("node", F.struct(F.col("n"), (-F.col("node")).alias("m")).alias("w")), "weights")
+    of = lambda end: weight.select(F.col("node").alias(end), F.col("w").alias(f"w_{end}"))
+    met = found.join(of("x"), "x").join(of("y"), "y")
+    above = met.select(F.col("x").alias("node"), F.col("w_y").alias("above")).unionAll(met.select("y", "w_x"))
+    best = cut(above.groupBy("node").agg(F.max("above").alias("above")), "best")
+    beaten = weight.join(best, "node").filter("above > w").select("node")
+    return cut(nodes.join(beaten, "node", "left_anti"), "survivors")
+
+
+def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(node, root): the smallest key of each distinct signature, and the smallest key of its group. Null keys take no part.
+
+    Near copies are linked if their signatures are as alike as those of sets of shingles with the given similarity. Copies are
+    one node; a bucket sends each node a few candidates, so large groups give rows in proportion."""
+    small_batches(docs.sparkSession)
+    most = limit_of(similarity)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signature(x.as_py(), size) for x in batch.column(1)], pa.binary())], ["doc", "sig"])
+
+    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    signatures = cut(rows.mapInArrow(sign, "doc bigint, sig binary").groupBy("sig").agg(F.min("doc").alias("node")).select("node", "sig"), "signatures")
+    left, links_ = signatures, []
+    for i, use in enumerate(ROUNDS):
+        links_.append(_similar_links(left, signatures, use, most))
+        if i + 1 < len(ROUNDS):
+            left = _survivors(left, links_[-1])
+    every = links_[0]
+    for more in links_[1:]:
+        every = every.unionAll(more)
+    roots = components(every)
+    return signatures.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def keep_one(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:

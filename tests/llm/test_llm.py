@@ -13,12 +13,12 @@ from quire.llm.components import components
 from tests.llm import brute
 
 #: Extra columns whose names the operators use inside.
-EXTRA = "key string, text_ string, spans int, fp string, id_ int, blob string"
+EXTRA = "key string, text_ string, spans int, fp string, id_ int, blob string, score string, lang_pred string, row_ string, node long, found string, p_toxic string"
 SCHEMA = f"doc_id long, text string, {EXTRA}"
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "k", "t", 1, "f", 2, "b") for i, t in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "k", "t", 1, "f", 2, "b", "s", "l", "r", 3, "d", "p") for i, t in rows], SCHEMA)
 
 
 def passages(seed, n=60):
@@ -155,11 +155,11 @@ def test_similar_groups(spark):
 
 def test_word_anchors_cover():
     rng = np.random.default_rng(21)
-    words = rng.integers(0, 1 << 31, (1, 16), dtype=np.uint64)
+    words = rng.integers(0, 1 << 31, (1, simhash.WORDS), dtype=np.uint64)
     for flips in [(3,), (3, 9), (0, 30)]:
         other = words ^ np.uint64(sum(1 << f for f in flips))
         a, b = ({int(k) >> 27 for k in simhash.meeting_keys(w)[1]} for w in (words, other))
-        assert len({k >> 31 for k in a & b}) == 16
+        assert len({k >> 31 for k in a & b}) == simhash.WORDS
 
 
 def test_components(spark):
@@ -347,12 +347,34 @@ def test_lzw():
         for n in (0, 1, 2, 700, 30_000):
             data = bytes(r.randrange(1 << depth) if r.random() < 0.6 else 1 for _ in range(n))
             assert gif.lzw_decode(gif.lzw_encode(data, depth), depth, n) == data
-    # a stream whose encoder goes on with a full table
     for bad in (b"", b"GIF89a", b"nothing", gif.encode_gif(bytes(64))[:-20]):
         with pytest.raises(gif.GifError):
             gif.parse_gif(bad)
 
 
+def test_lzw_with_a_full_table():
+    """A stream whose encoder never clears: once full, the table stays as it is."""
+    r = random.Random(18)
+    data = bytes(r.randrange(256) for _ in range(20_000)) + b"abc" * 3000
+    table, codes, free, prefix = {bytes((i,)): i for i in range(256)}, [], 258, b""
+    for b in data:
+        longer = prefix + bytes((b,))
+        if longer in table:
+            prefix = longer
+            continue
+        codes.append(table[prefix])
+        if free < 4096:
+            table[longer] = free
+            free += 1
+        prefix = bytes((b,))
+    codes += [table[prefix], 257]
+    value, at = 256, 9
+    for j, c in enumerate(codes, 1):
+        value |= c << at
+        at += min(12, (256 + j).bit_length())
+    assert gif.lzw_decode(value.to_bytes(at // 8 + 1, "little"), 8, len(data)) == data
+
+
 def test_media(spark):
     docs = frame(spark, [(1, "ab" * 40), (2, "ab" * 40), (3, None), (4, ""), (None, "x" * 64), (5, "é" * 200_000)])
     stored = gif.store_payload(docs, "doc_id", "text")
@@ -407,15 +429,15 @@ def test_pipeline(spark, tmp_path):
     base = passages(17, 30)
     docs = [(i, t) for i, t in base] + [(600, "12345 ---"), (601, base[4][1] + " token = abcdef123456")]
     d = str(tmp_path / "sf")
-    rows = [(i, t, "en" if i % 2 else None, "s", len(t or "")) for i, t in docs]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{d}/documents.parquet")
+    rows = [(i, t, "en" if i % 2 else None, "s", len(t or ""), 5, "l") for i, t in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score int, lang_pred string").coalesce(1).write.parquet(f"{d}/documents.parquet")
     got = spark.read.parquet(f"{d}/documents.parquet")
     seen = []
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, got, d).cache()
         seen.append((name, {r.doc_id: r for r in got.collect()} if name != "best_fit_packing" else got.collect()))
     told, near, sub, clean, packed = (s[1] for s in seen)
-    assert set(told) == {i for i, t in docs if any(c.isalpha() for c in t or "")} and all(r.lang == "en" for r in told.values())
+    assert set(told) == {i for i, t in docs if any(c.isalpha() for c in t or "")} and all((r.lang, r.score, r.lang_pred) == ("en", 5, "l") for r in told.values())
     assert set(near) <= set(told) and len(near) < len(told)
     kept = sorted((i, r.text) for i, r in near.items())
     for (i, _), (x, k) in zip(kept, brute.later(kept, lambda t: t.encode().split(), 20), strict=True):
