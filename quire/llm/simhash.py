@@ -15,6 +15,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -188,43 +189,10 @@ def near_duplicates(docs: DataFrame, key: str, text: str, size: int = 3) -> Data
 
 # Near copies further apart ------------------------------------------------------------------------------------------
 #
-# At a similarity of 0.8 about 15 % of the bits differ, too many for the anchors of one fingerprint. A signature of 768
-# bits is cut into 24 words of 31 (of 32 bits each one is left out); each has its own perfect Hamming code and is replicated to the 16 anchors within
-# covering radius plus half a threshold of 2. Near copies meet in some word with high probability (0.96 at a similarity of
-# 0.8, 0.99 at 0.83), and what meets is compared on all 768 bits.
+# At a similarity of 0.8 too many bits of a fingerprint differ for its anchors, and words of a longer one meet by chance only.
+# So the stage joins sets of shingles: see _shared. The codes of 31-bit words below serve no query any more.
 
 WORDS, BITS_OF_WORD = 24, 31
-SIGNATURE = 32 * WORDS
-_SALTS = [np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in range(WORDS // 2)]
-#: Buckets up to this size are compared pair by pair, in larger ones all are compared with the CENTRES nearest to the
-#: anchor: a star, so that a large group of near copies gives links in proportion to its size.
-SMALL, CENTRES = 4, 1
-#: Words that are compared in one round. What a round links is left out of the next but for its hub.
-ROUNDS = (range(0, 4), range(4, WORDS))
-#: Of 17 bits of another word so many may differ before the whole signatures are fetched.
-ROUGH = 6
-
-
-def _mixed(h: np.ndarray, salt: np.uint64) -> np.ndarray:
-    x = (h ^ salt) * np.uint64(0xFF51AFD7ED558CCD)
-    return (x ^ (x >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
-
-
-def signature(text: str | None, size: int) -> bytes:
-    """A SimHash of 768 bits over the text's word shingles, from twelve mixes of each shingle's XXH64; zero for no word."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return bytes(SIGNATURE // 8)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64)
-    ones = np.zeros(SIGNATURE, np.int64)
-    for i in range(0, len(h), 255 * 32):
-        part = h[i : i + 255 * 32]
-        rows = np.stack([_mixed(part, s) for s in _SALTS], axis=1)
-        bits = np.unpackbits(rows.astype("<u8").view(np.uint8).reshape(len(part), SIGNATURE // 8), axis=1, bitorder="little")
-        for j in range(0, len(part), 255):
-            ones += np.add.reduce(bits[j : j + 255], axis=0, dtype=np.uint8)
-    return np.packbits(ones * 2 > len(h), bitorder="little").tobytes()
 
 
 def _word_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -240,7 +208,6 @@ def _word_tables() -> tuple[np.ndarray, np.ndarray]:
 
 _WORD_MASKS, _WORD_CODES = _word_tables()
 _WORD_CHECKS = [np.uint64(sum(1 << (i - 1) for i in range(1, 32) if i >> b & 1)) for b in range(5)]
-_PATTERN = np.array([(1 << (c & 31) >> 1 if c & 31 else 0) | (1 << (c >> 5) >> 1 if c >> 5 else 0) for c in range(1024)], np.uint64)
 
 
 def meeting_keys(words: np.ndarray, use: Iterable[int] = range(WORDS)) -> tuple[np.ndarray, np.ndarray]:
@@ -260,112 +227,221 @@ def meeting_keys(words: np.ndarray, use: Iterable[int] = range(WORDS)) -> tuple[
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _candidates(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes at one anchor whose words differ in 2 bits at most. Rows are sorted by key."""
-    bucket = key >> np.uint64(27)
-    pattern = _PATTERN[(key >> np.uint64(17)).astype(np.int64) & 1023]
-    rough = key & np.uint64((1 << 17) - 1)
-    heads = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    sizes = np.diff(np.r_[heads, len(key)])
-    left, right = [], []
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """The sorted distinct XXH64 of a text's word shingles, without their lowest four bits; a shorter text is one shingle."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
+    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64) >> np.uint64(4))
 
-    def put(i: np.ndarray, j: np.ndarray) -> None:
-        near = (np.bitwise_count(pattern[i] ^ pattern[j]) <= BITS) & (np.bitwise_count(rough[i] ^ rough[j]) <= ROUGH) & (node[i] != node[j])
-        left.append(np.minimum(node[i], node[j])[near])
-        right.append(np.maximum(node[i], node[j])[near])
 
-    large = np.repeat(sizes > SMALL, sizes)
-    for step in range(1, SMALL):
-        i = np.flatnonzero((bucket[step:] == bucket[:-step]) & ~large[step:])
-        put(i, i + step)
-    for h, n in zip(heads[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        rows = np.arange(h, h + n)
-        for c in rows[np.lexsort((node[rows], np.bitwise_count(pattern[rows])))[:CENTRES]]:
-            put(rows, np.full(n, c))
-    pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1) if left else np.empty((2, 0), np.int64)
-    return pairs[0], pairs[1]
+def _digest(found: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def limit_of(similarity: float) -> int:
-    """Differing bits of a signature that are expected at a Jaccard similarity, and a standard deviation more, so that five in six of the
-    pairs just as similar are within."""
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(SIGNATURE * p + (SIGNATURE * p * (1 - p)) ** 0.5)
+def _least(n: np.ndarray, similarity: float) -> np.ndarray:
+    """The least number of common shingles of a set of n with any set as similar."""
+    return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _similar_links(nodes: DataFrame, signatures: DataFrame, use: range, most: int) -> DataFrame:
-    """Links (x, y) among nodes (node, sig) that meet in one of the words in use and differ in `most` bits or fewer."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Rows sorted by their first column, as the whole rows of one or several of its values at a time."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        first = batch.column(0).to_numpy(zero_copy_only=False)
+        start = int(np.searchsorted(first, first[-1], side="left"))
+        if start or rest and rest[0].column(0)[0].as_py() != first[0]:
+            whole = [*rest, batch.slice(0, start)] if start else rest
+            yield whole
+            rest = []
+        rest.append(batch.slice(start))
+    if rest:
+        yield rest
 
-    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_ENTRY = np.dtype([("at", "<u2"), ("df", "<u4"), ("shingle", "<u8")])
+_LOW48 = np.uint64((1 << 48) - 1)
+
+
+def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(node, n, shared, prefix) of texts (doc, digest, text) that may have a partner: the number of distinct shingles, those
+    that other texts have too (sorted, packed), and those of them in the prefix.
+
+    Shingles are ordered by the number of texts they are in, then by hash. Two sets of the similarity have a common shingle
+    among the first n - least + 1 of either, so a text whose prefix is all its own has no partner. Shingles go by the first
+    12 of 60 bits to where they are counted, packed by batch of texts, and those in two texts or more come back to their batch."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 32
+        parts = np.arange(1, 4096, dtype=np.uint64) << np.uint64(48)
         for batch in batches:
-            node = batch.column(0).to_numpy(zero_copy_only=False)
-            half = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, WORDS)
-            rows, keys = meeting_keys((half & ((1 << BITS_OF_WORD) - 1)).astype(np.uint64), use)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[rows])], ["key", "node"])
+            sets, nodes = [], []
+            for doc, digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = shingle_set(text, size)
+                if len(found) and _digest(found) == digest:
+                    sets.append(found)
+                    nodes.append(doc)
+            if not sets:
+                continue
+            n = np.array([len(x) for x in sets])
+            h, at = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint64), n)
+            order = np.argsort(h)
+            h, packed = h[order], ((h & _LOW48) << np.uint64(16) | at)[order]
+            ends = np.r_[0, np.searchsorted(h, parts), len(h)]
+            full = np.flatnonzero(ends[1:] > ends[:-1])
+            blobs = [np.stack([np.array(nodes, np.int64), n]).tobytes(), *(packed[ends[p] : ends[p + 1]].tobytes() for p in full.tolist())]
+            part = np.r_[task // 2**32 * 61 % 4096, full].astype(np.int32)
+            names = np.full(len(part), task, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(names), pa.array(np.arange(len(part)) > 0), pa.array(blobs, pa.binary())], ["part", "batch", "entry", "blob"])
+            task += 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            part, name, entry = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(3))
+            blobs = [x for r in rows for x in r.column(3).to_pylist()]
+            heads = np.flatnonzero(~entry.astype(bool))
+            yield pa.RecordBatch.from_arrays([pa.array(name[heads]), pa.array(np.zeros(len(heads), bool)), pa.array([blobs[i] for i in heads.tolist()], pa.binary())], ["batch", "entry", "blob"])
+            out_names, out = [], []
+            for p in np.unique(part).tolist():
+                mine = np.flatnonzero(entry.astype(bool) & (part == p))
+                if not len(mine):
+                    continue
+                packed = np.frombuffer(b"".join(blobs[i] for i in mine.tolist()), "<u8")
+                of = np.repeat(name[mine], [len(blobs[i]) // 8 for i in mine.tolist()])
+                order = np.argsort(packed >> np.uint64(16), kind="stable")
+                h = (packed >> np.uint64(16))[order]
+                starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+                df = np.diff(np.r_[starts, len(h)])
+                df = np.repeat(df, df)
+                keep = df > 1
+                if not keep.any():
+                    continue
+                entries = np.empty(int(keep.sum()), _ENTRY)
+                picked = order[keep]
+                entries["at"], entries["df"], entries["shingle"] = packed[picked] & np.uint64(65535), df[keep], h[keep] | np.uint64(p << 48)
+                of = of[picked]
+                order = np.argsort(of, kind="stable")
+                entries, of = entries[order], of[order]
+                cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                out_names += of[cuts].tolist()
+                out += [entries[a:b].tobytes() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(of)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(out_names, pa.int64()), pa.array([True] * len(out), pa.bool_()), pa.array(out, pa.binary())], ["batch", "entry", "blob"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            name, entry = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(2))
+            blobs = [x for r in rows for x in r.column(2).to_pylist()]
+            for b in np.unique(name).tolist():
+                mine = np.flatnonzero(name == b)
+                head = next(i for i in mine.tolist() if not entry[i])
+                nodes, n = np.frombuffer(blobs[head], np.int64).reshape(2, -1)
+                entries = np.frombuffer(b"".join(blobs[i] for i in mine.tolist() if entry[i]), _ENTRY)
+                entries = entries[np.lexsort((entries["shingle"], entries["df"], entries["at"]))]
+                has = np.bincount(entries["at"], minlength=len(nodes))
+                first = np.r_[0, np.cumsum(has)]
+                ours = np.minimum(n - _least(n, similarity) + 1 - (n - has), has)
+                hit = np.flatnonzero(ours > 0).tolist()
+                lists = [entries["shingle"][first[i] : first[i + 1]] for i in hit]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(nodes[hit]),
+                        pa.array(n[hit]),
+                        pa.array([np.sort(x).tobytes() for x in lists], pa.binary()),
+                        pa.array([x[: ours[i]].view(np.int64) for i, x in zip(hit, lists, strict=True)], pa.list_(pa.int64())),
+                    ],
+                    ["node", "n", "shared", "prefix"],
+                )
+
+    dealt = texts.select("doc", "digest", "text").mapInArrow(deal, "part int, batch long, entry boolean, blob binary").repartition("part").sortWithinPartitions("part")
+    counted = dealt.mapInArrow(count, "batch long, entry boolean, blob binary").repartition("batch").sortWithinPartitions("batch")
+    return cut(counted.mapInArrow(gather, "node long, n long, shared binary, prefix array<long>"), "shared")
+
+
+def _pairs(key: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, similarity: float, hubs: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes with one shingle (rows sorted by key), unlike roots and sizes that allow the similarity: with hubs those
+    with the first row of the shingle, otherwise all."""
+
+    def fit(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = (root[i] != root[j]) & (_least(np.maximum(n[i], n[j]), similarity) <= np.minimum(n[i], n[j]))
+        x, y = np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        fresh = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if len(x) else np.empty(0, bool)
+        return x[fresh], y[fresh]
+
+    heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    sizes = np.diff(np.r_[heads, len(key)])
+    if hubs:
+        yield fit(np.arange(len(key)), np.repeat(heads, sizes))
+        return
+    small = np.repeat(sizes <= 64, sizes)
+    for step in range(1, min(64, int(sizes.max(initial=0)))):
+        i = np.flatnonzero((key[step:] == key[:-step]) & small[step:])
+        yield fit(i, i + step)
+    for h, size in zip(heads[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
+        mine = np.arange(h, h + size)
+        if (root[mine] != root[h]).any():
+            for i in mine[:-1].tolist():
+                others = np.arange(i + 1, h + size)
+                yield fit(np.full(len(others), i), others)
+
+
+def _links(shared: DataFrame, roots: DataFrame | None, similarity: float, turn: int) -> DataFrame:
+    """Verified links (x, y) between nodes of unlike roots that share a shingle of their prefixes. Turns 0 and 1 try a hub for
+    each shingle, turn 2 all pairs that are left: a group that the hubs have joined gives none."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.int64)]
-        for batch in batches:
-            key = np.r_[rest[0], batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]
-            node = np.r_[rest[1], batch.column(1).to_numpy(zero_copy_only=False)]
-            bucket = key >> np.uint64(27)
-            whole = int(np.searchsorted(bucket, bucket[-1], side="left")) if len(key) else 0
-            x, y = _candidates(key[:whole], node[:whole]) if whole else (rest[1][:0], rest[1][:0])
-            rest = [key[whole:], node[whole:]]
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
-        if len(rest[0]):
-            x, y = _candidates(*rest)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+        for rows in _groups(batches):
+            key, node, n, root = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(4))
+            for x, y in _pairs(key, node, n, root, similarity, turn < 2):
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, WORDS // 2) for i in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= most))
-
-    dealt = nodes.select("node", "sig").mapInArrow(replicate, "key bigint, node bigint").repartition(F.shiftrightunsigned("key", 27)).sortWithinPartitions("key")
-    pairs = cut(dealt.mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
-    sig = lambda end: signatures.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
-    linked = pairs.join(sig("x"), "x").join(sig("y"), "y").select("x", "y", "sig_x", "sig_y")
-    return cut(linked.mapInArrow(verify, "x bigint, y bigint"), "links")
-
-
-def _survivors(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Nodes without a link to one that has more links than they (or as many and a smaller number): the hub of a group stays, and
-    every other node is linked, step by step, to one that stays."""
-    ends = found.select(F.col("x").alias("node")).unionAll(found.select("y"))
-    weight = cut(ends.groupBy("node").agg(F.count("*").alias("n")).select("node", F.struct(F.col("n"), (-F.col("node")).alias("m")).alias("w")), "weights")
-    of = lambda end: weight.select(F.col("node").alias(end), F.col("w").alias(f"w_{end}"))
-    met = found.join(of("x"), "x").join(of("y"), "y")
-    above = met.select(F.col("x").alias("node"), F.col("w_y").alias("above")).unionAll(met.select("y", "w_x"))
-    best = cut(above.groupBy("node").agg(F.max("above").alias("above")), "best")
-    beaten = weight.join(best, "node").filter("above > w").select("node")
-    return cut(nodes.join(beaten, "node", "left_anti"), "survivors")
+            a, b = (c.to_pylist() for c in batch.columns[4:])
+            common = np.fromiter((len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True)) for x, y in zip(a, b, strict=True)), np.int64, batch.num_rows)
+            union = batch.column(2).to_numpy() + batch.column(3).to_numpy() - common
+            yield batch.select([0, 1]).filter(pa.array(common >= similarity * union - 1e-9))
+
+    rows = shared.select("node", "n", F.explode("prefix").alias("key"))
+    if roots is None:
+        rows = rows.withColumn("root", F.col("node"))
+    else:
+        rows = rows.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = [F.col("node")] if turn == 0 else [F.xxhash64("node"), F.col("node")]
+    dealt = rows.select("key", "node", "n", "root").repartition("key").sortWithinPartitions("key", *first)
+    pairs = cut(dealt.mapInArrow(meet, "x long, y long").distinct(), "candidates")
+    of = lambda end: shared.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("shared").alias(f"s_{end}"))
+    met = pairs.join(of("x"), "x").join(of("y"), "y").select("x", "y", "n_x", "n_y", "s_x", "s_y")
+    return cut(met.mapInArrow(verify, "x long, y long"), "links")
 
 
 def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(node, root): the smallest key of each distinct signature, and the smallest key of its group. Null keys take no part.
+    """(node, root): the smallest key of each distinct set of shingles, and the smallest key of its group. Null keys take no part.
 
-    Near copies are linked if their signatures are as alike as those of sets of shingles with the given similarity. Copies are
-    one node; a bucket sends each node a few candidates, so large groups give rows in proportion."""
+    Texts are linked if their sets of shingles have the Jaccard similarity: exact but for equal hashes of 60 bits. Wordless
+    texts are one node, copies are one node."""
     small_batches(docs.sparkSession)
-    most = limit_of(similarity)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signature(x.as_py(), size) for x in batch.column(1)], pa.binary())], ["doc", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_digest(shingle_set(x.as_py(), size)) for x in batch.column(1)], pa.binary())], ["doc", "digest"])
 
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    signatures = cut(rows.mapInArrow(sign, "doc bigint, sig binary").groupBy("sig").agg(F.min("doc").alias("node")).select("node", "sig"), "signatures")
-    left, links_ = signatures, []
-    for i, use in enumerate(ROUNDS):
-        links_.append(_similar_links(left, signatures, use, most))
-        if i + 1 < len(ROUNDS):
-            left = _survivors(left, links_[-1])
-    every = links_[0]
-    for more in links_[1:]:
-        every = every.unionAll(more)
-    roots = components(every)
-    return signatures.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    nodes = cut(rows.mapInArrow(sign, "doc long, digest binary").groupBy("digest").agg(F.min("doc").alias("node")).select("node", "digest"), "nodes")
+    # merged, so that the rows of a batch come in the same order if a task is run again
+    texts = rows.join(nodes.select(F.col("node").alias("doc"), "digest").hint("merge"), "doc")
+    shared = _shared(texts, size, similarity)
+    every, roots = None, None
+    for turn in range(3):
+        found = _links(shared, roots, similarity, turn)
+        every = found if every is None else every.unionAll(found)
+        roots = cut(components(every), "roots")
+    return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def keep_one(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:

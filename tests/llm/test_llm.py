@@ -153,6 +153,30 @@ def test_similar_groups(spark):
     assert simhash.keep_one(frame_.limit(0), "doc_id", "text").count() == 0
 
 
+def similar_roots(spark, docs):
+    got = {x.node: x.root for x in simhash.similar_groups(frame(spark, docs), "doc_id", "text").collect()}
+    sets = {i: {*zip(*(t.split()[k:] for k in range(5)), strict=False)} for i, t in docs}
+    want = brute.components([i for i, _ in docs], lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9)
+    return got, want
+
+
+def test_similar_groups_in_a_crowd(spark):
+    """Many texts of one template whose similarities lie around 0.8, among strangers that share a passage."""
+    r = random.Random(31)
+    base = [f"b{i}" for i in range(200)]
+    docs = []
+    for i in range(160):
+        words = [*base]
+        for k in r.sample(range(40), r.randint(1, 4)):
+            words[k * 5] = f"c{r.randrange(3)}"
+        words[r.randrange(200)] = f"d{i}"
+        docs.append((i, " ".join(words)))
+    for i in range(160, 260):
+        docs.append((i, " ".join(base[:30] + [f"e{i}_{k // 2 if i % 2 else k}" for k in range(40)])))
+    got, want = similar_roots(spark, docs)
+    assert got == want
+
+
 def test_word_anchors_cover():
     rng = np.random.default_rng(21)
     words = rng.integers(0, 1 << 31, (1, simhash.WORDS), dtype=np.uint64)
