@@ -177,6 +177,24 @@ def test_similar_groups_in_a_crowd(spark):
     assert got == want
 
 
+def test_similar_groups_in_chains(spark):
+    docs = []
+    for g in range(12):
+        words = [f"g{g}_{i}" for i in range(300)]
+        for k in range(3):  # each replaces other words of the first: 0.85 to the second, 0.8 to the third and 0.7 apart
+            docs.append((g * 3 + k, " ".join(words)))
+            words = [f"h{g}_{k}" if i in range(20 + 100 * k, 20 + 100 * k + (20, 27)[k % 2]) else w for i, w in enumerate(words)]
+    got, want = similar_roots(spark, docs)
+    assert got == want and {*want.values()} == {*range(0, 36, 3)}
+
+
+def test_similar_groups_count_a_shingle_once(spark):
+    junk = " ".join([f"junk{i}" for i in range(10)] * 500)
+    text = [" ".join(f"t{k}_{i}" for i in range(300)) for k in range(3)]
+    got, want = similar_roots(spark, [(0, f"{junk} {text[0]}"), (1, f"{junk} {text[1]}"), (2, text[2]), (3, f"{text[2]} {junk}")])
+    assert got == want == {0: 0, 1: 1, 2: 2, 3: 2}
+
+
 def test_word_anchors_cover():
     rng = np.random.default_rng(21)
     words = rng.integers(0, 1 << 31, (1, simhash.WORDS), dtype=np.uint64)
