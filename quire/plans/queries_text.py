@@ -211,6 +211,11 @@ def term_samples(spark, d):  # AN12
     return c.filter("sample IS NULL")
 
 
+@query()
+def term_samples_all(spark, d):  # AN12, every conversation
+    return load(spark, d, "conversations").select("conv_id", "turn", T.context_sample(F.col("text"), F.regexp_extract("text", "^([^ .,]+)", 1)).alias("sample"))
+
+
 @query("SELECT l_orderkey AS verse, o.ordinal, o.mention_at, f.note_id FROM (SELECT l_orderkey, l_linenumber AS at, l_partkey AS note_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS nth FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2)) f JOIN (SELECT o_orderkey, CAST(o_orderkey % 3 + 1 AS INTEGER) AS ordinal, 9 AS mention_at FROM orders) o ON l_orderkey = o_orderkey AND nth = o.ordinal")
 def footnote_links(spark, d):  # AN11, JN15
     notes = load(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("verse"), F.col("l_linenumber").alias("at")).agg(F.min("l_partkey").alias("note_id"))
