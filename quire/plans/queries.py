@@ -230,6 +230,13 @@ def multi_target_filter(spark, d):  # F11, F12; the 400 characters stand for a r
     return integrity.keep_targets(docs, "doc_id", F.col("refs"), allowed, "part")
 
 
+@query()
+def multi_target_filter_all(spark, d):  # F11, F12; whole texts
+    docs = load(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^A-Za-z]+", " ").alias("refs"))
+    allowed = docs.select(F.explode(F.split("refs", "\\s+")).alias("part")).filter("length(part) = 4")
+    return integrity.keep_targets(docs, "doc_id", F.col("refs"), allowed, "part")
+
+
 @query("SELECT pattern, CAST(hits AS BIGINT) AS hits, hits > 0 AS applied FROM (SELECT 'th' AS pattern, sum(len(regexp_extract_all(text, 'th'))) AS hits FROM documents UNION ALL SELECT 'TH+e', sum(len(regexp_extract_all(replace(text, 'th', 'TH'), 'TH+e'))) FROM documents UNION ALL SELECT 'qqzz', sum(len(regexp_extract_all(text, 'qqzz'))) FROM documents)")
 def rewrite_hits(spark, d):  # F18
     return integrity.substitutions(load(spark, d, "documents"), "text", [("th", "TH"), ("TH+e", "THe"), ("qqzz", "")])[1].select("pattern", "hits", "applied")

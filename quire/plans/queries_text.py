@@ -317,6 +317,11 @@ def note_bodies(spark, d):  # RD13
     return publish.note_bodies(c)
 
 
+@query()
+def note_bodies_all(spark, d):  # RD13, whole texts
+    return publish.note_bodies(load(spark, d, "conversations").select(F.col("conv_id").alias("file"), F.col("role").alias("kind"), F.col("turn").alias("pre"), "text"))
+
+
 @query("SELECT o_orderkey, CASE WHEN n = 1 THEN 'f' || s_nationkey || '#' || t END AS href, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'several' END AS finding FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'B' || o_custkey WHEN 1 THEN 'B' || o_custkey || '.1' ELSE 'B' || o_custkey || '.1.1' END AS ref, 'B' || o_custkey || '.1.1' AS t FROM orders) o LEFT JOIN (SELECT id, min(s_nationkey) AS s_nationkey, count(*) AS n FROM (SELECT 'B' || s_suppkey || '.1.1' AS id, s_nationkey FROM supplier UNION ALL SELECT 'B5.1.1', 5) GROUP BY id) ON t = id")
 def link_targets(spark, d):  # RD15, RD19, JN18
     b = F.concat(F.lit("B"), F.col("o_custkey").cast("string"))
@@ -337,6 +342,12 @@ def folded_lines(spark, d):  # RD11
     return publish.fold_lines(c).select("work", "pre", "text")
 
 
+@query()
+def folded_lines_all(spark, d):  # RD11, whole texts
+    c = load(spark, d, "conversations").select(F.col("conv_id").alias("work"), F.col("turn").alias("pre"), F.when(F.col("turn") % 3 == 2, "selah").alias("type"), "text")
+    return publish.fold_lines(c).select("work", "pre", "text")
+
+
 @query("""
 WITH n AS (SELECT l_orderkey AS k, l_linenumber AS pre, l_partkey AS p, CASE WHEN l_suppkey % 2 = 0 THEN l_linenumber END AS vs FROM (SELECT DISTINCT l_orderkey, l_linenumber, min(l_partkey) OVER w AS l_partkey, min(l_suppkey) OVER w AS l_suppkey FROM lineitem WINDOW w AS (PARTITION BY l_orderkey, l_linenumber))),
 x AS (SELECT *, coalesce(vs, first_value(vs IGNORE NULLS) OVER (PARTITION BY k ORDER BY pre ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(vs IGNORE NULLS) OVER (PARTITION BY k ORDER BY pre ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS key FROM n)
