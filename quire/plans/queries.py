@@ -156,6 +156,13 @@ def multi_key_lookup(spark, d):  # JN1
     return integrity.lookup(c, p, "ref", "ident").select("conv_id", "turn", "p_partkey")
 
 
+@query()
+def multi_key_lookup_all(spark, d):  # JN1, all parts: the ids differ by type, and the result has a row for every match
+    c = load(spark, d, "conversations").select("conv_id", "turn", F.concat("role", F.lit(" x")).alias("ref"))
+    p = load(spark, d, "part").select("p_partkey", F.when(F.col("p_type") == "ECONOMY", "user other").otherwise("none").alias("ident"))
+    return integrity.lookup(c, p, "ref", "ident").select("conv_id", "turn", "p_partkey")
+
+
 @query("SELECT md5(text) AS ident, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 def dup_ids(spark, d):  # AG8
     return integrity.duplicate_ids(load(spark, d, "documents"), F.md5("text").alias("ident"))
