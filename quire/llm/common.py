@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -14,9 +15,12 @@ NULL_ID = -(2**63)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one serves a local master;
+    any other is refused, as its executors would each write to a disk of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = getattr(spark, "_quire_scratch", None)
         if folder is None:
             folder = spark._quire_scratch = "file://" + tempfile.mkdtemp(prefix="quire-")
@@ -58,14 +62,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh(df: DataFrame, names: Iterable[str], stem: str) -> str:
+def fresh(df: DataFrame, stem: str) -> str:
     """A column name that df does not have."""
-    taken = {c.lower() for c in [*df.columns, *names]}
+    taken = {c.lower() for c in df.columns}
     name = stem
     while name.lower() in taken:
         name += "_"
     return name
 
 
+def quoted(name: str) -> str:
+    """A column name as it must be written where names are parsed (it may hold a dot)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns(names: Iterable[str]) -> list[Column]:
+    return [F.col(quoted(c)) for c in names]
+
+
 def order_id(col: str) -> Column:
-    return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID).cast("long"))
+    return F.coalesce(F.col(quoted(col)).cast("long"), F.lit(NULL_ID).cast("long"))

@@ -249,7 +249,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     inner = found.schema["row_"].dataType.simpleString()
     kept = found.mapInArrow(run, f"text string, lost boolean, row_ {inner}").filter("NOT lost")
     back = F.when(~F.col("row_.null_"), F.col("text")).alias(text)
-    return kept.select(*(back if c.lower() == text.lower() else F.col("row_")[c].alias(c) for c in docs.columns))
+    return kept.select(*(back if c.lower() == text.lower() else F.col("row_.others")[c].alias(c) for c in docs.columns))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
