@@ -9,7 +9,7 @@ at an anchor is compared on all 64 bits. A whole threshold on one side would fin
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -19,29 +19,41 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, small_batches, table
+from quire.llm.common import columns, cut, fresh, quoted, small_batches, table
 from quire.llm.components import components
 
 SEED, BITS = 42, 2
 _LOW = np.uint64((1 << 63) - 1)
 #: Groups up to this size are compared pair by pair; larger ones (4034 at most) are linked through shared bits.
 PAIRWISE = 24
+#: Hashes whose bits are counted together.
+CHUNK = 65536
 
 
-def fingerprint(text: str | None, size: int) -> int:
-    """The SimHash of a text's word shingles, repeats included: a bit is set if it is set in over half of their XXH64."""
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """The XXH64 of a text's word shingles, repeats included; a text of fewer words is one shingle, a wordless one has none."""
     words = (text or "").encode().lower().split()
     if not words:
+        return np.empty(0, np.uint64)
+    found = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), found), np.uint64)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    if not len(h):
         return 0
-    hashed = partial(xxhash.xxh64_intdigest, seed=SEED)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-    h = np.fromiter(map(hashed, shingles), np.uint64)
     ones = np.zeros(64, np.int64)
-    for part in np.array_split(h, max(1, len(h) // 65536)):
+    for part in np.array_split(h, max(1, len(h) // CHUNK)):
         ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, size: int) -> int:
+    """The SimHash of a text's word shingles, repeats included: a bit is set if it is set in over half of their XXH64."""
+    return majority(shingles(text, size))
+
+
 def fingerprints(docs: DataFrame, key: str, text: str, size: int = 3) -> DataFrame:
     """(key, fp) for every row; fp is the fingerprint as a signed long. Null and wordless texts have fingerprint 0."""
 
@@ -52,7 +64,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, size: int = 3) -> DataFra
 
     small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(run, f"key {kind}, fp bigint").withColumnRenamed("key", key)
+    return docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).mapInArrow(run, f"key {kind}, fp bigint").withColumnRenamed("key", key)
 
 
 def _pair_masks() -> np.ndarray:
@@ -178,62 +190,26 @@ def near_duplicates(docs: DataFrame, key: str, text: str, size: int = 3) -> Data
     with a null key take part; a group with no other key has a null component. Other columns are ignored.
     """
     fps = cut(fingerprints(docs, key, text, size), "fingerprints")
-    firsts = cut(fps.groupBy("fp").agg(F.min(key).alias("first")), "firsts")
+    firsts = cut(fps.groupBy("fp").agg(F.min(quoted(key)).alias("first")), "firsts")
     roots = components(links(firsts)).withColumnRenamed("node", "fp")
     linked = cut(roots.join(firsts, "fp"), "linked")
     best = cut(linked.groupBy("root").agg(F.min("first").alias("component")), "best")
     named = linked.join(best, "root").select("fp", "component")
     classes = cut(firsts.join(named, "fp", "left").select("fp", F.coalesce("component", "first").alias("component")), "classes")
-    return fps.join(classes, "fp").select(key, "fp", "component")
+    return fps.join(classes, "fp").select(quoted(key), "fp", "component")
 
 
 # Near copies further apart ------------------------------------------------------------------------------------------
 #
-# At a similarity of 0.8 too many bits of a fingerprint differ for its anchors, and words of a longer one meet by chance only.
-# So the stage joins sets of shingles: see _shared. The codes of 31-bit words below serve no query any more.
-
-WORDS, BITS_OF_WORD = 24, 31
-
-
-def _word_tables() -> tuple[np.ndarray, np.ndarray]:
-    """For each syndrome of the code on 31 bits the 16 error patterns to anchors within 2 (the single bit first), and the
-    patterns' codes of 10 bits: the numbers of their bits."""
-    masks, codes = np.zeros((32, 16), np.uint64), np.zeros((32, 16), np.uint64)
-    for s in range(1, 32):
-        pairs = [(s, 0), *((i, i ^ s) for i in range(1, 32) if i < i ^ s and i != s)]
-        masks[s] = [(1 << (i - 1)) | (1 << (j - 1) if j else 0) for i, j in pairs]
-        codes[s] = [i | j << 5 for i, j in pairs]
-    return masks, codes
-
-
-_WORD_MASKS, _WORD_CODES = _word_tables()
-_WORD_CHECKS = [np.uint64(sum(1 << (i - 1) for i in range(1, 32) if i >> b & 1)) for b in range(5)]
-
-
-def meeting_keys(words: np.ndarray, use: Iterable[int] = range(WORDS)) -> tuple[np.ndarray, np.ndarray]:
-    """For words (signatures, WORDS) of 31 bits, those in use: (row, key). A key holds from the top the word's number, the anchor, the error
-    pattern (10 bits) and 17 bits of the next word."""
-    rows, keys = [], []
-    for t in use:
-        x, rough = words[:, t], words[:, (t + 1) % WORDS] & np.uint64((1 << 17) - 1)
-        s = np.zeros(len(x), np.int64)
-        for b, mask in enumerate(_WORD_CHECKS):
-            s |= (np.bitwise_count(x & mask).astype(np.int64) & 1) << b
-        head = (np.uint64(t) << np.uint64(58)) | rough
-        exact, other = np.flatnonzero(s == 0), np.flatnonzero(s)
-        rows += [exact, np.repeat(other, 16)]
-        at = x[other][:, None] ^ _WORD_MASKS[s[other]]
-        keys += [head[exact] | x[exact] << np.uint64(27), (head[other][:, None] | at << np.uint64(27) | _WORD_CODES[s[other]] << np.uint64(17)).ravel()]
-    return np.concatenate(rows), np.concatenate(keys)
-
-
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """The sorted distinct XXH64 of a text's word shingles, without their lowest four bits; a shorter text is one shingle."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64) >> np.uint64(4))
+# At a similarity of 0.8 about a seventh of a fingerprint's bits differ, too many for its anchors. So the stage takes what
+# the anchors find first, checks it on the sets of shingles, and completes it by an exact join of these sets: see _shared.
+
+
+def shingle_set(text: str | None, size: int) -> tuple[np.ndarray, int]:
+    """The sorted distinct XXH64 of a text's word shingles, without their lowest four bits, and the SimHash of the distinct ones."""
+    found = np.unique(shingles(text, size))
+    short = found >> np.uint64(4)
+    return short[np.r_[True, short[1:] != short[:-1]]] if len(short) else short, majority(found)
 
 
 def _digest(found: np.ndarray) -> bytes:
@@ -280,7 +256,7 @@ def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
         for batch in batches:
             sets, nodes = [], []
             for doc, digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = shingle_set(text, size)
+                found, _ = shingle_set(text, size)
                 if len(found) and _digest(found) == digest:
                     sets.append(found)
                     nodes.append(doc)
@@ -360,9 +336,8 @@ def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
     return cut(counted.mapInArrow(gather, "node long, n long, shared binary, prefix array<long>"), "shared")
 
 
-def _pairs(key: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, similarity: float, hubs: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes with one shingle (rows sorted by key), unlike roots and sizes that allow the similarity: with hubs those
-    with the first row of the shingle, otherwise all."""
+def _pairs(key: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes with one shingle (rows sorted by key), unlike roots and sizes that allow the similarity."""
 
     def fit(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ok = (root[i] != root[j]) & (_least(np.maximum(n[i], n[j]), similarity) <= np.minimum(n[i], n[j]))
@@ -374,31 +349,19 @@ def _pairs(key: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, s
 
     heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[heads, len(key)])
-    if hubs:
-        yield fit(np.arange(len(key)), np.repeat(heads, sizes))
-        return
     small = np.repeat(sizes <= 64, sizes)
     for step in range(1, min(64, int(sizes.max(initial=0)))):
         i = np.flatnonzero((key[step:] == key[:-step]) & small[step:])
         yield fit(i, i + step)
     for h, size in zip(heads[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
-        mine = np.arange(h, h + size)
-        if (root[mine] != root[h]).any():
-            for i in mine[:-1].tolist():
-                others = np.arange(i + 1, h + size)
-                yield fit(np.full(len(others), i), others)
+        for i in range(h, h + size - 1):
+            others = np.arange(i + 1, h + size)
+            yield fit(np.full(len(others), i), others)
 
 
-def _links(shared: DataFrame, roots: DataFrame | None, similarity: float, turn: int) -> DataFrame:
-    """Verified links (x, y) between nodes of unlike roots that share a shingle of their prefixes. Turns 0 and 1 try a hub for
-    each shingle, turn 2 all pairs that are left: a group that the hubs have joined gives none."""
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches):
-            key, node, n, root = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(4))
-            for x, y in _pairs(key, node, n, root, similarity, turn < 2):
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+def _verified(shared: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (x, y) of nodes whose sets have the similarity. Shingles of one text alone are no common ones, so the shared
+    ones tell; nodes without a row in shared have no partner."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -407,51 +370,91 @@ def _links(shared: DataFrame, roots: DataFrame | None, similarity: float, turn:
             union = batch.column(2).to_numpy() + batch.column(3).to_numpy() - common
             yield batch.select([0, 1]).filter(pa.array(common >= similarity * union - 1e-9))
 
-    rows = shared.select("node", "n", F.explode("prefix").alias("key"))
-    if roots is None:
-        rows = rows.withColumn("root", F.col("node"))
-    else:
-        rows = rows.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = [F.col("node")] if turn == 0 else [F.xxhash64("node"), F.col("node")]
-    dealt = rows.select("key", "node", "n", "root").repartition("key").sortWithinPartitions("key", *first)
-    pairs = cut(dealt.mapInArrow(meet, "x long, y long").distinct(), "candidates")
     of = lambda end: shared.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("shared").alias(f"s_{end}"))
     met = pairs.join(of("x"), "x").join(of("y"), "y").select("x", "y", "n_x", "n_y", "s_x", "s_y")
     return cut(met.mapInArrow(verify, "x long, y long"), "links")
 
 
+def _anchored(nodes: DataFrame) -> DataFrame:
+    """Candidates (x, y) of nodes (node, fp) by the covering code: a star of the nodes with one fingerprint, and the links between
+    fingerprints within BITS bits."""
+    firsts = cut(nodes.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    ends = [firsts.select(F.col("fp").alias(e), F.col("first").alias(f"node_{e}")) for e in ("x", "y")]
+    near = links(firsts).join(ends[0], "x").join(ends[1], "y").select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))
+    star = nodes.join(firsts, "fp").filter("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y"))
+    return near.unionAll(star)
+
+
+def _hubs(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Candidates (x, y): each row (key, node, n, root) with its shingle's hub, the node of least hash. The hubs are cut first, so
+    that a shingle which a third of all nodes have is handed its hub over plain exchanges, which adaptive execution can split."""
+    order = F.xxhash64(F.lit(turn), "node")
+    hubs = cut(rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "n", "root")).alias("hub"), F.count("*").alias("of")).filter("of > 1"), "hubs")
+    fit = F.ceil(F.greatest("n", "hub.n") * similarity - 1e-9) <= F.least("n", "hub.n")
+    met = rows.join(hubs, "key").filter((F.col("root") != F.col("hub.root")) & fit)
+    return met.select(F.least("node", "hub.node").alias("x"), F.greatest("node", "hub.node").alias("y")).distinct()
+
+
+def _rest(rows: DataFrame, similarity: float) -> DataFrame:
+    """Candidates (x, y): all pairs of unlike roots with a common shingle, of shingles that have unlike roots."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _groups(batches):
+            columns = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in found]) for i in range(4))
+            for x, y in _pairs(*columns, similarity):
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+    apart = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key"), "apart")
+    left = rows.join(apart, "key", "left_semi").select("key", "node", "n", "root")
+    return left.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "x long, y long").distinct()
+
+
 def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, root): the smallest key of each distinct set of shingles, and the smallest key of its group. Null keys take no part.
 
     Texts are linked if their sets of shingles have the Jaccard similarity: exact but for equal hashes of 60 bits. Wordless
-    texts are one node, copies are one node."""
+    texts are one node, copies are one node. The anchors of SimHash fingerprints give the first candidates, hubs of rare
+    shingles the next, and the pairs that are still apart but share a rare shingle the last; each is checked on the sets
+    before it links. What is joined already is not compared again, so a large group costs a few pairs for each node.
+    """
     small_batches(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_digest(shingle_set(x.as_py(), size)) for x in batch.column(1)], pa.binary())], ["doc", "digest"])
+            signed = [shingle_set(x.as_py(), size) for x in batch.column(1)]
+            fps = np.array([fp for _, fp in signed], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_digest(found) for found, _ in signed], pa.binary()), pa.array(fps)], ["doc", "digest", "fp"])
 
-    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    nodes = cut(rows.mapInArrow(sign, "doc long, digest binary").groupBy("digest").agg(F.min("doc").alias("node")).select("node", "digest"), "nodes")
+    rows = docs.filter(F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).cast("long").alias("doc"), F.col(quoted(text)).alias("text"))
+    nodes = cut(rows.mapInArrow(sign, "doc long, digest binary, fp long").groupBy("digest").agg(F.min("doc").alias("node"), F.min("fp").alias("fp")), "nodes")
     # merged, so that the rows of a batch come in the same order if a task is run again
     texts = rows.join(nodes.select(F.col("node").alias("doc"), "digest").hint("merge"), "doc")
     shared = _shared(texts, size, similarity)
-    every, roots = None, None
-    for turn in range(3):
-        found = _links(shared, roots, similarity, turn)
-        every = found if every is None else every.unionAll(found)
-        roots = cut(components(every), "roots")
+    prefixes = shared.select("node", "n", F.explode("prefix").alias("key"))
+
+    def joined(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        roots = cut(components(found), "roots")
+        return roots, prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    every = _verified(shared, _anchored(nodes.select("node", "fp")), similarity)
+    roots, apart = joined(every)
+    for turn in range(2):
+        every = every.unionAll(_verified(shared, cut(_hubs(apart, similarity, turn), "candidates"), similarity))
+        roots, apart = joined(every)
+    roots, _ = joined(every.unionAll(_verified(shared, cut(_rest(apart, similarity), "candidates"), similarity)))
     return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def keep_one(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one row of each group of near copies, the one with the smallest key; rows that repeat a key count as copies,
-    rows without a key stay."""
-    kept = cut(similar_groups(docs, key, text, size, similarity).filter("node = root").select(F.col("node").alias("__kept")), "kept")
-    first = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    stays = docs.filter(F.col(key).isNotNull()).join(kept, F.col(key).cast("long") == F.col("__kept"), "left_semi")
-    stays = stays.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
-    return stays.unionByName(docs.filter(F.col(key).isNull()))
+    rows without a key stay. An empty table stays empty; columns may have any names."""
+    own, mark, number = F.col(quoted(key)), fresh(docs, "kept"), fresh(docs, "number")
+    kept = cut(similar_groups(docs, key, text, size, similarity).filter("node = root").select(F.col("node").alias(mark)), "kept")
+    first = Window.partitionBy(own).orderBy(F.xxhash64(F.col(quoted(text))))
+    stays = docs.filter(own.isNotNull()).join(kept, own.cast("long") == F.col(mark), "left_semi")
+    stays = stays.withColumn(number, F.row_number().over(first)).filter(F.col(number) == 1).select(*columns(docs.columns))
+    return stays.unionByName(docs.filter(own.isNull()))
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
