@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Stands for a null doc_id inside an operator: null sorts before every other id.
 NULL_ID = -(2**63)
@@ -80,5 +81,17 @@ def columns(names: Iterable[str]) -> list[Column]:
     return [F.col(quoted(c)) for c in names]
 
 
+def map_rows(docs: DataFrame, run: Callable[[Iterator], Iterator], more: StructType) -> DataFrame:
+    """docs with the columns of more, which run adds to Arrow batches whose columns have plain names (c0, c1, ...): mapInArrow
+    refuses names with a dot."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, *more.fields])).toDF(*docs.columns, *more.names)
+
+
+def place(docs: DataFrame, name: str) -> int:
+    """The number of a column."""
+    return [c.lower() for c in docs.columns].index(name.lower())
+
+
 def order_id(col: str) -> Column:
     return F.coalesce(F.col(quoted(col)).cast("long"), F.lit(NULL_ID).cast("long"))

@@ -1,8 +1,9 @@
 """Language identification as inference in a multilingual mixture.
 
 Each word comes from one language, with the likelihood of its character trigrams there; expectation-maximisation
-estimates every language's share of a document. Languages leave the mixture, the smallest share first, as long as the
-likelihood drops by less than a penalty; the largest share of those that stay is the prediction.
+estimates every language's share of a document, and all learned languages enter. Languages leave the mixture as long as the
+likelihood drops by less than a penalty: first all that hold less than a word, if they can go together, then one by one, the
+smallest share first. The largest share of those that stay is the prediction.
 """
 
 from __future__ import annotations
@@ -15,15 +16,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from quire.llm.common import small_batches, table
+from quire.llm.common import columns, map_rows, place, small_batches, table
 
 #: Trigram buckets; the model has one number for each bucket and language.
 BUCKETS = 1 << 16
 #: Added to every count.
 SMOOTHING = 0.5
-#: Documents inferred together, rounds of expectation-maximisation for each set, and languages that enter it at most.
-DOCS, ROUNDS, MIXED = 512, 5, 4
+#: Documents inferred together, and rounds of expectation-maximisation for each set.
+DOCS, ROUNDS = 512, 5
 #: Nats that a further language must gain: a part for each word (likelihoods of single words are noisy) and a multiple of log(words).
 PER_WORD, PER_LOG = 0.15, 1.0
 UNKNOWN = "und"
@@ -112,26 +114,31 @@ def infer(model: Model, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]
     p = np.exp(np.maximum(logp - logp.max(axis=1, keepdims=True), -60))
     n = np.add.reduceat(count, ptr)
     langs = len(model.langs)
-    single = np.add.reduceat(count[:, None] * logp, ptr, axis=0)
-    # the most likely languages enter the mixture
-    mask = np.zeros((len(texts), langs), bool)
-    np.put_along_axis(mask, np.argsort(-single, axis=1, kind="stable")[:, :MIXED], True, axis=1)
-    share, _ = _mixture(p, count, doc, ptr, mask / mask.sum(axis=1, keepdims=True), ROUNDS)
+    mask = np.ones((len(texts), langs), bool)
+    share, _ = _mixture(p, count, doc, ptr, mask / langs, ROUNDS)
     whole = share
-    rows = np.arange(len(texts))
     penalty = PER_LOG * np.log(n + 1) + PER_WORD * n
     share, fit_ = _mixture(p, count, doc, ptr, share, 1)
-    going = mask.sum(axis=1) > 1
-    while going.any():
-        weakest = np.where(mask, share, np.inf).argmin(axis=1)
-        fewer = mask.copy()
-        fewer[rows[going], weakest[going]] = False
+
+    def without(fewer: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """Where asked, take the smaller set if it costs less than the penalty; says where it was taken."""
         start = np.where(fewer, np.maximum(share, 1e-3), 0)
         start /= start.sum(axis=1, keepdims=True)
         less, fit_less = _mixture(p, count, doc, ptr, start, ROUNDS)
-        drop = going & (fit_ - fit_less < penalty)
+        drop = asked & (fit_ - fit_less < penalty)
         mask[drop], share[drop], fit_[drop] = fewer[drop], less[drop], fit_less[drop]
-        going = drop & (mask.sum(axis=1) > 1)
+        return drop
+
+    idle = share * n[:, None] < 1
+    idle[np.arange(len(texts)), share.argmax(axis=1)] = False
+    if langs > 2 and (idle.sum(axis=1) > 1).any():
+        without(~idle, idle.any(axis=1))
+    going = mask.sum(axis=1) > 1
+    while going.any():
+        weakest = np.where(mask, share, np.inf).argmin(axis=1)
+        fewer = mask.copy()
+        fewer[np.flatnonzero(going), weakest[going]] = False
+        going = without(fewer, going) & (mask.sum(axis=1) > 1)
     return np.where(mask, share, 0), whole
 
 
@@ -141,13 +148,11 @@ def identify(docs: DataFrame, text: str, model: Model) -> DataFrame:
     every text if the model has no language. No column is used but text; repeated rows get equal results. Columns of docs
     with one of the new names are replaced."""
     small_batches(docs.sparkSession)
-    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score", "languages")))
-    langs = model.langs
+    docs = docs.select(*columns(c for c in docs.columns if c.lower() not in ("lang_pred", "score", "languages")))
+    langs, at = model.langs, place(docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = None
         for batch in batches:
-            at = batch.schema.get_field_index(text) if at is None else at
             for i in range(0, batch.num_rows, DOCS):
                 part = batch.slice(i, DOCS)
                 spoken = [words(x or "") for x in part.column(at).to_pylist()]
@@ -164,8 +169,7 @@ def identify(docs: DataFrame, text: str, model: Model) -> DataFrame:
                 extra = [pa.array(pred), pa.array(score, pa.float64()), pa.array(sets, pa.map_(pa.string(), pa.float64()))]
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*part.schema.names, "lang_pred", "score", "languages"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kinds}, lang_pred string, score double, languages map<string,double>")
+    return map_rows(docs, run, StructType.fromDDL("lang_pred string, score double, languages map<string,double>"))
 
 
 def held_out(key: str) -> Column:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, scratch_path, table
+from quire.llm.common import cut, fresh, quoted, scratch_path, table
 
 
 @dataclass(frozen=True)
@@ -80,20 +80,22 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def scan(docs: DataFrame, key: str, text: str, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Findings of every (key, text) row: key, blob, kind, spans; only kinds with a span have a row.
+    """(key, blob, found) for every row: the blob of its text, and a map of kinds to spans (null if there are none).
 
     ledger is a folder that driver and executors share; it is made by the first scan, and later scans read only what they
     have not seen. Null text is the empty text, which has no finding. Repeated rows, a key with several texts (its
-    versions) and null keys each keep their own findings, an empty table has none, other columns are ignored.
+    versions) and null keys each keep their own findings, an empty table has no row and adds nothing to the ledger, other
+    columns are ignored.
 
-    A blob is scanned at one of the paths that hold it, the smallest key, so the text moves once, to where its hash was
-    compared, whatever the number of copies. Findings are joined to paths on the blob; that join has plain exchanges on
+    A blob is scanned at one of the paths that hold it, the smallest key, and meets its text by both key and hash: the text
+    moves once, whatever the number of copies, and versions of one key or rows without a key meet their own blob alone. Findings are joined to paths on the blob; that join has plain exchanges on
     both sides, so adaptive execution can split a blob that a third of all paths hold.
     """
     spark = docs.sparkSession
     wanted = {r.kind: r.version for r in rules}
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    paths = cut(rows.select("key", F.unhex(F.sha2("text", 256)).alias("blob")), "paths")
+    rows = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
+    named = rows.withColumn("blob", F.unhex(F.sha2("text", 256)))
+    paths = cut(named.select("key", "blob"), "paths")
     blobs = paths.groupBy("blob").agg(F.min("key").alias("first"))
     known = read_ledger(spark, ledger)
     every = F.array(*map(F.lit, wanted))
@@ -105,8 +107,9 @@ def scan(docs: DataFrame, key: str, text: str, ledger: str, rules: Sequence[Rule
         todo = blobs.join(done, "blob", "left").withColumn("todo", F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))).drop("done")
         todo = todo.filter(F.size("todo") > 0)
     todo = cut(todo.select(F.col("first").alias("key"), "blob", "todo"), "unseen")
-    # a key may have several versions: its text is the one with the blob's hash; repeated rows give the same ledger row
-    picked = rows.join(todo.withColumnRenamed("key", "key_"), F.col("key").eqNullSafe(F.col("key_"))).filter(F.unhex(F.sha2("text", 256)) == F.col("blob"))
+    # repeated rows give the same ledger row
+    todo = todo.select(F.col("key").alias("key_"), F.col("blob").alias("blob_"), "todo")
+    picked = named.join(todo, F.col("key").eqNullSafe(F.col("key_")) & (F.col("blob") == F.col("blob_"))).select("blob", "text", "todo")
     scan_blobs(picked, rules).write.mode("append").parquet(ledger)
     found = spark.read.schema(LEDGER).parquet(ledger)
     current = F.lit(False)
@@ -130,24 +133,30 @@ def listing(found: Column, kinds: Sequence[str], rank: dict[str, int]) -> Column
 
 
 def redact(docs: DataFrame, key: str, text: str, ledger: str, rules: Sequence[Rule] = RULES, mark: str = "[secret]") -> DataFrame:
-    """docs with every found span of text replaced by mark; overlapping spans become one mark. All columns stay, null text stays null."""
-    blob = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    found = cut(scan(docs, key, text, ledger, rules).filter("found IS NOT NULL").select(F.col("blob").alias("__blob"), F.array_sort(F.flatten(F.map_values("found"))).alias("__spans")).dropDuplicates(["__blob"]), "redactions")
+    """docs with every found span of text replaced by mark; overlapping spans become one mark. All columns stay, whatever
+    their names; null text stays null, repeated rows and null keys stay as rows, an empty table stays empty."""
+    body, blob, at = F.col(quoted(text)), fresh(docs, "blob"), fresh(docs, "spans")
+    marks = scan(docs, key, text, ledger, rules).filter("found IS NOT NULL").select(F.col("blob").alias(blob), F.array_sort(F.flatten(F.map_values("found"))).alias(at)).dropDuplicates([blob])
+    found = cut(marks, "redactions")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"])
+        gap = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
         return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["kept"], gap, F.lit(mark)).alias("kept"))).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["kept"].alias("kept")))
 
-    clean = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["kept"], F.substring(F.col(text), acc["at"] + 1, F.length(F.col(text)))))
-    joined = docs.withColumn("__blob", blob).join(found, "__blob", "left")
-    return joined.withColumn(text, F.when(F.col("__spans").isNotNull() & F.col(text).isNotNull(), clean).otherwise(F.col(text))).select(*docs.columns)
+    clean = F.aggregate(at, start, step, lambda acc: F.concat(acc["kept"], F.substring(body, acc["at"] + 1, F.length(body))))
+    joined = docs.withColumn(blob, F.unhex(F.sha2(F.coalesce(body, F.lit("")), 256))).join(found, blob, "left")
+    told = F.when(F.col(at).isNotNull() & body.isNotNull(), clean).otherwise(body).alias(text)
+    return joined.select(*(told if c.lower() == text.lower() else F.col(quoted(c)) for c in docs.columns))
 
 
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Two scans over one ledger: the base rules come first, and when the method's own join them, only these are left to scan."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rank = {r.kind: i for i, r in enumerate(RULES)}
-    got = scan(docs.select("doc_id", "text"), "doc_id", "text", scratch_path(spark, "ledger"))
+    ledger = scratch_path(spark, "ledger")
+    scan(docs, "doc_id", "text", ledger, [r for r in RULES if r.kind in BASE])
+    got = scan(docs, "doc_id", "text", ledger)
     count = lambda k: F.coalesce(F.size(F.col("found")[k]), F.lit(0)).cast("long")
     return got.select(
         "doc_id",

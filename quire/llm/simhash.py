@@ -28,6 +28,8 @@ _LOW = np.uint64((1 << 63) - 1)
 PAIRWISE = 24
 #: Hashes whose bits are counted together.
 CHUNK = 65536
+#: Classes of shingles whose parities a set keeps, and rows of one shingle that a task compares with each other.
+PARITIES, BLOCK = 1024, 8192
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -221,6 +223,11 @@ def _least(n: np.ndarray, similarity: float) -> np.ndarray:
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
+def _parities(found: np.ndarray) -> bytes:
+    """Whether the number of shingles of a set is odd, for each of PARITIES classes of shingles, packed."""
+    return np.packbits(np.bincount((found % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1).tobytes()
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
     """Rows sorted by their first column, as the whole rows of one or several of its values at a time."""
     rest: list[pa.RecordBatch] = []
@@ -243,8 +250,8 @@ _LOW48 = np.uint64((1 << 48) - 1)
 
 
 def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(node, n, shared, prefix) of texts (doc, digest, text) that may have a partner: the number of distinct shingles, those
-    that other texts have too (sorted, packed), and those of them in the prefix.
+    """(node, n, shared, prefix, parity) of texts (doc, digest, text) that may have a partner: the number of distinct shingles,
+    those that other texts have too (sorted, packed), those of them in the prefix, and the parities of all of them.
 
     Shingles are ordered by the number of texts they are in, then by hash. Two sets of the similarity have a common shingle
     among the first n - least + 1 of either, so a text whose prefix is all its own has no partner. Shingles go by the first
@@ -327,31 +334,37 @@ def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
                         pa.array(n[hit]),
                         pa.array([np.sort(x).tobytes() for x in lists], pa.binary()),
                         pa.array([x[: ours[i]].view(np.int64) for i, x in zip(hit, lists, strict=True)], pa.list_(pa.int64())),
+                        pa.array([_parities(x) for x in lists], pa.binary()),
                     ],
-                    ["node", "n", "shared", "prefix"],
+                    ["node", "n", "shared", "prefix", "parity"],
                 )
 
     dealt = texts.select("doc", "digest", "text").mapInArrow(deal, "part int, batch long, entry boolean, blob binary").repartition("part").sortWithinPartitions("part")
     counted = dealt.mapInArrow(count, "batch long, entry boolean, blob binary").repartition("batch").sortWithinPartitions("batch")
-    return cut(counted.mapInArrow(gather, "node long, n long, shared binary, prefix array<long>"), "shared")
+    return cut(counted.mapInArrow(gather, "node long, n long, shared binary, prefix array<long>, parity binary"), "shared")
 
 
-def _pairs(key: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes with one shingle (rows sorted by key), unlike roots and sizes that allow the similarity."""
+def _pairs(cell: np.ndarray, node: np.ndarray, n: np.ndarray, private: np.ndarray, root: np.ndarray, side: np.ndarray, parity: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes in one cell (rows sorted by cell), of unlike roots and unlike sides (side 0 meets itself too) that may have the
+    similarity: by their sizes, and by how many shingles at least are in one set only. Classes of unlike parity hold one such
+    shingle each, and the private ones (of one text alone) are known, so no pair of the similarity is lost."""
 
     def fit(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ok = (root[i] != root[j]) & (_least(np.maximum(n[i], n[j]), similarity) <= np.minimum(n[i], n[j]))
+        ok = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] == 0)) & (_least(np.maximum(n[i], n[j]), similarity) <= np.minimum(n[i], n[j]))
+        i, j = i[ok], j[ok]
+        apart = private[i] + private[j] + np.bitwise_count(parity[i] ^ parity[j]).sum(axis=1, dtype=np.int64)
+        ok = apart <= (1 - similarity) / (1 + similarity) * (n[i] + n[j]) + 1e-6
         x, y = np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]
         order = np.lexsort((y, x))
         x, y = x[order], y[order]
         fresh = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if len(x) else np.empty(0, bool)
         return x[fresh], y[fresh]
 
-    heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    sizes = np.diff(np.r_[heads, len(key)])
+    heads = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    sizes = np.diff(np.r_[heads, len(cell)])
     small = np.repeat(sizes <= 64, sizes)
     for step in range(1, min(64, int(sizes.max(initial=0)))):
-        i = np.flatnonzero((key[step:] == key[:-step]) & small[step:])
+        i = np.flatnonzero((cell[step:] == cell[:-step]) & small[step:])
         yield fit(i, i + step)
     for h, size in zip(heads[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
         for i in range(h, h + size - 1):
@@ -395,19 +408,27 @@ def _hubs(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
     return met.select(F.least("node", "hub.node").alias("x"), F.greatest("node", "hub.node").alias("y")).distinct()
 
 
-def _rest(rows: DataFrame, similarity: float) -> DataFrame:
-    """Candidates (x, y): all pairs of unlike roots with a common shingle, of shingles that have unlike roots."""
+def _rest(rows: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
+    """Candidates (x, y): the pairs of unlike roots with a common shingle that may have the similarity, of shingles that have unlike
+    roots. A shingle of more than BLOCK such rows is dealt over cells of two blocks each, so no task holds more of it."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _groups(batches):
-            columns = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in found]) for i in range(4))
-            for x, y in _pairs(*columns, similarity):
+            cell, node, n, private, root, side = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in found]) for i in range(6))
+            parity = np.frombuffer(b"".join(x for r in found for x in r.column(6).to_pylist()), "<u8").reshape(len(node), -1)
+            for x, y in _pairs(cell, node, n, private, root, side, parity, similarity):
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
-    apart = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key"), "apart")
-    left = rows.join(apart, "key", "left_semi").select("key", "node", "n", "root")
-    return left.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "x long, y long").distinct()
+    apart = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("of")).filter("a < b").select("key", F.ceil(F.col("of") / BLOCK).cast("int").alias("blocks")), "apart")
+    own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int")
+    left = rows.join(apart, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.when(F.col("blocks") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    side = F.when(F.col("own") < F.col("other"), 1).when(F.col("own") > F.col("other"), 2).otherwise(0)
+    left = left.select(cell.alias("cell"), "node", "root", side.alias("side"))
+    sets = shared.select("node", "n", (F.col("n") - F.length("shared") / 8).cast("long").alias("private"), "parity")
+    dealt = left.join(sets, "node").select("cell", "node", "n", "private", "root", "side", "parity").repartition("cell").sortWithinPartitions("cell", "node")
+    return dealt.mapInArrow(meet, "x long, y long").distinct()
 
 
 def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -442,7 +463,7 @@ def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similari
     for turn in range(2):
         every = every.unionAll(_verified(shared, cut(_hubs(apart, similarity, turn), "candidates"), similarity))
         roots, apart = joined(every)
-    roots, _ = joined(every.unionAll(_verified(shared, cut(_rest(apart, similarity), "candidates"), similarity)))
+    roots, _ = joined(every.unionAll(_verified(shared, cut(_rest(apart, shared, similarity), "candidates"), similarity)))
     return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 

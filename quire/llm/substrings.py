@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire.llm.common import table
 from quire.llm.repeats import Kind, _mix, covered, sliced, with_spans
@@ -246,8 +247,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(lost), batch.column(3)], ["text", "lost", "row_"])
 
     found = with_spans(docs, key, text, WORDS)
-    inner = found.schema["row_"].dataType.simpleString()
-    kept = found.mapInArrow(run, f"text string, lost boolean, row_ {inner}").filter("NOT lost")
+    kept = found.mapInArrow(run, StructType().add("text", "string").add("lost", "boolean").add(found.schema["row_"])).filter("NOT lost")
     back = F.when(~F.col("row_.null_"), F.col("text")).alias(text)
     return kept.select(*(back if c.lower() == text.lower() else F.col("row_.others")[c].alias(c) for c in docs.columns))
 

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from quire.llm.common import small_batches, table
+from quire.llm.common import columns, fresh, map_rows, place, quoted, small_batches, table
 from quire.llm.language import held_out
 
 #: Labelled documents that the chain is fitted on at most, those of least hash; features that a model knows; folds.
@@ -184,8 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: d
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["key", "tokens", "style"])
 
     kind = docs.schema[key].dataType.simpleString()
+    mark = fresh(docs, "key")
     # at most `sample` label rows are sent to the documents, so the broadcast is bounded
-    held = docs.filter(F.col(text).isNotNull()).join(F.broadcast(chosen.select(F.col(key).alias("__key"))), F.col(key) == F.col("__key"), "left_semi")
+    held = docs.filter(F.col(quoted(text)).isNotNull()).join(F.broadcast(chosen.select(F.col(quoted(key)).alias(mark))), F.col(quoted(key)) == F.col(mark), "left_semi")
     rows = held.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(gather, f"key {kind}, tokens array<int>, style array<double>")
     got = rows.toPandas().drop_duplicates("key").sort_values("key")
     if not len(got):
@@ -200,24 +202,26 @@ def score(docs: DataFrame, text: str, chain: Chain | None) -> DataFrame:
     new names are replaced."""
     models = chain.models if chain else []
     new = {f"{x}_{m.category}".lower() for m in models for x in ("p", "is")}
-    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in new))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    docs = docs.select(*columns(c for c in docs.columns if c.lower() not in new))
     if not models:
         return docs
+    at = place(docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                p = chain.predict([t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()])
+                p = chain.predict([t or "" for t in part.column(at).to_pylist()])
                 cols, names = [*part.columns], [*part.schema.names]
                 for k, m in enumerate(models):
                     cols += [pa.array(p[:, k]), pa.array(p[:, k] >= m.threshold)]
                     names += [f"p_{m.category}", f"is_{m.category}"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    more = ", ".join(f"p_{m.category} double, is_{m.category} boolean" for m in models)
-    return docs.mapInArrow(run, f"{kinds}, {more}")
+    more = StructType()
+    for m in models:
+        more = more.add(f"p_{m.category}", "double").add(f"is_{m.category}", "boolean")
+    return map_rows(docs, run, more)
 
 
 CATEGORIES = {"poor": "quality = 0", "toxic": "toxic = 1"}

@@ -13,12 +13,12 @@ from quire.llm.components import components
 from tests.llm import brute
 
 #: Extra columns whose names the operators use inside.
-EXTRA = "key string, text_ string, spans int, fp string, id_ int, blob string, score string, lang_pred string, row_ string, node long, found string, p_toxic string"
+EXTRA = "key string, text_ string, spans int, fp string, id_ int, blob string, score string, lang_pred string, row_ string, node long, found string, p_toxic string, __kept int, __n int, __blob string, __spans string, `a.b` int, kept string, number int, others string, null_ string"
 SCHEMA = f"doc_id long, text string, {EXTRA}"
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "k", "t", 1, "f", 2, "b", "s", "l", "r", 3, "d", "p") for i, t in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "k", "t", 1, "f", 2, "b", "s", "l", "r", 3, "d", "p", 4, 7, "bb", "ss", 8, "kk", 9, "o", "nn") for i, t in rows], SCHEMA)
 
 
 def passages(seed, n=60):
@@ -44,7 +44,7 @@ def test_substring_dedup(spark, seed):
         want = (len(x), kept.count(False), brute.digest(b" ".join(w for w, k in zip(x, kept, strict=True) if k)))
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == want, i
     left = {r.doc_id: r for r in substrings.remove_repeats(frame(spark, docs), "doc_id", "text").collect()}
-    assert left[400].text is None and left[401].text == "" and left[400].spans == 1
+    assert left[400].text is None and left[401].text == "" and left[400].spans == 1 and left[400]["a.b"] == 8 and left[400].others == "o"
     for (i, _), (x, kept) in zip(docs, brute.later(docs, lambda t: (t or "").encode().split(), 20), strict=True):
         assert (i in left) == (not x or any(kept))
         if i in left:
@@ -147,6 +147,7 @@ def test_similar_groups(spark):
     got = {x.node: x.root for x in simhash.similar_groups(frame_, "doc_id", "text").collect()}
     assert all(kinds[n] == kinds[m] for n, m in got.items() if n in kinds)
     assert sum(got[n] == kinds[n] * 10 for n in got if n in kinds) >= 0.95 * sum(n in kinds for n in got)
+    assert simhash.keep_one(frame_, "doc_id", "text").columns == frame_.columns and {(x["__kept"], x["__n"], x["a.b"]) for x in simhash.keep_one(frame_, "doc_id", "text").collect()} == {(4, 7, 8)}
     assert got[902] == 902 and got[903] == 903 and got[900] == 900 and 901 not in got
     kept = [x.doc_id for x in simhash.keep_one(frame_, "doc_id", "text").collect()]
     assert kept.count(None) == 2 and kept.count(0) == 1 and {900, 902, 903} <= {*kept} and 901 not in kept
@@ -160,8 +161,10 @@ def similar_roots(spark, docs):
     return got, want
 
 
-def test_similar_groups_in_a_crowd(spark):
+@pytest.mark.parametrize("block", [8192, 8])
+def test_similar_groups_in_a_crowd(spark, monkeypatch, block):
     """Many texts of one template whose similarities lie around 0.8, among strangers that share a passage."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
     r = random.Random(31)
     base = [f"b{i}" for i in range(200)]
     docs = []
@@ -188,6 +191,26 @@ def test_similar_groups_in_chains(spark):
     assert got == want and {*want.values()} == {*range(0, 36, 3)}
 
 
+def test_similar_groups_in_long_chains(spark):
+    """Chains of 30 versions, each an edit of the one before, alone and in a crowd of versions of one base."""
+    r = random.Random(33)
+    docs = []
+    for g in range(4):
+        words = [f"g{g}_{i}" for i in range(200)]
+        for _ in range(30):
+            docs.append((len(docs), " ".join(words)))
+            for k in r.sample(range(200), 2):
+                words[k] = f"v{r.random()}"
+    base = [f"c{i}" for i in range(150)]
+    for _ in range(100):
+        words = list(base)
+        for k in r.sample(range(150), r.randint(0, 3)):
+            words[k] = f"w{r.random()}"
+        docs.append((len(docs), " ".join(words)))
+    got, want = similar_roots(spark, docs)
+    assert got == {i: want[i] for i in got} and len(got) > 150
+
+
 def test_similar_groups_count_a_shingle_once(spark):
     junk = " ".join([f"junk{i}" for i in range(10)] * 500)
     text = [" ".join(f"t{k}_{i}" for i in range(300)) for k in range(3)]
@@ -349,10 +372,26 @@ def test_secret_spans(spark):
     assert {r.doc_id for r in secrets.scan(more, "doc_id", "text", ledger, rules).collect() if r.found} == {1, None, 8}
     # four blobs (null is the empty text) by five rules, again by the changed rule, and the new blob by all
     assert spark.read.parquet(ledger).select("blob", "kind", "version").distinct().count() == 4 * 5 + 4 + 5
-    clean = {r.text for r in secrets.redact(docs, "doc_id", "text", ledger).collect()}
+    cleaned = secrets.redact(docs, "doc_id", "text", ledger)
+    assert cleaned.columns == docs.columns and {(r["__blob"], r["__spans"], r["a.b"]) for r in cleaned.collect()} == {("bb", "ss", 8)}
+    clean = {r.text for r in cleaned.collect()}
     assert "x [secret]" in clean and None in clean and not any(t and "abcdef" in t for t in clean)
 
 
+def test_secret_scans_of_many_rows_without_a_key(spark):
+    """Rows without a key, and versions of one key, meet their own blob alone: 3,000 by 3,000 would be nine million pairs."""
+    rows = [(None, f"token = abcdef{i:06d}") for i in range(3000)] + [(5, f"secret: uvwxyz{i:06d}") for i in range(3000)]
+    ledger = scratch_path(spark, "ledger-null")
+    got = secrets.scan(frame(spark, rows), "doc_id", "text", ledger)
+    assert got.count() == 6000 and got.filter("size(found['assign']) = 1").count() == 6000
+    empty = secrets.scan(frame(spark, rows).limit(0), "doc_id", "text", ledger)
+    assert empty.count() == 0 and secrets.redact(frame(spark, rows).limit(0), "doc_id", "text", ledger).count() == 0
+    assert spark.read.parquet(ledger).count() == 6000 * len(secrets.RULES)
+    long_ = "x" * 300_000 + " passwd=" + "s" * 50 + " " + "y " * 200_000
+    found = secrets.scan(frame(spark, [(1, long_)]), "doc_id", "text", scratch_path(spark, "ledger-long")).first().found
+    assert [(x.start, x.end) for x in found["assign"]] == [(300_001, 300_058)]
+
+
 def fixture_gif(disposal):
     pal = np.zeros((256, 3), np.uint8)
     pal[:4] = [[255, 0, 0], [0, 255, 0], [0, 0, 255], [9, 9, 9]]
