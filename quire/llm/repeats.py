@@ -117,10 +117,9 @@ def _find_anchors(kind: Kind) -> Callable:
     return run
 
 
-def _find_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _find_repeated(most: int) -> Callable:
     """Rows whose key occurs again, and a row with n = 0 for each wide key. Rows come sorted by part; a part is held as long as
     it lasts, which is a few rows of each task that has its key."""
-    rest = np.empty((7, 0), _I64)
 
     def told(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         part, key, seen, doc, tag, start, n = rows
@@ -131,19 +130,23 @@ def _find_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         take = (n > 0) & ((seen == 0) | (each >= 2))
         if take.any():
             yield _batch("key doc tag start n", key[take], doc[take], tag[take], start[take], n[take].astype(np.int32))
-        wide = part[head[total > WIDE]]
+        wide = part[head[total > most]]
         if len(wide):
             zero = np.zeros(len(wide), _I64)
             yield _batch("key doc tag start n", wide, zero, zero, zero, zero.astype(np.int32))
 
-    for batch in batches:
-        rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(_I64) for c in batch.columns])], axis=1)
-        whole = int(np.searchsorted(rows[0], rows[0, -1], side="left")) if rows.shape[1] else 0
-        if whole:
-            yield from told(rows[:, :whole])
-        rest = rows[:, whole:]
-    if rest.shape[1]:
-        yield from told(rest)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = np.empty((7, 0), _I64)
+        for batch in batches:
+            rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(_I64) for c in batch.columns])], axis=1)
+            whole = int(np.searchsorted(rows[0], rows[0, -1], side="left")) if rows.shape[1] else 0
+            if whole:
+                yield from told(rows[:, :whole])
+            rest = rows[:, whole:]
+        if rest.shape[1]:
+            yield from told(rest)
+
+    return run
 
 
 def _cut_slices(kind: Kind) -> Callable:
@@ -288,7 +291,7 @@ def with_spans(docs: DataFrame, doc: str, text: str, kind: Kind) -> DataFrame:
     others = F.struct(*columns(c for c in docs.columns if c.lower() != text.lower()))
     rows = docs.select(order_id(doc).alias("id_"), tag.alias("tag_"), F.coalesce(whole, F.lit("")).alias("text_"), F.struct(others.alias("others"), whole.isNull().alias("null_")).alias("row_"))
     met = rows.select("id_", "tag_", "text_").mapInArrow(_find_anchors(kind), "part bigint, key bigint, seen bigint, doc bigint, tag bigint, start bigint, n int")
-    repeated = cut(met.repartition("part").sortWithinPartitions("part").mapInArrow(_find_repeated, "key bigint, doc bigint, tag bigint, start bigint, n int"), "repeated")
+    repeated = cut(met.repartition("part").sortWithinPartitions("part").mapInArrow(_find_repeated(WIDE), "key bigint, doc bigint, tag bigint, start bigint, n int"), "repeated")
     wide = repeated.filter("n = 0").select("key").distinct().withColumn("wide", F.lit(True))
     marked = repeated.filter("n > 0").join(wide, "key", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     asked = marked.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n", "key", "wide")).alias("rows"))

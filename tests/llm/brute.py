@@ -51,3 +51,54 @@ def later(docs, tokens, length):
 
 def digest(parts):
     return hashlib.sha256(parts).hexdigest()
+
+
+def gif_samples(data):
+    """The samples of each frame of a GIF, by the plainest reading of the format."""
+    flags = data[10]
+    at = 13 + (3 << (flags & 7) + 1 if flags & 128 else 0)
+    out = []
+    while data[at] != 0x3B:
+        depth = None
+        if data[at] == 0x21:
+            at += 2
+        else:
+            flags = data[at + 9]
+            at += 10 + (3 << (flags & 7) + 1 if flags & 128 else 0)
+            depth = data[at]
+            at += 1
+        body = b""
+        while data[at]:
+            body += data[at + 1 : at + 1 + data[at]]
+            at += 1 + data[at]
+        at += 1
+        if depth is not None:
+            out.append(_unlzw(body, depth))
+    return out
+
+
+def _unlzw(body, depth):
+    clear, end = 1 << depth, (1 << depth) + 1
+    value, have, at, width = 0, 0, 0, depth + 1
+    table, before, out = [], None, []
+    while True:
+        while have < width:
+            value |= body[at] << have
+            have += 8
+            at += 1
+        code = value & (1 << width) - 1
+        value >>= width
+        have -= width
+        if code == clear:
+            table = [bytes((i,)) for i in range(clear)] + [b"", b""]
+            before, width = None, depth + 1
+            continue
+        if code == end:
+            return b"".join(out)
+        entry = table[code] if code < len(table) else before + before[:1]
+        out.append(entry)
+        if before is not None and len(table) < 4096:
+            table.append(before + entry[:1])
+        before = entry
+        if len(table) == 1 << width and width < 12:
+            width += 1
