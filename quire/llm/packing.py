@@ -106,12 +106,14 @@ def best_fit(sizes: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule:
     return bins, used
 
 
-def pack(pieces: DataFrame, key: str, max_tokens: int = MAX_TOKENS, max_documents: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6), rule: str = "norm") -> DataFrame:
+def pack(pieces: DataFrame, key: str, max_tokens: int = MAX_TOKENS, max_documents: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.1, 0.1), rule: str = "norm") -> DataFrame:
     """pieces with sequence_id and offset (the place in the sequence, gapless from 0). pieces must be a table that was cut.
 
     Pieces are dealt over shards by hash, so a shard holds a fair sample of all lengths whatever the sources are, and
     each shard packs on its own: at most one sequence of a shard stays ill filled. The number of shards follows the input,
-    so a shard's memory does not. max_documents and max_cost default to what max_tokens alone allows.
+    so a shard's memory does not. max_documents and max_cost default to what max_tokens alone allows, so that they cost no
+    sequence; their residuals weigh in the choice of a bin all the same. Null keys and repeated rows keep their pieces, an
+    empty table gives none.
     """
     caps = np.array([max_tokens, max_documents or max_tokens, max_cost or max_tokens**2], float)
     total = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("n")).first()
