@@ -292,8 +292,9 @@ def with_spans(docs: DataFrame, doc: str, text: str, kind: Kind) -> DataFrame:
     rows = docs.select(order_id(doc).alias("id_"), tag.alias("tag_"), F.coalesce(whole, F.lit("")).alias("text_"), F.struct(others.alias("others"), whole.isNull().alias("null_")).alias("row_"))
     met = rows.select("id_", "tag_", "text_").mapInArrow(_find_anchors(kind), "part bigint, key bigint, seen bigint, doc bigint, tag bigint, start bigint, n int")
     repeated = cut(met.repartition("part").sortWithinPartitions("part").mapInArrow(_find_repeated(WIDE), "key bigint, doc bigint, tag bigint, start bigint, n int"), "repeated")
-    wide = repeated.filter("n = 0").select("key").distinct().withColumn("wide", F.lit(True))
-    marked = repeated.filter("n > 0").join(wide, "key", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
+    # a table of its own: where its size allows it is broadcast, and the rows need no exchange by key
+    wide = cut(repeated.filter("n = 0").select("key").distinct(), "wide")
+    marked = repeated.filter("n > 0").join(wide.withColumn("wide", F.lit(True)), "key", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     asked = marked.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n", "key", "wide")).alias("rows"))
     # both joins need the same columns of rows, so that they read one exchange of the texts
     held = rows.join(asked, (F.col("id_") == F.col("doc")) & (F.col("tag_") == F.col("tag"))).select("id_", "tag_", "text_", "rows", "row_")
