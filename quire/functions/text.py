@@ -243,6 +243,22 @@ def is_utf8(data: Column) -> Column:
     return F.is_valid_utf8(data.cast("string"))
 
 
+def protect(s: Column, pattern: str) -> Column:
+    """AN5: every match of pattern as `{{{a_b}}}`, its spaces written as underscores, so that later patterns pass it over."""
+    found = F.regexp_extract_all(s, F.lit(pattern), F.lit(0))
+    kept = F.transform(found, lambda x: F.concat(F.lit("{{{"), F.replace(x, F.lit(" "), F.lit("_")), F.lit("}}}")))
+    parts = F.arrays_zip(F.split(s, pattern, -1).alias("gap"), kept.alias("kept"))
+    return F.array_join(F.transform(parts, lambda p: F.concat(p["gap"], F.coalesce(p["kept"], F.lit("")))), "")
+
+
+def unprotect(s: Column) -> Column:
+    """AN5: the texts that protect() hid, as they were (a match must have no underscore of its own)."""
+    shape = "\\{\\{\\{[^{}]*\\}\\}\\}"
+    kept = F.transform(F.regexp_extract_all(s, F.lit(shape), F.lit(0)), lambda x: F.replace(F.regexp_replace(x, "[{}]", ""), F.lit("_"), F.lit(" ")))
+    parts = F.arrays_zip(F.split(s, shape, -1).alias("gap"), kept.alias("kept"))
+    return F.array_join(F.transform(parts, lambda p: F.concat(p["gap"], F.coalesce(p["kept"], F.lit("")))), "")
+
+
 def context_sample(text: Column, link: Column, longest: int = 256) -> Column:
     """AN12: the text around a link, the link marked by stars, white space squeezed, one sentence if it is longer than allowed."""
     marked = squeeze(F.replace(text, link, F.concat(F.lit("*"), link, F.lit("*"))))

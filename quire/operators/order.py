@@ -97,11 +97,11 @@ def sequence_findings(df: DataFrame, number: str, by: Sequence[str], order: Sequ
 def repair_verses(df: DataFrame, by: Sequence[str], order: Sequence[str], start: str, end: str, due: Column) -> DataFrame:
     """WN13: a missing start follows the end before it, an end reaches to the next start, the last one to the canon's count.
 
-    Adds fixed_start, fixed_end and corrected."""
+    Adds fixed_start, fixed_end and corrected. Rows that the order does not tell apart are taken by their repaired start."""
     w = _over(by, order)
     a = F.coalesce(F.col(start), F.lag(end).over(w) + 1, F.lit(1))
     out = df.withColumn("fixed_start", a)
-    following = F.lead("fixed_start").over(w)
+    following = F.lead("fixed_start").over(_over(by, [*order, "fixed_start"]))
     out = out.withColumn("fixed_end", F.when(following.isNull(), due).otherwise(F.greatest(F.col("fixed_start"), following - 1)))
     return out.withColumn("corrected", ~(F.col("fixed_start").eqNullSafe(F.col(start)) & F.col("fixed_end").eqNullSafe(F.col(end))))
 

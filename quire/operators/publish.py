@@ -113,6 +113,23 @@ def menus(keywords: DataFrame, by: Sequence[str], order: Sequence[str], title: s
     return out.withColumn("letter", letter).withColumn("opens_letter", ~F.lag(letter).over(Window.partitionBy(*by).orderBy(*order)).eqNullSafe(letter))
 
 
+def sub_publications(files: DataFrame, path: str, books: DataFrame) -> DataFrame:
+    """SC20: publications by the directories that hold files: (dir, name, place). A number before the name gives the place, else the
+    first book of its files in canon order. books: (code, ord); a file's code is its first three letters."""
+    code = F.upper(F.substring(F.substring_index(path, "/", -1), 1, 3))
+    found = files.select(F.regexp_extract(path, "([^/]+)/[^/]*$", 1).alias("dir"), code.alias("code")).join(books, "code", "left")
+    prefix = F.expr("try_cast(nullif(regexp_extract(dir, '^([0-9]+)[ ._-]', 1), '') AS int)")
+    one = found.groupBy("dir").agg(F.min("ord").alias("ord"))
+    return one.select("dir", F.regexp_replace("dir", "^[0-9]+[ ._-]", "").alias("name"), F.coalesce(prefix, "ord").alias("place"))
+
+
+def canon_dump(canon: DataFrame) -> DataFrame:
+    """SK10: a verse system as XML, a row for each book. canon: vsys, book, book_ord, ch, last_vs."""
+    chapter = F.concat(F.lit('<chapter n="'), F.col("ch").cast("string"), F.lit('" verses="'), F.col("last_vs").cast("string"), F.lit('"/>'))
+    body = canon.groupBy("vsys", "book", "book_ord").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ch", chapter.alias("x")))), lambda s: s["x"]), "").alias("x"))
+    return body.select("vsys", "book_ord", F.concat(F.lit('<book id="'), "book", F.lit('">'), "x", F.lit("</book>")).alias("xml"))
+
+
 def custom_menus(menus_: DataFrame, custom: DataFrame) -> DataFrame:
     """RD21: a custom menu replaces the made one, or stands on top of it (place `top`)."""
     return menus_.join(custom.withColumnRenamed("body", "__b"), "id", "left").withColumn("body", F.when(F.col("__b").isNull(), F.col("body")).when(F.col("place") == "top", F.concat("__b", "body")).otherwise(F.col("__b"))).drop("__b", "place")

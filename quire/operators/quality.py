@@ -187,8 +187,8 @@ def is_fresh(built: Column, sources: Sequence[Column], hours: float | None = Non
 
 
 def search(texts: DataFrame, key: str, text: str, term: str, around: int = 40) -> DataFrame:
-    """AL6: where a term occurs, with some characters around it; words of the term must stand in one line."""
-    import re
-
-    pattern = f"(?im)^.{{0,{10**6}}}?(.{{0,{around}}}{re.escape(term)}.{{0,{around}}})"
-    return texts.filter(F.lower(F.col(text)).contains(term.lower())).select(key, F.regexp_extract(text, pattern, 1).alias("found"))
+    """AL6: the first line that has a term, in any case, cut to some characters around it."""
+    line = F.get(F.filter(F.split(text, "\n"), lambda x: F.lower(x).contains(term.lower())), 0)
+    at = F.instr(F.lower(F.col("line")), term.lower())
+    begin = F.greatest(at - around, F.lit(1))
+    return texts.select(key, line.alias("line")).filter("line IS NOT NULL").select(key, F.substring(F.col("line"), begin, at - begin + len(term) + around).alias("found"))

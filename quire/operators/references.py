@@ -195,15 +195,35 @@ def link_references(df: DataFrame, text: str, settings: Settings, book: str | No
             raise ValueError(f"more than {MOST_FIXES} fixes; they are a hand-made table that goes to every task")
         table = {r.found: r.instead for r in rows}
 
+    made: list[Grammar] = []  # of a task: its batches share it
+
     @F.pandas_udf(LINK)
     def run(t: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        g = Grammar(settings)
+        if not made:
+            made.append(Grammar(settings))
+        g = made[0]
         names = ("start", "end", "text", "type", "book", "ch", "vs", "lv", "ref", "status")
         one = lambda x, bk, n: [] if x is None or not any(k.isdigit() for k in x) else [{k: r[k] for k in names} for r in find(g, x, bk, None if n is None or n != n else int(n), table)]
         return pd.Series([one(x, bk, n) for x, bk, n in zip(t, b, c, strict=True)])
 
     null = lambda kind: F.lit(None).cast(kind)
-    return df.withColumn("links", run(F.col(text), F.col(book) if book else null("string"), F.col(ch).cast("int") if ch else null("int")))
+    return spread(df).withColumn("links", run(F.col(text), F.col(book) if book else null("string"), F.col(ch).cast("int") if ch else null("int")))
+
+
+def explicit_references(df: DataFrame, text: str, target: str, settings: Settings, codes: dict[str, str], book: str, ch: str) -> DataFrame:
+    """AN3: df with `ref`, what an explicit reference element means: its target attribute (`GEN 2:1`, codes: abbreviation to book) if it
+    has one, a bare number by its context, else the first reference that the grammar finds in its text."""
+    g = lambda i: F.nullif(F.regexp_extract(target, "^\\s*(\\w{3})\\s+(\\d+)(?:[:.](\\d+))?", i), F.lit(""))
+    known = F.create_map(*(F.lit(x) for kv in codes.items() for x in kv))
+    aimed = F.when(g(1).isNotNull(), F.concat_ws(".", F.element_at(known, F.upper(g(1))), g(2), g(3)))
+    bare = F.when(F.col(text).rlike("^\\s*\\d+\\s*$"), F.concat_ws(".", F.col(book), F.col(ch).cast("string"), F.trim(text)))
+    return link_references(df, text, settings, book, ch).withColumn("ref", F.coalesce(aimed, bare, F.get("links", 0)["ref"])).drop("links")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores where it has fewer partitions: the grammar costs far more than the exchange."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def fix_report(fixes: DataFrame, links: DataFrame) -> DataFrame:

@@ -446,7 +446,7 @@ def log_without_repeats(spark, d):  # WN11
 @query("""
 WITH r AS (SELECT l_orderkey AS k, l_linenumber AS o, CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_linenumber * 4 END AS s, l_linenumber * 4 + l_suppkey % 3 AS e FROM lineitem),
 f AS (SELECT *, coalesce(s, lag(e) OVER (PARTITION BY k ORDER BY o, e, s) + 1, 1) AS fs FROM r),
-g AS (SELECT *, lead(fs) OVER (PARTITION BY k ORDER BY o, e, s) AS nx FROM f)
+g AS (SELECT *, lead(fs) OVER (PARTITION BY k ORDER BY o, e, s, fs) AS nx FROM f)
 SELECT k, o, CAST(fs AS BIGINT) AS fixed_start, CAST(CASE WHEN nx IS NULL THEN 31 ELSE greatest(fs, nx - 1) END AS BIGINT) AS fixed_end FROM g""")
 def verse_repair(spark, d):  # WN13
     r = load(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("o"), F.when(F.col("l_partkey") % 3 != 0, F.col("l_linenumber") * 4).alias("s"), (F.col("l_linenumber") * 4 + F.col("l_suppkey") % 3).alias("e"))
