@@ -44,6 +44,6 @@ def publication_report(df: DataFrame, pub: str, who: str, when: str) -> DataFram
     return df.groupBy(F.col(pub).alias("pub")).agg(F.count("*").alias("n_orders"), F.countDistinct(who).alias("n_customers"), F.min(when).alias("first_date"), F.max(when).alias("last_date"))
 
 
-def joined(df: DataFrame, by: Sequence[str], value: str, separator: str = " ") -> Column:
+def joined(value: str, separator: str = " ") -> Column:
     """AG19: the distinct values of a group in order, joined."""
     return F.array_join(F.array_sort(F.collect_set(F.col(value).cast("string"))), separator)

@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _checkpoints(spark: SparkSession) -> None:
+    """Without checkpoints a round's plan is twice as long as the one before. spark.checkpoint.dir names their folder; where it is
+    unset, a local master gets a temporary one, and any other must be told."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
+
+
 def closure(deps: DataFrame, job: str = "job", needs: str = "needs", rounds: int = 30) -> DataFrame:
     """AL1: every (job, needs) that follows from the direct ones, by doubling path lengths; cycles are allowed."""
-    paths = deps.select(job, needs).distinct()
+    _checkpoints(deps.sparkSession)
+    paths = deps.select(job, needs).distinct().checkpoint()
     count = paths.count()
     for _ in range(rounds):
         step = paths.join(paths.select(F.col(job).alias(needs), F.col(needs).alias("__far")), needs).select(job, F.col("__far").alias(needs))
-        paths = paths.unionByName(step).distinct().checkpoint() if deps.sparkSession.sparkContext.getCheckpointDir() else paths.unionByName(step).distinct()
+        paths = paths.unionByName(step).distinct().checkpoint()
         grown = paths.count()
         if grown == count:
             break
@@ -40,18 +53,12 @@ def bounded_collections(books: DataFrame, by: str, order: str, size: str, most:
 
     def deal(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, ignore_index=True)
-        sizes = (pdf[size] + book_overhead).tolist()
-        todo, out = [list(range(len(sizes)))], [0] * len(sizes)
-        k = 0
-        while k < len(todo):
-            moved: list[int] = []
-            while len(todo[k]) > 1 and overhead + sum(sizes[i] for i in todo[k]) > most:
-                moved.insert(0, todo[k].pop())
-            if moved:
-                todo.append(moved)
-            for i in todo[k]:
-                out[i] = k + 1
-            k += 1
+        out, used, k = [], 0, 1
+        for n in (pdf[size] + book_overhead).tolist():
+            if used and overhead + used + n > most:
+                used, k = 0, k + 1
+            used += n
+            out.append(k)
         return pdf.assign(collection=pd.Series(out, dtype="int32"))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in books.schema.fields)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import integrity, inventory, order, publish, ranges
+from quire.operators import integrity, inventory, order, publish, ranges, sorting
 from quire.sources import conf, html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,9 +45,10 @@ def char_rare(spark, d):  # AG1
     return inventory.char_inventory(load(spark, d, "documents"), "text").filter("is_rare").select("ch", "n")
 
 
-@query()
-def cluster_inventory(spark, d):  # AG1
-    return inventory.cluster_inventory(load(spark, d, "documents"), "text")
+@query("SELECT cluster, sum(n) AS n FROM (SELECT 'e' || chr(769) AS cluster, count(*) AS n FROM documents WHERE lang = 'fr' UNION ALL SELECT chr(128104) || chr(8205) || chr(128105), count(*) FROM documents WHERE lang = 'de') WHERE n > 0 GROUP BY 1".replace("sum(n)", "CAST(sum(n) AS BIGINT)"))
+def cluster_inventory(spark, d):  # AG1: texts of two languages have a cluster added at their end
+    more = F.when(F.col("lang") == "fr", " e\u0301").when(F.col("lang") == "de", " \U0001f468\u200d\U0001f469").otherwise("")
+    return inventory.cluster_inventory(load(spark, d, "documents").select(F.concat("text", more).alias("text")), "text")
 
 
 @query("""
@@ -73,10 +74,9 @@ def class_inventory(spark, d):  # AG18, AN22
     return inventory.class_inventory(load(spark, d, "pages"), "html")
 
 
-@query("WITH i AS (SELECT 'div' AS tag, unnest(regexp_extract_all(html, '<div[^>]*?\\sclass=\"([^\"]*)\"', 1)) AS class FROM pages), m(tag, class) AS (VALUES ('div', 'ad'), ('div', 'note')) SELECT tag, class, 'unmapped' AS finding FROM (SELECT DISTINCT * FROM i EXCEPT SELECT * FROM m) UNION ALL SELECT tag, class, 'unused' FROM (SELECT * FROM m EXCEPT SELECT * FROM i)")
+@query("WITH i AS (SELECT DISTINCT lower(regexp_extract(m, '^<([A-Za-z0-9]+)', 1)) AS tag, regexp_extract(m, 'class=\"([^\"]*)\"', 1) AS class FROM (SELECT unnest(regexp_extract_all(html, '<[A-Za-z][A-Za-z0-9]*[^>]*?\\sclass=\"[^\"]*\"')) AS m FROM pages)), m(tag, class) AS (VALUES ('div', 'ad'), ('div', 'note')) SELECT tag, class, 'unmapped' AS finding FROM (SELECT * FROM i EXCEPT SELECT * FROM m) UNION ALL SELECT tag, class, 'unused' FROM (SELECT * FROM m EXCEPT SELECT * FROM i)")
 def style_findings(spark, d):  # AN22
-    got = inventory.class_inventory(load(spark, d, "pages"), "html").filter("tag = 'div'")
-    return inventory.style_findings(got, spark.createDataFrame([("div", "ad"), ("div", "note")], "tag string, class string"))
+    return inventory.style_findings(inventory.class_inventory(load(spark, d, "pages"), "html"), spark.createDataFrame([("div", "ad"), ("div", "note")], "tag string, class string"))
 
 
 @query("SELECT event_type AS kind, count(*) AS n FROM events GROUP BY ROLLUP (event_type)")
@@ -96,7 +96,7 @@ def unused_rules(spark, d):  # AG5
 
 
 @query("SELECT conv_id, count(*) AS n, string_agg(role, '' ORDER BY turn, role) AS said, CAST(sum(length(text)) AS BIGINT) AS total FROM conversations GROUP BY conv_id")
-def merged_metrics(spark, d):  # AG6
+def merged_metrics(spark, d):  # AG6, UX7
     parts = load(spark, d, "conversations").select("conv_id", F.lit(1).cast("long").alias("n"), F.col("turn").alias("seq"), F.col("role").alias("said"), F.array(F.length("text")).alias("items"))
     m = inventory.merge_metrics(parts, ["conv_id"])
     return m.select("conv_id", "n", "said", F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
@@ -117,10 +117,9 @@ def largest_glossary(spark, d):  # AG13
     return inventory.largest_group(load(spark, d, "documents"), "lang")
 
 
-@query("SELECT o_orderstatus AS pub, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM orders GROUP BY 1")
+@query("SELECT o_custkey AS pub, count(*) AS n_orders, count(DISTINCT o_orderstatus) AS n_customers, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM orders GROUP BY 1")
 def publication_report(spark, d):  # AG14
-    o = load(spark, d, "orders")
-    return o.groupBy(F.col("o_orderstatus").alias("pub")).agg(F.count("*").alias("n_orders"), F.countDistinct("o_custkey").alias("n_customers"), F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
+    return sorting.publication_report(load(spark, d, "orders"), "o_custkey", "o_orderstatus", "o_orderdate")
 
 
 @query("SELECT p_brand, arg_min(p_name, (length(p_name), CASE WHEN p_size < 10 THEN 0 ELSE 1 END, p_name)) AS short_name, arg_max(p_name, (length(p_name), p_name)) AS long_name FROM part GROUP BY p_brand")
@@ -138,7 +137,7 @@ def link_class_split(spark, d):  # AG17
 
 @query("SELECT p_brand, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS types FROM part GROUP BY p_brand")
 def joined_values(spark, d):  # AG19
-    return load(spark, d, "part").groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("p_type")), ", ").alias("types"))
+    return load(spark, d, "part").groupBy("p_brand").agg(sorting.joined("p_type", ", ").alias("types"))
 
 
 # integrity ---------------------------------------------------------------------------------------------------------
@@ -149,15 +148,8 @@ def dangling_refs(spark, d):  # JN2, JN3, JN6
     return integrity.dangling(load(spark, d, "orders").select("o_orderkey", "o_custkey"), load(spark, d, "customer").filter("c_acctbal > 0"), "o_custkey", "c_custkey")
 
 
-@query("SELECT k.conv_id, k.turn, p.p_partkey FROM (SELECT conv_id, turn, unnest(string_split(role || ' x', ' ')) AS w FROM conversations) k JOIN (SELECT p_partkey, unnest(string_split(CASE WHEN p_partkey % 2 = 0 THEN 'user other' ELSE 'none' END, ' ')) AS w FROM part WHERE p_partkey < 5) p USING (w)")
-def multi_key_lookup(spark, d):  # JN1
-    c = load(spark, d, "conversations").select("conv_id", "turn", F.concat("role", F.lit(" x")).alias("ref"))
-    p = load(spark, d, "part").filter("p_partkey < 5").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "user other").otherwise("none").alias("ident"))
-    return integrity.lookup(c, p, "ref", "ident").select("conv_id", "turn", "p_partkey")
-
-
-@query()
-def multi_key_lookup_all(spark, d):  # JN1, all parts: the ids differ by type, and the result has a row for every match
+@query("SELECT k.conv_id, k.turn, p.p_partkey FROM (SELECT conv_id, turn, unnest(string_split(role || ' x', ' ')) AS w FROM conversations) k JOIN (SELECT p_partkey, unnest(string_split(CASE WHEN p_type = 'ECONOMY' THEN 'user other' ELSE 'none' END, ' ')) AS w FROM part) p USING (w)")
+def multi_key_lookup(spark, d):  # JN1: the ids differ by type, and the result has a row for every match
     c = load(spark, d, "conversations").select("conv_id", "turn", F.concat("role", F.lit(" x")).alias("ref"))
     p = load(spark, d, "part").select("p_partkey", F.when(F.col("p_type") == "ECONOMY", "user other").otherwise("none").alias("ident"))
     return integrity.lookup(c, p, "ref", "ident").select("conv_id", "turn", "p_partkey")
@@ -168,9 +160,9 @@ def dup_ids(spark, d):  # AG8
     return integrity.duplicate_ids(load(spark, d, "documents"), F.md5("text").alias("ident"))
 
 
-@query("SELECT d.doc_id AS left_key, l.doc_id AS right_key, CASE WHEN d.doc_id IS NULL THEN 'right only' WHEN l.doc_id IS NULL THEN 'left only' ELSE 'both' END AS status FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 7 > 0) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)".replace("USING (doc_id)", "ON d.doc_id = l.doc_id"))
+@query("SELECT d.doc_id AS left_key, l.doc_id AS right_key, CASE WHEN d.doc_id IS NULL THEN 'right only' WHEN l.doc_id IS NULL THEN 'left only' ELSE 'both' END AS status FROM (SELECT DISTINCT doc_id FROM documents WHERE lang <> 'de') d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id")
 def reconcile_keys(spark, d):  # JN5
-    return integrity.reconcile(load(spark, d, "documents").filter("doc_id % 7 > 0"), load(spark, d, "labels"), "doc_id")
+    return integrity.reconcile(load(spark, d, "documents").filter("lang <> 'de'"), load(spark, d, "labels"), "doc_id")
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN p.p_partkey IS NULL THEN 'external' WHEN s.s_suppkey IS NULL THEN 'error' ELSE 'ok' END AS status FROM lineitem l LEFT JOIN (SELECT * FROM part WHERE p_size < 25) p ON l_partkey = p_partkey LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON l_suppkey = s_suppkey")
@@ -182,12 +174,15 @@ def link_status(spark, d):  # JN4
 
 
 @query("""
-WITH e AS (SELECT DISTINCT l_partkey % 40 AS a, l_suppkey % 40 AS b FROM lineitem WHERE l_quantity < 2 AND l_partkey % 40 <> l_suppkey % 40),
-s AS (SELECT a, min(b) AS b FROM (SELECT DISTINCT l_partkey % 40 AS a, l_suppkey % 40 AS b FROM lineitem WHERE l_quantity < 2 AND l_partkey % 40 <> l_suppkey % 40 AND l_orderkey % 50 = 0) GROUP BY a HAVING count(*) = 1)
-SELECT s.a, s.b FROM s JOIN e ON e.a = s.b AND e.b = s.a""")
-def circular_entries(spark, d):  # JN16
-    li = load(spark, d, "lineitem").filter("l_quantity < 2").select((F.col("l_partkey") % 40).alias("a"), (F.col("l_suppkey") % 40).alias("b"), "l_orderkey")
-    return integrity.circular(li, "a", "b", F.col("l_orderkey") % 50 == 0)
+WITH e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_partkey <> l_suppkey),
+s AS (SELECT a, min(b) AS b FROM (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_quantity < 2) GROUP BY a HAVING count(*) = 1)
+SELECT s.a, s.b FROM s JOIN e ON e.a = s.b AND e.b = s.a
+UNION ALL SELECT x.a + 1000000, x.b FROM s x JOIN (SELECT s_suppkey AS b FROM supplier) y USING (b) WHERE x.a + 1000000 <> x.b""")
+def circular_entries(spark, d):  # JN16: parts and suppliers that name each other, and entries that each supplier's link answers
+    li = load(spark, d, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), (F.col("l_quantity") < 2).alias("short"))
+    far = li.filter("short").select((F.col("a") + 1000000).alias("a"), "b", "short")
+    answers = load(spark, d, "supplier").select(F.col("s_suppkey").alias("b")).join(far.select("a", "b").distinct(), "b").select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(False).alias("short"))
+    return integrity.circular(li.unionByName(far).unionByName(answers), "a", "b", F.col("short"))
 
 
 @query("SELECT p_partkey, dup_index, dup_count, CASE WHEN dup_count = 1 THEN p_name ELSE first || '.dup' || dup_index END AS entry_id FROM (SELECT p_partkey, p_name, row_number() OVER w AS dup_index, count(*) OVER (PARTITION BY lower(trim(p_name))) AS dup_count, first_value(p_name) OVER w AS first FROM part WINDOW w AS (PARTITION BY lower(trim(p_name)) ORDER BY p_partkey))")
@@ -228,17 +223,10 @@ def link_disposition(spark, d):  # F10
 
 
 @query("""
-WITH p AS (SELECT doc_id, unnest(ws) AS part, generate_subscripts(ws, 1) AS pos FROM (SELECT doc_id, list_filter(string_split(regexp_replace(substr(text, 1, 400), '[^A-Za-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws FROM documents)),
+WITH p AS (SELECT doc_id, unnest(ws) AS part, generate_subscripts(ws, 1) AS pos FROM (SELECT doc_id, list_filter(string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws FROM documents)),
 ok AS (SELECT DISTINCT part FROM p WHERE length(part) = 4)
 SELECT d.doc_id, coalesce(string_agg(CASE WHEN ok.part IS NOT NULL THEN p.part END, ' ' ORDER BY pos), '') AS refs, count(ok.part) AS n_after, count(p.part) AS n_before, count(ok.part) = 0 AS is_empty FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN ok ON ok.part = p.part GROUP BY d.doc_id""")
-def multi_target_filter(spark, d):  # F11, F12; the 400 characters stand for a reference list
-    docs = load(spark, d, "documents").select("doc_id", F.regexp_replace(F.substring("text", 1, 400), "[^A-Za-z]+", " ").alias("refs"))
-    allowed = docs.select(F.explode(F.split("refs", "\\s+")).alias("part")).filter("length(part) = 4")
-    return integrity.keep_targets(docs, "doc_id", F.col("refs"), allowed, "part")
-
-
-@query()
-def multi_target_filter_all(spark, d):  # F11, F12; whole texts
+def multi_target_filter(spark, d):  # F11, F12; a text's words stand for a reference list
     docs = load(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^A-Za-z]+", " ").alias("refs"))
     allowed = docs.select(F.explode(F.split("refs", "\\s+")).alias("part")).filter("length(part) = 4")
     return integrity.keep_targets(docs, "doc_id", F.col("refs"), allowed, "part")
@@ -249,10 +237,10 @@ def rewrite_hits(spark, d):  # F18
     return integrity.substitutions(load(spark, d, "documents"), "text", [("th", "TH"), ("TH+e", "THe"), ("qqzz", "")])[1].select("pattern", "hits", "applied")
 
 
-@query("SELECT CASE WHEN event_type = 'error' AND value < 5 THEN 'NOTE' WHEN event_type = 'error' THEN 'ERROR' ELSE 'WARNING' END AS severity, count(*) AS n FROM events GROUP BY 1")
+@query("SELECT event_id, CASE WHEN event_type = 'error' AND value < 5 THEN 'NOTE' WHEN event_type = 'error' THEN 'ERROR' ELSE 'WARNING' END AS severity FROM events")
 def demoted_findings(spark, d):  # F22, F23, SK11
-    e = load(spark, d, "events").select(F.when(F.col("event_type") == "error", "ERROR").otherwise("WARNING").alias("severity"), F.when((F.col("event_type") == "error") & (F.col("value") < 5), "small error").otherwise("other").alias("message"))
-    return integrity.demote_findings(e, ["^small"]).groupBy("severity").agg(F.count("*").alias("n"))
+    e = load(spark, d, "events").select("event_id", F.when(F.col("event_type") == "error", "ERROR").otherwise("WARNING").alias("severity"), F.when((F.col("event_type") == "error") & (F.col("value") < 5), "small error").otherwise("other").alias("message"))
+    return integrity.demote_findings(e, ["^small"]).select("event_id", "severity")
 
 
 @query("SELECT source, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY source HAVING sum(length(text)) > 50000")
@@ -327,7 +315,7 @@ def scope_overlap(spark, d):  # JN13
 
 
 @query("""
-WITH v AS (SELECT c_nationkey AS k, 'B' || CAST(c_custkey // 40 AS VARCHAR) AS book, CAST((c_custkey % 40) // 10 + 1 AS INTEGER) AS ch, CAST(c_custkey % 10 + 1 AS INTEGER) AS vs, c_custkey AS ord FROM customer WHERE c_custkey % 17 <> 3 AND c_nationkey < 5),
+WITH v AS (SELECT c_nationkey AS k, 'B' || CAST(c_custkey // 40 AS VARCHAR) AS book, CAST((c_custkey % 40) // 10 + 1 AS INTEGER) AS ch, CAST(c_custkey % 10 + 1 AS INTEGER) AS vs, c_custkey AS ord FROM customer WHERE c_acctbal > 0),
 x AS (SELECT k, unnest(generate_series(ord, ord + 6)) AS ord FROM v), y AS (SELECT DISTINCT k, ord FROM x WHERE ord <= (SELECT max(c_custkey) FROM customer)),
 r AS (SELECT k, min(ord) AS a, max(ord) AS b FROM (SELECT k, ord, ord - row_number() OVER (PARTITION BY k ORDER BY ord) AS g FROM y) GROUP BY k, g),
 s AS (SELECT k, a, b, a % 40 = 0 AND b % 40 = 39 AS wb, a % 10 = 0 AND b % 10 = 9 AS wc FROM r),
@@ -338,7 +326,7 @@ def scope_strings(spark, d):  # RG4, RG5, D6, SK10: customers as verses of books
     c = load(spark, d, "customer")
     top = c.agg(F.max("c_custkey").alias("m"))
     chapters = c.filter("c_custkey % 10 = 0").select(F.lit("S").alias("vsys"), F.concat(F.lit("B"), F.floor(F.col("c_custkey") / 40).cast("string")).alias("book"), F.floor(F.col("c_custkey") / 40).alias("book_ord"), F.lit("OT").alias("testament"), (F.floor((F.col("c_custkey") % 40) / 10) + 1).cast("int").alias("ch"), F.lit(10).alias("last_vs"))
-    own = c.filter("c_custkey % 17 <> 3 AND c_nationkey < 5").select(F.col("c_nationkey").alias("k"), F.explode(F.sequence("c_custkey", F.col("c_custkey") + 6)).alias("o"))
+    own = c.filter("c_acctbal > 0").select(F.col("c_nationkey").alias("k"), F.explode(F.sequence("c_custkey", F.col("c_custkey") + 6)).alias("o"))
     own = own.crossJoin(F.broadcast(top)).filter("o <= m")
     v = own.select("k", F.concat(F.lit("B"), F.floor(F.col("o") / 40).cast("string")).alias("book"), (F.floor((F.col("o") % 40) / 10) + 1).cast("int").alias("ch"), (F.col("o") % 10 + 1).cast("int").alias("vs"))
     return ranges.scope_string(v, ranges.verse_index(chapters), ["k"], "S")
@@ -363,11 +351,11 @@ def node_set_algebra(spark, d):  # RG8
     return a.intersect(pick("F")).subtract(pick("P"))
 
 
-@query("SELECT a.o_orderkey, a.st AS project_value, b.st AS default_value FROM (SELECT o_orderkey, o_orderstatus AS st FROM orders WHERE o_orderkey % 5 > 0) a FULL JOIN (SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 'F' ELSE o_orderstatus END AS st FROM orders WHERE o_orderkey % 7 > 0) b ON a.o_orderkey = b.o_orderkey WHERE a.st IS DISTINCT FROM b.st".replace("SELECT a.o_orderkey", "SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey"))
+@query("SELECT a.o_orderkey, a.st AS project_value, b.st AS default_value FROM (SELECT o_orderkey, o_orderstatus AS st FROM orders WHERE o_orderpriority <> '5-LOW') a FULL JOIN (SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 'F' ELSE o_orderstatus END AS st FROM orders WHERE o_orderstatus <> 'P') b ON a.o_orderkey = b.o_orderkey WHERE a.st IS DISTINCT FROM b.st".replace("SELECT a.o_orderkey", "SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey"))
 def config_diff(spark, d):  # RG12
-    o = load(spark, d, "orders").select(F.lit("M").alias("section"), F.col("o_orderkey").alias("entry"), F.lit(0).alias("seq"), F.col("o_orderstatus").alias("value"), "o_totalprice")
-    a = o.filter("entry % 5 > 0").drop("o_totalprice")
-    b = o.filter("entry % 7 > 0").withColumn("value", F.when(F.col("o_totalprice") > 200000, "F").otherwise(F.col("value"))).drop("o_totalprice")
+    o = load(spark, d, "orders").select(F.lit("M").alias("section"), F.col("o_orderkey").alias("entry"), F.lit(0).alias("seq"), F.col("o_orderstatus").alias("value"), "o_totalprice", "o_orderpriority")
+    a = o.filter("o_orderpriority <> '5-LOW'").drop("o_totalprice", "o_orderpriority")
+    b = o.filter("value <> 'P'").withColumn("value", F.when(F.col("o_totalprice") > 200000, "F").otherwise(F.col("value"))).drop("o_totalprice", "o_orderpriority")
     return conf.differences(a, b).select(F.col("entry").alias("o_orderkey"), "project_value", "default_value")
 
 

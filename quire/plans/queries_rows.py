@@ -290,7 +290,8 @@ def _instructions(spark, d) -> DataFrame:
     part = text_of("VSYS_FROM_TO: ", book, ".", ch, ".2.PART -> ", other, ".", ch, ".4")
     gone, wrong = text_of("VSYS_MISSING: ", book, ".", ch, ".3.4"), text_of("VSYS_MOVED: ", book, ".", ch, ".3.5 -> ", other, ".", ch, ".7.8")
     raw = F.when(k == 0, moved).when(k == 1, part).when(k == 2, gone).otherwise(wrong)
-    return verses.instructions(load(spark, d, "orders").select(F.col("o_orderkey").alias("line_no"), raw.alias("raw")))
+    # exploded, so that the lines are made once and not in each of the parser's patterns
+    return verses.instructions(load(spark, d, "orders").select(F.col("o_orderkey").alias("line_no"), F.explode(F.array(raw)).alias("raw")))
 
 
 @query(f"SELECT o_orderkey AS line_no, ['MOVED', 'FROM_TO', 'MISSING', 'MOVED'][k + 1] AS op, book, CAST(ch AS INTEGER) AS ch, [3, 2, 3, 3][k + 1] AS vs, [5, 2, 4, 5][k + 1] AS lv, k = 1 AS partial, k < 3 AS valid FROM ({INST})")
@@ -426,6 +427,12 @@ def rule_matches(spark, d):  # AN9, AN7: quoted text, a flag, and a group named
     return terms.link_terms(p, rules, ["p_partkey"]).select("p_partkey", "entry", "text")
 
 
+@query("SELECT conv_id, min(turn) AS seq, 'la' AS text FROM conversations WHERE role <> 'system' AND regexp_matches(text, '(^|[^\\w\\x{80}-\\x{10FFFF}])la([^\\w\\x{80}-\\x{10FFFF}]|$)') GROUP BY conv_id")
+def first_terms(spark, d):  # AN6, WN2, F13: a rule links once in a context, and not in contexts that it excludes
+    c = load(spark, d, "conversations").select("conv_id", F.col("turn").alias("seq"), "text", F.col("role").alias("atom"), F.lit("OT").alias("testament"), F.lit(False).alias("in_keyword"))
+    return terms.link_terms(c, [terms.Rule("La", "D:La", r"/\b(la)\b/", not_context=frozenset({"system"}))], ["conv_id"]).select("conv_id", "seq", "text")
+
+
 @query("SELECT p_partkey, 'n' || p_size AS note, 1 AS mark_seq, CASE WHEN p_size % 2 = 0 THEN 4 END AS body_seq FROM part UNION ALL SELECT p_partkey, 'x' || p_size, NULL, 4 FROM part WHERE p_size % 2 = 1")
 def note_pairs(spark, d):  # AN14
     size = F.col("p_size")
@@ -523,7 +530,7 @@ def hooked_rows(spark, d):  # UX1
 
 
 @query("SELECT doc_id, k, CASE k WHEN 0 THEN true ELSE false END AS valid FROM documents, (VALUES (0), (1), (2)) v(k)")
-def utf8_damage(spark, d):  # SF28: whole texts, texts with a stray byte behind them, and texts cut within a character
+def utf8_check(spark, d):  # SF28: whole texts, texts with a stray byte behind them, and texts cut within a character
     data = F.encode("text", "UTF-8")
     odd = F.array(data, F.concat(data, F.unhex(F.lit("FF"))), F.concat(data, F.unhex(F.lit("E282"))))
     return load(spark, d, "documents").select("doc_id", F.posexplode(odd).alias("k", "b")).select("doc_id", "k", T.is_utf8(F.col("b")).alias("valid"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import integrity, publish, quality, ranges, references, terms, verses
+from quire.operators import integrity, publish, quality, ranges, references, sorting, terms, verses
 from quire.plans import graph
 from quire.plans.queries import load, query
 from quire.sources import commands, conf, xml
@@ -113,11 +113,6 @@ def class_and_ordinal(spark, d):  # SF24, SF25
     return load(spark, d, "part").select("p_partkey", T.css_class(F.lit("x"), F.lit(None), F.lit(""), F.lower("p_type")).alias("class"), T.ordinal(word).alias("nth"))
 
 
-@query("SELECT doc_id, true AS valid FROM documents")
-def utf8_check(spark, d):  # SF28
-    return load(spark, d, "documents").select("doc_id", T.is_utf8(F.encode("text", "UTF-8")).alias("valid"))
-
-
 @query("SELECT doc_id, length(regexp_replace(text, 'on|the', '', 'g')) AS n, regexp_matches(text, 'on|the') AS hit FROM documents")
 def alternation_match(spark, d):  # SF26, UX6
     pattern = T.alternation(["on", "the"])
@@ -136,21 +131,20 @@ def collation_sort(spark, d):  # ST2, ST3, ST5
 
 @query("SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_name, p_partkey) AS by_count, row_number() OVER (PARTITION BY p_brand ORDER BY length(p_name) DESC, p_name, p_partkey) AS by_length FROM part")
 def count_and_length_sorts(spark, d):  # ST4, ST8, ST12, ST14
-    over = lambda *k: F.row_number().over(Window.partitionBy("p_brand").orderBy(*k)).cast("long")
-    return load(spark, d, "part").select("p_partkey", over(F.desc("p_size"), "p_name", "p_partkey").alias("by_count"), over(F.length("p_name").desc(), "p_name", "p_partkey").alias("by_length"))
+    p = sorting.placed(load(spark, d, "part"), ["p_brand"], sorting.by_count("p_size", "p_name", "p_partkey"), "by_count")
+    return sorting.placed(p, ["p_brand"], sorting.by_length("p_name", "p_partkey"), "by_length").select("p_partkey", "by_count", "by_length")
 
 
 @query("SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY CASE WHEN bool_and THEN p_size ELSE 0 END, CASE WHEN bool_and THEN '' ELSE p_name END, p_partkey) AS place FROM (SELECT *, bool_and(p_size > 9) OVER (PARTITION BY p_brand, p_type) AS bool_and FROM part)")
 def numeric_keyword_sort(spark, d):  # ST6: numeric only where all keys of a group are
-    p = load(spark, d, "part").withColumn("all_", F.bool_and(F.col("p_size") > 9).over(Window.partitionBy("p_brand", "p_type")))
-    w = Window.partitionBy("p_brand").orderBy(F.when(F.col("all_"), F.col("p_size")).otherwise(0), F.when(F.col("all_"), "").otherwise(F.col("p_name")), "p_partkey")
-    return p.select("p_partkey", F.row_number().over(w).cast("long").alias("place"))
+    p, keys = sorting.keyword_order(load(spark, d, "part"), ["p_brand", "p_type"], "p_name", F.col("p_size"), F.col("p_size") > 9)
+    return sorting.placed(p, ["p_brand"], [*keys, "p_partkey"]).select("p_partkey", "place")
 
 
 @query("SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END, CASE WHEN c_custkey % 4 = 0 THEN -c_custkey ELSE c_custkey END) AS place FROM customer")
 def cover_order(spark, d):  # ST7, ST9, ST11: OT reversed, then the rest
-    w = Window.partitionBy("c_nationkey").orderBy((F.col("c_mktsegment") == "BUILDING").cast("int"), F.when(F.col("c_custkey") % 4 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")))
-    return load(spark, d, "customer").select("c_custkey", F.row_number().over(w).cast("long").alias("place"))
+    keys = sorting.canon_order(F.col("c_mktsegment") == "BUILDING", F.when(F.col("c_custkey") % 4 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")))
+    return sorting.placed(load(spark, d, "customer"), ["c_nationkey"], keys).select("c_custkey", "place")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey) AS place FROM lineitem")
@@ -163,7 +157,7 @@ def address_sort(spark, d):  # ST1, D4
 
 @query("SELECT o_custkey, min(o_orderkey) AS first_pub, max(o_orderkey) AS last_pub FROM orders GROUP BY 1")
 def publication_choice(spark, d):  # ST13
-    return load(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_pub"), F.max("o_orderkey").alias("last_pub"))
+    return sorting.chosen(load(spark, d, "orders"), ["o_custkey"], "o_orderkey")
 
 
 # annotators --------------------------------------------------------------------------------------------------------
@@ -205,14 +199,10 @@ def tightened_rules(spark, d):  # AG17, SK13
     return terms.tighten(r, 8, 40).select("p_partkey", "pattern")
 
 
-@query("SELECT conv_id, turn, '*' || w || '*' || substr(s, length(w) + 1) AS sample FROM (SELECT conv_id, turn, w, CASE WHEN length(x) + 2 > 256 THEN regexp_extract(x, '^(.*?[.!?])( |$)', 1) ELSE x END AS s FROM (SELECT conv_id, turn, regexp_extract(text, '^([^ .,]+)', 1) AS w, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM conversations)) WHERE false")
+@query("""
+WITH m AS (SELECT conv_id, turn, w, trim(regexp_replace(replace(text, w, '*' || w || '*'), '\\s+', ' ', 'g')) AS x FROM (SELECT conv_id, turn, text, regexp_extract(text, '^([^ .,]+)', 1) AS w FROM conversations))
+SELECT conv_id, turn, CASE WHEN length(x) > 256 THEN coalesce(list_filter(string_split(regexp_replace(x, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: contains(s, '*' || w || '*'))[1], x) ELSE x END AS sample FROM m""")
 def term_samples(spark, d):  # AN12
-    c = load(spark, d, "conversations").select("conv_id", "turn", T.context_sample(F.col("text"), F.regexp_extract("text", "^([^ .,]+)", 1)).alias("sample"))
-    return c.filter("sample IS NULL")
-
-
-@query()
-def term_samples_all(spark, d):  # AN12, every conversation
     return load(spark, d, "conversations").select("conv_id", "turn", T.context_sample(F.col("text"), F.regexp_extract("text", "^([^ .,]+)", 1)).alias("sample"))
 
 
@@ -239,14 +229,14 @@ def verse_maps(spark, d):  # VM1-VM5, VM8, D10
 
 
 @query("""
-WITH m AS (SELECT c_custkey AS a, c_custkey + 7 AS b FROM customer WHERE c_custkey % 10 >= 5), i AS (SELECT c_custkey AS ord FROM customer),
+WITH m AS (SELECT c_custkey AS a, c_custkey + 7 AS b FROM customer WHERE c_nationkey > 11), i AS (SELECT c_custkey AS ord FROM customer),
 r AS (SELECT DISTINCT k, ord FROM (SELECT o_orderkey AS k, coalesce(m.b, x.v) AS ord FROM (SELECT o_orderkey, unnest(generate_series(o_custkey, o_custkey + 3)) AS v FROM orders) x LEFT JOIN m ON m.a = x.v) JOIN i USING (ord)),
 g AS (SELECT k, min(ord) AS lo, max(ord) AS hi FROM (SELECT k, ord, ord - row_number() OVER (PARTITION BY k ORDER BY ord) AS g FROM r) GROUP BY k, g)
 SELECT k, string_agg(CASE WHEN lo = hi THEN 'V.' || lo ELSE 'V.' || lo || '-V.' || hi END, ' ' ORDER BY lo) AS refs FROM g GROUP BY k""")
 def retargeted_refs(spark, d):  # JN7, VM9, RG3
     ident = lambda c: F.concat(F.lit("V."), c.cast("string"))
     c = load(spark, d, "customer")
-    maps = c.filter("c_custkey % 10 >= 5").select(ident(F.col("c_custkey")).alias("map_from"), ident(F.col("c_custkey") + 7).alias("map_to"))
+    maps = c.filter("c_nationkey > 11").select(ident(F.col("c_custkey")).alias("map_from"), ident(F.col("c_custkey") + 7).alias("map_to"))
     refs = load(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.explode(F.sequence("o_custkey", F.col("o_custkey") + 3)).alias("v")).select("k", ident(F.col("v")).alias("id"))
     return verses.retarget(refs, maps, "k", c.select(ident(F.col("c_custkey")).alias("id"), F.col("c_custkey").alias("ord")))
 
@@ -311,14 +301,8 @@ def verse_labels(spark, d):  # RD6
     return publish.verse_labels(o).select("work", "pre", "label")
 
 
-@query("SELECT file, kind, string_agg(n || ' ' || t, chr(10) ORDER BY pre) AS body FROM (SELECT conv_id AS file, role AS kind, turn AS pre, substr(text, 1, 10) AS t, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) GROUP BY 1, 2")
+@query("SELECT file, kind, string_agg(n || ' ' || t, chr(10) ORDER BY pre) AS body FROM (SELECT conv_id AS file, role AS kind, turn AS pre, text AS t, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) GROUP BY 1, 2")
 def note_bodies(spark, d):  # RD13
-    c = load(spark, d, "conversations").select(F.col("conv_id").alias("file"), F.col("role").alias("kind"), F.col("turn").alias("pre"), F.substring("text", 1, 10).alias("text"))
-    return publish.note_bodies(c)
-
-
-@query()
-def note_bodies_all(spark, d):  # RD13, whole texts
     return publish.note_bodies(load(spark, d, "conversations").select(F.col("conv_id").alias("file"), F.col("role").alias("kind"), F.col("turn").alias("pre"), "text"))
 
 
@@ -336,14 +320,8 @@ def section_files(spark, d):  # RD20, SK3
     return publish.file_names(c).select("work", "pre", "file")
 
 
-@query("SELECT work, CAST(min(pre) AS BIGINT) AS pre, string_agg(t, ' ' ORDER BY pre) AS text FROM (SELECT *, sum(CASE WHEN selah THEN 0 ELSE 1 END) OVER (PARTITION BY work ORDER BY pre ROWS UNBOUNDED PRECEDING) AS line FROM (SELECT conv_id AS work, turn AS pre, turn % 3 = 2 AS selah, substr(text, 1, 8) AS t FROM conversations)) GROUP BY work, line")
+@query("SELECT work, CAST(min(pre) AS BIGINT) AS pre, string_agg(t, ' ' ORDER BY pre) AS text FROM (SELECT *, sum(CASE WHEN selah THEN 0 ELSE 1 END) OVER (PARTITION BY work ORDER BY pre ROWS UNBOUNDED PRECEDING) AS line FROM (SELECT conv_id AS work, turn AS pre, turn % 3 = 2 AS selah, text AS t FROM conversations)) GROUP BY work, line")
 def folded_lines(spark, d):  # RD11
-    c = load(spark, d, "conversations").select(F.col("conv_id").alias("work"), F.col("turn").alias("pre"), F.when(F.col("turn") % 3 == 2, "selah").alias("type"), F.substring("text", 1, 8).alias("text"))
-    return publish.fold_lines(c).select("work", "pre", "text")
-
-
-@query()
-def folded_lines_all(spark, d):  # RD11, whole texts
     c = load(spark, d, "conversations").select(F.col("conv_id").alias("work"), F.col("turn").alias("pre"), F.when(F.col("turn") % 3 == 2, "selah").alias("type"), "text")
     return publish.fold_lines(c).select("work", "pre", "text")
 
@@ -358,11 +336,15 @@ def verse_keyed_text(spark, d):  # RD22, SK5
     return publish.to_verses(n).select("ch", F.col("vs").cast("long").alias("vs"), "text")
 
 
-@query("SELECT s_suppkey AS id, part, lo, hi FROM (SELECT s_suppkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY lo) AS part, lo, coalesce(lead(lo) OVER (PARTITION BY s_suppkey ORDER BY lo) - 1, hi) AS hi FROM (SELECT s_suppkey, CAST(s_suppkey * 3 AS BIGINT) AS lo, CAST(s_suppkey * 3 + s_nationkey AS BIGINT) AS hi FROM supplier UNION ALL SELECT s_suppkey, c, CAST(s_suppkey * 3 + s_nationkey AS BIGINT) FROM supplier JOIN (SELECT CAST(unnest(generate_series(0, 400, 10)) AS BIGINT) AS c) ON c > s_suppkey * 3 AND c <= s_suppkey * 3 + s_nationkey))")
+@query("""
+WITH i AS (SELECT s_suppkey // 10 AS work, s_suppkey AS id, s_suppkey * 3 AS lo, s_suppkey * 3 + s_nationkey AS hi FROM supplier), c AS (SELECT DISTINCT s_suppkey // 10 AS work, s_suppkey * 3 + 5 AS cut FROM supplier),
+p AS (SELECT work, id, lo, hi FROM i UNION ALL SELECT i.work, id, cut, hi FROM i JOIN c ON c.work = i.work AND cut > lo AND cut <= hi)
+SELECT id, row_number() OVER w AS part, lo, CAST(coalesce(lead(lo) OVER w - 1, hi) AS BIGINT) AS hi FROM p WINDOW w AS (PARTITION BY id ORDER BY lo)""")
 def clipped_intervals(spark, d):  # TR6, TR3
-    iv = load(spark, d, "supplier").select(F.lit("w").alias("work"), F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 3).alias("lo"), (F.col("s_suppkey") * 3 + F.col("s_nationkey")).cast("long").alias("hi"))
-    cuts_ = spark.range(0, 401, 10).select(F.lit("w").alias("work"), F.col("id").alias("at"))
-    return publish.clip(iv, cuts_).select("id", F.col("part").cast("long").alias("part"), "lo", "hi")
+    k = F.col("s_suppkey")
+    iv = load(spark, d, "supplier").select(F.floor(k / 10).alias("work"), k.alias("id"), (k * 3).alias("lo"), (k * 3 + F.col("s_nationkey")).cast("long").alias("hi"))
+    cuts = load(spark, d, "supplier").select(F.floor(k / 10).alias("work"), (k * 3 + 5).alias("at"))
+    return publish.clip(iv, cuts).select("id", F.col("part").cast("long").alias("part"), "lo", "hi")
 
 
 @query("SELECT a.s_suppkey AS a, d.s_suppkey AS d FROM (SELECT s_suppkey, s_nationkey AS b, s_suppkey AS pre, s_suppkey + 40 AS post FROM supplier WHERE s_suppkey % 2 = 0) a JOIN supplier d ON a.b % 3 = d.s_nationkey % 3 AND a.pre < d.s_suppkey AND d.s_suppkey <= a.post AND d.s_suppkey % 2 = 1")
@@ -379,12 +361,11 @@ def conversion_marks(spark, d):  # F5, F2
 
 # plans -------------------------------------------------------------------------------------------------------------
 
-DEPS = "VALUES ('a', 'b'), ('b', 'c'), ('a', 'd'), ('d', 'c'), ('e', 'a'), ('f', 'c')"
-
 
-@query(f"WITH RECURSIVE x(job, needs) AS ({DEPS}), c(job, needs) AS (SELECT * FROM x UNION SELECT c.job, x.needs FROM c JOIN x ON c.needs = x.job) SELECT job, needs FROM c")
-def dep_closure(spark, d):  # AL1
-    return graph.closure(spark.sql(f"SELECT * FROM ({DEPS}) AS t(job, needs)"))
+@query("WITH RECURSIVE x AS (SELECT s_suppkey AS job, (s_suppkey * 7 + 3) // 10 AS needs FROM supplier), c AS (SELECT * FROM x UNION SELECT c.job, x.needs FROM c JOIN x ON c.needs = x.job) SELECT job, needs FROM c")
+def dep_closure(spark, d):  # AL1: chains that end in a job that needs itself
+    k = F.col("s_suppkey")
+    return graph.closure(load(spark, d, "supplier").select(k.alias("job"), F.floor((k * 7 + 3) / 10).alias("needs")))
 
 
 @query("WITH RECURSIVE x AS (SELECT s_suppkey AS job, s_suppkey // 2 AS needs FROM supplier WHERE s_suppkey > 0), c AS (SELECT * FROM x UNION SELECT c.job, x.needs FROM c JOIN x ON c.needs = x.job) SELECT job, needs FROM c")
@@ -392,13 +373,19 @@ def ancestor_closure(spark, d):  # AL1, AL5 on a tree of suppliers
     return graph.closure(load(spark, d, "supplier").filter("s_suppkey > 0").select(F.col("s_suppkey").alias("job"), F.floor(F.col("s_suppkey") / 2).alias("needs")))
 
 
-@query(f"WITH RECURSIVE x(job, needs) AS ({DEPS}), l(name, level) AS (SELECT DISTINCT needs, 0 FROM x WHERE needs NOT IN (SELECT job FROM x) UNION ALL SELECT x.job, l.level + 1 FROM l JOIN x ON x.needs = l.name) SELECT name, max(level) AS level FROM l GROUP BY name")
+@query("WITH RECURSIVE x AS (SELECT s_suppkey AS job, s_suppkey // 3 AS needs FROM supplier WHERE s_suppkey > 0 UNION ALL SELECT s_suppkey, s_suppkey // 5 FROM supplier WHERE s_suppkey > 0 AND s_nationkey < 12), l(name, level) AS (SELECT DISTINCT needs, 0 FROM x WHERE needs NOT IN (SELECT job FROM x) UNION ALL SELECT x.job, l.level + 1 FROM l JOIN x ON x.needs = l.name) SELECT name, max(level) AS level FROM l GROUP BY name")
 def job_levels(spark, d):  # AL2
-    spark.sql(f"SELECT * FROM ({DEPS}) AS t(job, needs)").createOrReplaceTempView("quire_deps")
+    s, k = load(spark, d, "supplier").filter("s_suppkey > 0"), F.col("s_suppkey")
+    deps = s.select(k.alias("job"), F.floor(k / 3).alias("needs")).unionByName(s.filter("s_nationkey < 12").select(k.alias("job"), F.floor(k / 5).alias("needs")))
+    deps.createOrReplaceTempView("quire_deps")
     return graph.levels_sql(spark, "quire_deps")
 
 
-@query()
+@query("""
+WITH RECURSIVE o AS (SELECT p_brand, p_partkey, CAST(p_size AS BIGINT) AS size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part),
+r AS (SELECT p_brand, p_partkey, size, n, size + 1 AS run, 1 AS collection FROM o WHERE n = 1
+ UNION ALL SELECT o.p_brand, o.p_partkey, o.size, o.n, CASE WHEN 11 + r.run + o.size > 300 THEN o.size + 1 ELSE r.run + o.size + 1 END, r.collection + CASE WHEN 11 + r.run + o.size > 300 THEN 1 ELSE 0 END FROM r JOIN o ON o.p_brand = r.p_brand AND o.n = r.n + 1)
+SELECT p_brand, p_partkey, size, CAST(collection AS INTEGER) AS collection FROM r""")
 def pack_collections(spark, d):  # AL4, SK8
     p = load(spark, d, "part").select("p_brand", "p_partkey", F.col("p_size").cast("long").alias("size"))
     return graph.bounded_collections(p, "p_brand", "p_partkey", "size", 300, 10, 1)
@@ -420,10 +407,11 @@ def source_lines(spark, d):  # SC1
     return commands.lines_of(load(spark, d, "documents"), "doc_id", "text")
 
 
-@query("SELECT o_orderkey AS path, run, string_agg(r, ' ' ORDER BY rule) AS rules FROM (SELECT o_orderkey, run, rule, 's/' || rule || '/x/' AS r FROM orders, (VALUES (2, 1), (4, 1), (4, 3), (6, 3)) v(run, rule) WHERE o_orderkey % 5 = 0) GROUP BY 1, 2")
+@query("SELECT o_orderkey AS path, run, string_agg(r, ' ' ORDER BY rule) AS rules FROM (SELECT o_orderkey, run, rule, 's/' || rule || '/' || o_custkey || '/' AS r FROM orders, (VALUES (2, 1), (4, 1), (4, 3), (6, 3)) v(run, rule)) GROUP BY 1, 2")
 def rules_in_force(spark, d):  # SC8: a rule on line 1 until line 5 cancels it, another from line 3
-    text = "EVAL_REGEX(a): s/1/x/\nRUN: one\nEVAL_REGEX(b): s/3/x/\nRUN: two\nEVAL_REGEX(a):\nRUN: three"
-    docs = load(spark, d, "orders").filter("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("path"), F.lit(text).alias("t"))
+    rule = lambda n: F.concat(F.lit(f": s/{n}/"), F.col("o_custkey").cast("string"), F.lit("/"))
+    text = F.concat(F.lit("EVAL_REGEX(a)"), rule(1), F.lit("\nRUN: one\nEVAL_REGEX(b)"), rule(3), F.lit("\nRUN: two\nEVAL_REGEX(a):\nRUN: three"))
+    docs = load(spark, d, "orders").select(F.col("o_orderkey").alias("path"), text.alias("t"))
     r = commands.rules_in_force(commands.commands(commands.lines_of(docs, "path", "t"), "path"), "path")
     return r.groupBy("path", F.col("run_line").alias("run")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_line", "rule_value"))), lambda x: x["rule_value"]), " ").alias("rules"))
 
@@ -437,10 +425,10 @@ def shredded_nodes(spark, d):  # SC5, D2: each conversation as a document of tur
     return e.join(t, ["work", "pre"]).select(F.col("work").cast("long").alias("conv_id"), F.col("attrs")["n"].cast("long").alias("turn"), "name", F.col("said").alias("text"))
 
 
-@query("SELECT c_custkey AS key, coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_name END, c_mktsegment) AS value FROM customer")
+@query("SELECT c_custkey AS key, coalesce(CASE WHEN c_acctbal > 0 THEN c_name END, c_mktsegment) AS value FROM customer")
 def settings_with_defaults(spark, d):  # SC14
     c = load(spark, d, "customer")
-    return conf.with_defaults(c.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("value")), c.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value")))
+    return conf.with_defaults(c.filter("c_acctbal > 0").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("value")), c.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value")))
 
 
 @query("SELECT p_name AS name, arg_min(p_partkey, p_retailprice) AS path FROM part GROUP BY p_name")
@@ -454,12 +442,12 @@ def default_files(spark, d):  # SC18, SC20
 
 @query("""
 SELECT check_, location, message FROM (
-SELECT 'missing target' AS check_, CAST(o_orderkey AS VARCHAR) AS location, CAST(o_custkey AS VARCHAR) AS message FROM orders WHERE o_orderstatus <> 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0)
+SELECT 'missing target' AS check_, CAST(o_orderkey AS VARCHAR) AS location, CAST(o_custkey AS VARCHAR) AS message FROM orders WHERE o_orderstatus <> 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0 UNION ALL SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
 UNION ALL SELECT 'outside verse system', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT s_suppkey FROM supplier)
-UNION ALL SELECT 'repeated id', CAST(id AS VARCHAR), CAST(count(*) AS VARCHAR) FROM (SELECT c_custkey AS id FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 > 0) GROUP BY id HAVING count(*) > 1)""")
+UNION ALL SELECT 'repeated id', CAST(id AS VARCHAR), CAST(count(*) AS VARCHAR) FROM (SELECT c_custkey AS id FROM customer WHERE c_acctbal > 0 UNION ALL SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY id HAVING count(*) > 1)""")
 def integrity_suite(spark, d):  # DQ2
     refs = load(spark, d, "orders").select(F.col("o_orderkey").alias("location"), F.col("o_custkey").alias("target"), (F.col("o_orderstatus") == "F").alias("is_verse"))
-    ids = load(spark, d, "customer").select(F.col("c_custkey").alias("id")).filter("id % 3 > 0").unionByName(load(spark, d, "supplier").select(F.col("s_suppkey").alias("id")).filter("id % 3 > 0"))
+    ids = load(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("id")).unionByName(load(spark, d, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("id")))
     return quality.integrity_suite(refs, ids, load(spark, d, "supplier").select(F.col("s_suppkey").alias("id"))).select(F.col("check").alias("check_"), "location", "message")
 
 
@@ -515,9 +503,9 @@ def file_names(spark, d):  # UX2, UX5
     return load(spark, d, "part").select("p_partkey", quality.file_name("{p_brand}-{p_size}.html").alias("file"), quality.rewrite(F.col("p_name"), [("BOLT", "nut", "i")]).alias("name"))
 
 
-@query("SELECT s_suppkey, s_name, n_name FROM supplier, (SELECT n_name FROM nation WHERE n_nationkey = 3)")
-def fanned_out_calls(spark, d):  # JN20
-    return quality.calls(load(spark, d, "nation").filter("n_nationkey = 3").select("n_name"), load(spark, d, "supplier").select("s_suppkey", "s_name"))
+@query("SELECT s_suppkey, s_name, n FROM supplier, (SELECT count(*) AS n FROM nation)")
+def fanned_out_calls(spark, d):  # JN20: one row of constants
+    return quality.calls(load(spark, d, "nation").agg(F.count("*").alias("n")), load(spark, d, "supplier").select("s_suppkey", "s_name"))
 
 
 @query("SELECT o_orderkey AS path FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
