@@ -6,11 +6,14 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: The tables cut within each open scratch, innermost last.
+_SCRATCH: list[list[DataFrame]] = []
 #: Stands for a null doc_id inside an operator: null sorts before every other id.
 NULL_ID = -(2**63)
 
@@ -39,9 +42,35 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._quire_path = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(back)
     return back
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables cut inside are deleted at the end, but for those given to the function that this yields; these belong to the scratch
+    around it, if there is one. Only for work whose results read no other table that was cut inside."""
+    made: list[DataFrame] = []
+    kept: set[str] = set()
+    _SCRATCH.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._quire_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.pop()
+        for df in made:
+            if df._quire_path in kept:
+                if _SCRATCH:
+                    _SCRATCH[-1].append(df)
+            else:
+                discard(df)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what cut() wrote for df, once nothing reads it any more."""
     path = getattr(df, "_quire_path", None)

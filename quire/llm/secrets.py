@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, fresh, quoted, scratch_path, table
+from quire.llm.common import cut, fresh, quoted, scratch, scratch_path, table
 
 
 @dataclass(frozen=True)
@@ -136,8 +136,9 @@ def redact(docs: DataFrame, key: str, text: str, ledger: str, rules: Sequence[Ru
     """docs with every found span of text replaced by mark; overlapping spans become one mark. All columns stay, whatever
     their names; null text stays null, repeated rows and null keys stay as rows, an empty table stays empty."""
     body, blob, at = F.col(quoted(text)), fresh(docs, "blob"), fresh(docs, "spans")
-    marks = scan(docs, key, text, ledger, rules).filter("found IS NOT NULL").select(F.col("blob").alias(blob), F.array_sort(F.flatten(F.map_values("found"))).alias(at)).dropDuplicates([blob])
-    found = cut(marks, "redactions")
+    with scratch() as keep:
+        marks = scan(docs, key, text, ledger, rules).filter("found IS NOT NULL").select(F.col("blob").alias(blob), F.array_sort(F.flatten(F.map_values("found"))).alias(at)).dropDuplicates([blob])
+        found = keep(cut(marks, "redactions"))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -155,7 +156,8 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rank = {r.kind: i for i, r in enumerate(RULES)}
     ledger = scratch_path(spark, "ledger")
-    scan(docs, "doc_id", "text", ledger, [r for r in RULES if r.kind in BASE])
+    with scratch():
+        scan(docs, "doc_id", "text", ledger, [r for r in RULES if r.kind in BASE])
     got = scan(docs, "doc_id", "text", ledger)
     count = lambda k: F.coalesce(F.size(F.col("found")[k]), F.lit(0)).cast("long")
     return got.select(

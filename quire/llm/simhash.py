@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import columns, cut, fresh, quoted, small_batches, table
+from quire.llm.common import columns, cut, fresh, quoted, scratch, small_batches, table
 from quire.llm.components import components
 
 SEED, BITS = 42, 2
@@ -191,13 +191,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str, size: int = 3) -> Data
     Fingerprints at an anchor number 4034 at most, by the code's geometry. Wordless and null texts form one group. Rows
     with a null key take part; a group with no other key has a null component. Other columns are ignored.
     """
-    fps = cut(fingerprints(docs, key, text, size), "fingerprints")
-    firsts = cut(fps.groupBy("fp").agg(F.min(quoted(key)).alias("first")), "firsts")
-    roots = components(links(firsts)).withColumnRenamed("node", "fp")
-    linked = cut(roots.join(firsts, "fp"), "linked")
-    best = cut(linked.groupBy("root").agg(F.min("first").alias("component")), "best")
-    named = linked.join(best, "root").select("fp", "component")
-    classes = cut(firsts.join(named, "fp", "left").select("fp", F.coalesce("component", "first").alias("component")), "classes")
+    with scratch() as keep:
+        fps = keep(cut(fingerprints(docs, key, text, size), "fingerprints"))
+        firsts = cut(fps.groupBy("fp").agg(F.min(quoted(key)).alias("first")), "firsts")
+        roots = components(links(firsts)).withColumnRenamed("node", "fp")
+        linked = cut(roots.join(firsts, "fp"), "linked")
+        best = cut(linked.groupBy("root").agg(F.min("first").alias("component")), "best")
+        named = linked.join(best, "root").select("fp", "component")
+        classes = keep(cut(firsts.join(named, "fp", "left").select("fp", F.coalesce("component", "first").alias("component")), "classes"))
     return fps.join(classes, "fp").select(quoted(key), "fp", "component")
 
 
@@ -471,7 +472,8 @@ def keep_one(docs: DataFrame, key: str, text: str, size: int = 5, similarity: fl
     """docs with one row of each group of near copies, the one with the smallest key; rows that repeat a key count as copies,
     rows without a key stay. An empty table stays empty; columns may have any names."""
     own, mark, number = F.col(quoted(key)), fresh(docs, "kept"), fresh(docs, "number")
-    kept = cut(similar_groups(docs, key, text, size, similarity).filter("node = root").select(F.col("node").alias(mark)), "kept")
+    with scratch() as keep:
+        kept = keep(cut(similar_groups(docs, key, text, size, similarity).filter("node = root").select(F.col("node").alias(mark)), "kept"))
     first = Window.partitionBy(own).orderBy(F.xxhash64(F.col(quoted(text))))
     stays = docs.filter(own.isNotNull()).join(kept, own.cast("long") == F.col(mark), "left_semi")
     stays = stays.withColumn(number, F.row_number().over(first)).filter(F.col(number) == 1).select(*columns(docs.columns))
