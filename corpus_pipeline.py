@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, scratch_path, table
+from quire.llm.common import cut, discard, scratch, scratch_path, table
 from quire.llm.language import UNKNOWN, fit, held_out, identify
 from quire.llm.packing import pack, tokenize
 from quire.llm.secrets import redact
@@ -29,7 +29,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest id stays. The anchors
+    of SimHash fingerprints find the first links, a join of rare shingles the rest; each link is checked on the sets of shingles."""
     return keep_one(docs, "doc_id", "text", 5, 0.8)
 
 
@@ -63,7 +64,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; a stage's own tables and its predecessor's result are deleted once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        with scratch() as keep:
+            after = keep(cut(stage(spark, docs, sf_dir), name))
+        discard(docs)
+        docs = after
     return docs
