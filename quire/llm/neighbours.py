@@ -3,26 +3,35 @@
 A node keeps a vantage point and the median distance to it. For a query at distance d from the vantage point, the far
 half can hold nothing nearer than |d - median|; it is skipped if that exceeds factor times the distance of the k-th best
 so far. With factor 1 the search is exact; a smaller factor skips more and may miss a neighbour.
+
+Shards follow the same rule. The top of a tree, grown on a bounded sample, deals all vectors out over cells; a cell is
+cut into shards by hash where it is large. A query first searches its own cell, and goes to the others that its bound
+from there still reaches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, table
+from quire.llm.common import cut, quoted, table
 
 LEAF = 64
 #: Vectors of a shard: LEAST at least, MOST at most, in between a 64th of all.
 LEAST, MOST = 4096, 65_536
-#: Queries that visit a tree together; more are dealt over several blocks.
-BLOCK = 4096
-#: The default factor: its recall at 10 is 0.96 on 51,282 spread-out vectors of 64 dimensions, where hardly any bound can prune.
-FACTOR = 0.15
+#: Queries that visit a tree together; more are dealt over several blocks, each with a copy of the shard.
+BLOCK = 32_768
+#: Vectors that the cells are grown on at most, those of least hash, and cells at most. What goes to every task is a vantage point a cell.
+SAMPLE, CELLS = 4096, 64
+#: The default factor: its recall at 10 is 0.99 on 51,282 spread-out vectors of 64 dimensions, where hardly any bound can prune.
+FACTOR = 0.2
+#: A bound that reaches every cell.
+EVERYWHERE = 1e300
 
 
 @dataclass
@@ -54,10 +63,11 @@ def build(x: np.ndarray, rows: np.ndarray | None = None, depth: int = 0) -> Node
 class Search:
     """The k nearest of x's rows for a batch of queries; own: the id that a query must not find."""
 
-    def __init__(self, x: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, factor: float) -> None:
+    def __init__(self, x: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, factor: float, bound: np.ndarray | None = None) -> None:
         self.x, self.ids, self.q, self.own, self.k, self.factor = x, ids, queries, own, k, factor
         self.norms = (x * x).sum(axis=1)
         self.dist = np.full((len(queries), k), np.inf)
+        self.bound = np.full(len(queries), np.inf) if bound is None else bound
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.compared = 0
 
@@ -65,13 +75,17 @@ class Search:
         if len(self.q):
             self.visit(root, np.arange(len(self.q)))
 
+    def limit(self, active: np.ndarray) -> np.ndarray:
+        """What a neighbour must not be farther than: the k-th best of this tree, or of others before it."""
+        return np.minimum(self.dist[active, -1], self.bound[active])
+
     def offer(self, active: np.ndarray, rows: np.ndarray) -> None:
         """Compare, first by the fast expansion with a margin for its rounding, then exactly what may enter the lists."""
         self.compared += len(active) * len(rows)
         for part in np.array_split(rows, max(1, -(-len(rows) // 2048))):
             q = self.q[active]
             rough = (q * q).sum(axis=1)[:, None] + self.norms[part] - 2 * (q @ self.x[part].T)
-            limit = self.dist[active, -1] ** 2
+            limit = self.limit(active) ** 2
             a, b = np.nonzero(rough <= (limit * (1 + 1e-9) + 1e-9 * (1 + self.norms[part].max(initial=0)))[:, None])
             keep = self.ids[part[b]] != self.own[active[a]]
             a, b = a[keep], b[keep]
@@ -98,11 +112,51 @@ class Search:
         for side, other, own in ((node.near, node.far, inner), (node.far, node.near, ~inner)):
             if own.any():
                 self.visit(side, active[own])
-                reach = own & (gap <= self.factor * self.dist[active, -1])
+                reach = own & (gap <= self.factor * self.limit(active))
                 if reach.any():
                     self.visit(other, active[reach])
 
 
+@dataclass
+class Split:
+    """A node of the top that cells come from; a cell is its number."""
+
+    point: np.ndarray
+    median: float
+    near: "Split | int"
+    far: "Split | int"
+
+
+def grow(x: np.ndarray, cells: int, first: int = 0, depth: int = 0) -> tuple["Split | int", int]:
+    """The top of a tree over x with so many cells at most, numbered from first, and the number behind the last."""
+    if cells < 2 or len(x) < 2:
+        return first, first + 1
+    point = x[(depth * 7919) % len(x)]
+    d = np.sqrt(((x - point) ** 2).sum(axis=1))
+    median = float(np.median(d))
+    inner = d < median
+    if not inner.any():
+        return first, first + 1
+    near, then = grow(x[inner], cells // 2, first, depth + 1)
+    far, end = grow(x[~inner], cells - cells // 2, then, depth + 2)
+    return Split(point, median, near, far), end
+
+
+def reached(top: Split | int, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of x, cell): each row's own cell, and the cells that a bound (already times the factor) reaches."""
+    if not isinstance(top, Split):
+        return np.arange(len(x)), np.full(len(x), top, np.int32)
+    d = np.sqrt(((x - top.point) ** 2).sum(axis=1))
+    rows, cells = [], []
+    for side, own in ((top.near, d < top.median), (top.far, d >= top.median)):
+        go = np.flatnonzero(own | (np.abs(d - top.median) <= bound))
+        if len(go):
+            r, c = reached(side, x[go], bound[go])
+            rows.append(go[r])
+            cells.append(c)
+    return np.concatenate(rows), np.concatenate(cells)
+
+
 def usable(v: str) -> F.Column:
     """Neither null nor zero, without null, NaN or infinite components."""
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -114,34 +168,79 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: in
 
     score is the Euclidean distance in double precision; ties go to the smaller key. Unusable vectors (see usable) and
     rows without a key take no part, repeated rows are found once each, other columns are ignored, an empty table gives
-    an empty result. Trees stand in a grid of vector shards and query blocks, each cell of bounded size; copies of one
-    vector are spread over shards by their keys, and a node whose distances all tie is scanned as a leaf.
+    an empty result. Every row is indexed; a shard is of bounded size whatever its cell holds, since copies of one vector
+    are spread over a cell's shards by their keys, and a node whose distances all tie is scanned as a leaf.
     """
     def clean(df: DataFrame) -> DataFrame:
-        return df.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(usable("v")).withColumn("dim", F.size("v"))
+        return df.filter(F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).cast("long").alias("id"), F.col(quoted(vector)).alias("v")).filter(usable("v")).withColumn("dim", F.size("v"))
 
     base, asked = clean(vectors), clean(queries)
     n, m = base.count(), asked.count()
-    shards = max(1, -(-n // min(MOST, max(LEAST, n // 64))))
+    size = min(MOST, max(LEAST, n // 64))
     blocks = max(1, -(-m // BLOCK))
-    cells = base.select("*", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    calls = asked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).cast("int").alias("block"))
+    tops = _tops(base, min(CELLS, -(-n // size)))
+    kind = base.schema["v"].dataType.simpleString()
+
+    def located(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows (id, v, dim, bound) with the other cells that bound reaches; without a bound, with their own."""
+        for pdf in it:
+            for dim, part in pdf.groupby("dim", sort=False):
+                top, x = tops.get(dim, 0), np.stack(part.v.to_numpy()).astype(np.float64)
+                rows, cells = reached(top, x, np.full(len(x), -1.0))
+                if part.bound.notna().all():
+                    home = np.empty(len(x), np.int32)
+                    home[rows] = cells
+                    rows, cells = reached(top, x, part.bound.to_numpy(np.float64) * factor)
+                    rows, cells = rows[cells != home[rows]], cells[cells != home[rows]]
+                yield part.iloc[rows].assign(cell=cells)
+
+    def cells_of(df: DataFrame, bound: Column) -> DataFrame:
+        return df.select("id", "v", "dim", bound.cast("double").alias("bound")).mapInPandas(located, f"id bigint, v {kind}, dim int, bound double, cell int")
+
+    block = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).cast("int")
+    own = cut(cells_of(base, F.lit(None)).drop("bound"), "cells")
+    sizes = cut(own.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).cast("int").alias("shards")), "sizes")
+    shards = own.join(sizes, ["dim", "cell"]).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
+    shards = shards.select("id", "v", "dim", "cell", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
         left, right = left.sort_values("id", ignore_index=True), right.sort_values("id", ignore_index=True)
         x, q = (np.stack(f.v.to_numpy()).astype(np.float64) for f in (left, right))
-        search = Search(x, left.id.to_numpy(np.int64), q, right.id.to_numpy(np.int64), k, factor)
+        bound = right.bound.to_numpy(np.float64)
+        search = Search(x, left.id.to_numpy(np.int64), q, right.id.to_numpy(np.int64), k, factor, np.where(np.isnan(bound), np.inf, bound))
         search.run(build(x))
         hit = np.isfinite(search.dist)
         return pd.DataFrame({"query_id": np.repeat(right.id.to_numpy(np.int64), k).reshape(hit.shape)[hit], "id": search.found[hit], "score": search.dist[hit]})
 
-    by = ("dim", "shard", "block")
-    found = cells.groupBy(*by).cogroup(calls.groupBy(*by)).applyInPandas(cell, "query_id bigint, id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy("score", "id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
+    def search(calls: DataFrame) -> DataFrame:
+        """Neighbours in the cells of calls (id, v, dim, bound, cell)."""
+        dealt = calls.join(sizes, ["dim", "cell"]).select("id", "v", "dim", "bound", "cell", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), block.alias("block"))
+        by = ("dim", "cell", "shard", "block")
+        return shards.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInPandas(cell, "query_id bigint, id bigint, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy("score", "id")
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+    # repeated queries are asked once
+    asked = cut(asked.dropDuplicates(["id", "v"]), "asked")
+    found = cut(best(search(cells_of(asked, F.lit(None)))), "found")
+    if any(isinstance(t, Split) for t in tops.values()):
+        bounds = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
+        # a query whose own cell has too few neighbours goes everywhere
+        wider = asked.join(bounds, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(EVERYWHERE)))
+        found = best(found.drop("rank").unionByName(search(cells_of(wider, F.col("bound")))))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
+
+
+def _tops(base: DataFrame, cells: int) -> dict[int, Split | int]:
+    """For each length of vectors in a sample the top of a tree; lengths that are not in it have one cell."""
+    if cells < 2:
+        return {}
+    sample = base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("dim", "v").toPandas()
+    return {int(dim): grow(np.stack(part.v.to_numpy()).astype(np.float64), cells)[0] for dim, part in sample.groupby("dim")}
 
 
 def op4_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,7 +283,11 @@ def vectors(n=700):
     return x.astype(float), rows
 
 
-def test_exact_neighbours(spark):
+@pytest.mark.parametrize(("least", "block"), [(4096, 32_768), (40, 3)])
+def test_exact_neighbours(spark, monkeypatch, least, block):
+    """In one shard, and in many cells, shards and blocks."""
+    monkeypatch.setattr(neighbours, "LEAST", least)
+    monkeypatch.setattr(neighbours, "BLOCK", block)
     x, rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, v array<float>, rank string")
     got = neighbours.nearest(df, df.filter("vec_id % 100 = 0"), "vec_id", "v", 10, factor=1.0).collect()
@@ -299,6 +303,23 @@ def test_exact_neighbours(spark):
     assert neighbours.nearest(df.limit(0), df, "vec_id", "v").count() == 0
 
 
+def test_clustered_vectors_reach_few_cells(spark, monkeypatch):
+    """A query goes only where its bound reaches, and nothing is lost with factor 1."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(16, 8)) * 50
+    x = np.concatenate([c + rng.normal(size=(40, 8)) for c in centres])
+    top, cells = neighbours.grow(x, 16)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    tenth = np.sort(d, axis=1)[:, 10]
+    rows, at = neighbours.reached(top, x, tenth)
+    own = neighbours.reached(top, x, np.full(len(x), -1.0))
+    assert own[0].tolist() == [*range(len(x))] or sorted(own[0].tolist()) == [*range(len(x))]
+    home = dict(zip(own[0].tolist(), own[1].tolist(), strict=True))
+    pairs = set(zip(rows.tolist(), at.tolist(), strict=True))
+    assert cells > 8 and len(pairs) < 4 * len(x)
+    assert all((i, home[j]) in pairs for i in range(len(x)) for j in np.argsort(d[i])[:10].tolist())
+
+
 def test_recall(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     ask = df.filter("vec_id % 100 = 0")
