@@ -207,7 +207,9 @@ def link_references(df: DataFrame, text: str, settings: Settings, book: str | No
         return pd.Series([one(x, bk, n) for x, bk, n in zip(t, b, c, strict=True)])
 
     null = lambda kind: F.lit(None).cast(kind)
-    return spread(df).withColumn("links", run(F.col(text), F.col(book) if book else null("string"), F.col(ch).cast("int") if ch else null("int")))
+    # not repeated in filters that an explode of the links would infer below the exchange
+    once = run.asNondeterministic()
+    return spread(df).withColumn("links", once(F.col(text), F.col(book) if book else null("string"), F.col(ch).cast("int") if ch else null("int")))
 
 
 def explicit_references(df: DataFrame, text: str, target: str, settings: Settings, codes: dict[str, str], book: str, ch: str) -> DataFrame:
