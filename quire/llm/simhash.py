@@ -436,9 +436,9 @@ def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similari
     """(node, root): the smallest key of each distinct set of shingles, and the smallest key of its group. Null keys take no part.
 
     Texts are linked if their sets of shingles have the Jaccard similarity: exact but for equal hashes of 60 bits. Wordless
-    texts are one node, copies are one node. The anchors of SimHash fingerprints give the first candidates, hubs of rare
-    shingles the next, and the pairs that are still apart but share a rare shingle the last; each is checked on the sets
-    before it links. What is joined already is not compared again, so a large group costs a few pairs for each node.
+    texts are one node, copies are one node. The anchors of SimHash fingerprints and the hubs of rare shingles give the first
+    candidates, other hubs the next, and the pairs that are still apart but share a rare shingle the last; each is checked on
+    the sets before it links. What is joined already is not compared again, so a large group costs a few pairs for each node.
     """
     small_batches(docs.sparkSession)
 
@@ -455,16 +455,18 @@ def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similari
     shared = _shared(texts, size, similarity)
     prefixes = shared.select("node", "n", F.explode("prefix").alias("key"))
 
-    def joined(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        roots = cut(components(found), "roots")
-        return roots, prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    every = _verified(shared, _anchored(nodes.select("node", "fp")), similarity)
-    roots, apart = joined(every)
-    for turn in range(2):
-        every = every.unionAll(_verified(shared, cut(_hubs(apart, similarity, turn), "candidates"), similarity))
-        roots, apart = joined(every)
-    roots, _ = joined(every.unionAll(_verified(shared, cut(_rest(apart, shared, similarity), "candidates"), similarity)))
+    apart, roots = prefixes.withColumn("root", F.col("node")), None
+    turns = (
+        lambda: _anchored(nodes.select("node", "fp")).unionAll(_hubs(apart, similarity, 0)).distinct(),
+        lambda: _hubs(apart, similarity, 1),
+        lambda: _rest(apart, shared, similarity),
+    )
+    for candidates in turns:
+        found = _verified(shared, cut(candidates(), "candidates"), similarity)
+        # the groups so far are stars of their roots, which say as much as the links that made them
+        edges = found if roots is None else found.unionAll(roots.filter("node <> root").select(F.col("node").alias("x"), F.col("root").alias("y")))
+        roots = cut(components(edges), "roots")
+        apart = prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
