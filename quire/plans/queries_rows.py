@@ -440,6 +440,14 @@ def note_pairs(spark, d):  # AN14
     return html.note_pairs(html.html_events(load(spark, d, "part").select("p_partkey", page.alias("html")), "p_partkey", "html"), "p_partkey")
 
 
+@query("""
+SELECT p_partkey, seq, kind, name, CASE seq WHEN 1 THEN 'class=' || p_type WHEN 2 THEN p_name WHEN 5 THEN p_brand ELSE '' END AS value FROM part, (VALUES (0, 'start', 'body'), (1, 'start', 'p'), (2, 'text', 'p'), (3, 'start', 'b'), (4, 'start', 'i'),
+ (5, 'text', 'b+i+p'), (6, 'end', 'i'), (7, 'end', 'b'), (8, 'end', 'p'), (9, 'start', 'script'), (10, 'end', 'script'), (11, 'end', 'body')) v(seq, kind, name)""")
+def html_runs(spark, d):  # SC16, AN13: comments, scripts and what is outside the body are passed over
+    page = text_of('<html><head><title>x</title></head><body><p class="', F.col("p_type"), '">', F.col("p_name"), "<!-- y --> <b><i> ", F.col("p_brand"), "</i></b></p><script>var z;</script></body></html>")
+    return html.html_events(load(spark, d, "part").select("p_partkey", page.alias("html")), "p_partkey", "html")
+
+
 @query("""
 WITH t AS (SELECT user_id AS book, event_id AS t FROM events WHERE event_type = 'view'), v AS (SELECT user_id AS book, event_id AS id, event_id AS pre, event_id + 900 AS until FROM events WHERE event_type = 'click')
 SELECT v.book, v.id, min(t.t) AS insert_at FROM v LEFT JOIN t ON t.book = v.book AND t.t > v.pre AND t.t <= v.until GROUP BY 1, 2""")
