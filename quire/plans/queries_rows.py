@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import integrity, order, publish, quality, ranges, references, terms, verses
+from quire.operators import integrity, order, packages, publish, quality, ranges, references, terms, verses
 from quire.plans.queries import load, query
 from quire.sources import commands, conf, html, xml
 
@@ -158,6 +158,49 @@ def canon_dumps(spark, d):  # SK10
     return publish.canon_dump(o)
 
 
+@query("SELECT conv_id AS package, turn || '.txt' AS name, coalesce(text, '') AS text FROM conversations")
+def zipped_files(spark, d):  # SK4, SK7: conversations as archives of a file for each turn, read again
+    c = load(spark, d, "conversations").select("conv_id", text_of(F.col("turn"), ".txt").alias("name"), F.encode("text", "UTF-8").alias("content"))
+    read = packages.unzipped(packages.archives(packages.zip_parts(c, "conv_id", "name", "content")))
+    return read.select("package", "name", F.decode("content", "UTF-8").alias("text"))
+
+
+@query("""
+WITH f AS (SELECT o_custkey AS work, CAST(sum(o_orderkey) AS VARCHAR) AS size, max(CASE WHEN o_orderstatus = 'P' THEN 'Images' END) AS feature FROM orders GROUP BY 1), c AS (SELECT c_custkey AS work, c_name, c_nationkey % 2 = 0 AS k FROM customer)
+SELECT work, 'Title' AS entry, 0 AS seq, c_name AS value, NULL AS finding FROM c UNION ALL SELECT work, 'Feature', 0, 'Old', NULL FROM c WHERE k UNION ALL SELECT work, 'InstallSize', 0, '1', NULL FROM c WHERE NOT k
+UNION ALL SELECT work, 'InstallSize', CASE WHEN k THEN 0 ELSE 1 END, size, CASE WHEN NOT k THEN 'several values' END FROM f JOIN c USING (work)
+UNION ALL SELECT work, 'Feature', CASE WHEN k THEN 1 ELSE 0 END, feature, NULL FROM f JOIN c USING (work) WHERE feature IS NOT NULL""")
+def module_settings(spark, d):  # SK7
+    c, even = load(spark, d, "customer"), F.col("c_nationkey") % 2 == 0
+    one = lambda x, entry, value: x.select(F.col("c_custkey").alias("work"), F.lit(entry).alias("entry"), F.lit(0).alias("seq"), value.alias("value"))
+    own = one(c, "Title", F.col("c_name")).unionByName(one(c.filter(even), "Feature", F.lit("Old"))).unionByName(one(c.filter(~even), "InstallSize", F.lit("1")))
+    path = F.when(F.col("o_orderstatus") == "P", "images/x.PNG").otherwise("modules/x")
+    files = load(spark, d, "orders").select(F.col("o_custkey").alias("work"), path.alias("path"), F.col("o_orderkey").alias("size"))
+    derived = packages.install_facts(files).join(c.select(F.col("c_custkey").alias("work")), "work", "left_semi")
+    return packages.module_settings(own, derived, ["Feature"])
+
+
+@query("SELECT doc_id, replace(replace(replace(replace(text, 'e', '…'), '…', '...'), 'qu', 'kw'), 'kw', 'k') AS text FROM documents")
+def phone_texts(spark, d):  # SK8
+    marked = F.replace("text", F.lit("e"), F.lit("\u00ad…"))
+    return load(spark, d, "documents").select("doc_id", packages.phone_text(marked, [("qu", "kw"), ("kw", "k")]).alias("text"))
+
+
+@query("SELECT ch, count(*) AS n, min(doc_id) AS first FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents) WHERE unicode(ch) > 116 GROUP BY ch")
+def high_chars(spark, d):  # SK8
+    return packages.high_chars(load(spark, d, "documents"), "doc_id", "text", 116)
+
+
+@query("""
+WITH b AS (SELECT s_nationkey AS app, 'c' || (s_suppkey % 3) AS collection, s_suppkey AS place, 'B' || s_suppkey AS book, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS name FROM supplier),
+c AS (SELECT app, collection, string_agg('Book: ' || book || chr(10), '' ORDER BY place) AS x FROM b GROUP BY ALL), t AS (SELECT app, string_agg('Book-Name-Map: ' || book || ', ' || name || chr(10), '' ORDER BY book || ', ' || name) AS names FROM b GROUP BY app)
+SELECT app, coalesce(any_value(names), '') || string_agg(chr(10) || 'Collection: ' || collection || chr(10) || x, '' ORDER BY collection) AS text FROM c JOIN t USING (app) GROUP BY app""")
+def collection_files(spark, d):  # SK8
+    k = F.col("s_suppkey")
+    name = F.when(k % 2 == 0, F.col("s_name"))
+    return packages.collection_files(load(spark, d, "supplier").select(F.col("s_nationkey").alias("app"), text_of("c", k % 3).alias("collection"), k.alias("place"), text_of("B", k).alias("book"), name.alias("name")))
+
+
 # filters and views -------------------------------------------------------------------------------------------------
 
 NODES = "SELECT conv_id AS work, turn AS pre, CASE role WHEN 'user' THEN 'title' WHEN 'assistant' THEN 'figure' ELSE 'p' END AS name, CASE turn % 4 WHEN 1 THEN 'x-navmenu' WHEN 2 THEN 'x-duplicate' END AS type, turn % 3 = 0 AS bare FROM conversations"
