@@ -7,10 +7,10 @@ findings back to every path that holds the blob, in this run or an earlier one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import cut, fresh, quoted, scratch, scratch_path, table
@@ -37,26 +37,40 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 SPAN = "array<struct<start:int,end:int>>"
+#: Matches of a text whose lengths are added up at a time, and characters of a block of a text that is redacted.
+SLICE, BLOCK = 256, 4096
 LEDGER = f"blob binary, kind string, version int, spans {SPAN}"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once: what a lambda names from outside would be worked out in each of its calls."""
+    return F.transform(F.array(value), body)[0]
+
+
 def spans(text: Column, rule: Rule) -> Column:
-    """The rule's spans in code points: the pieces between matches and the matches, added up from the left."""
-    p = F.lit(rule.pattern)
+    """The rule's spans in code points: the lengths of the pieces between matches and of the matches, added up from the left.
+
+    Adding to an array copies it, so lengths are added up in slices first, and a text with n matches costs about n * SLICE + (n / SLICE) * n."""
+    p, none = F.lit(rule.pattern), F.array().cast(SPAN)
     whole = F.regexp_extract_all(text, p, F.lit(0))
     kept = F.regexp_extract_all(text, p, F.lit(rule.group)) if rule.least else whole
-    steps = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("whole"), kept.alias("kept"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
+    sized = lambda pieces: F.transform(pieces, lambda x: F.length(x))
+    steps = F.arrays_zip(sized(F.split(text, rule.pattern, -1)).alias("gap"), sized(whole).alias("whole"), sized(kept).alias("kept"))
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["whole"])
-        take = x["whole"].isNotNull() & (F.length(x["kept"]) >= rule.least)
+        begin = acc["at"] + x["gap"]
+        end = begin + x["whole"]
         one = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(take, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+        return F.struct(F.coalesce(end, begin).alias("at"), F.when(x["kept"] >= rule.least, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+
+    def follow(acc: Column, x: Column) -> Column:
+        moved = F.transform(x["found"], lambda s: F.struct((acc["at"] + s["start"]).alias("start"), (acc["at"] + s["end"]).alias("end")))
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["found"], F.array(moved)).alias("found"))
 
-    found = F.aggregate(steps, start, step, lambda acc: acc["found"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(SPAN))
+    begin = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    slices = let(steps, lambda z: F.transform(F.sequence(F.lit(0), F.floor((F.size(z) - 1) / SLICE).cast("int")), lambda k: F.aggregate(F.slice(z, k * SLICE + 1, F.lit(SLICE)), begin, step)))
+    found = F.aggregate(slices, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")), follow, lambda acc: F.flatten(acc["found"]))
+    return F.when(text.rlike(rule.pattern), found).otherwise(none)
 
 
 def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -132,22 +146,43 @@ def listing(found: Column, kinds: Sequence[str], rank: dict[str, int]) -> Column
     return F.array_join(F.transform(F.array_sort(F.concat(*parts)), lambda s: s["said"]), ",")
 
 
+def _cuts(marks: DataFrame) -> DataFrame:
+    """(blob, cuts) of (blob, start, end): overlapping spans as one, cut where blocks of BLOCK characters end; cuts maps a block to its
+    (lo, hi, is_first), the places in the block and whether the span starts there."""
+    w = Window.partitionBy("blob").orderBy("start", "end")
+    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = marks.withColumn("opens", F.when(reach > F.col("start"), 0).otherwise(1))
+    merged = opens.withColumn("run", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    block = lambda c: F.floor(c / BLOCK).cast("int")
+    touched = merged.withColumn("block", F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1))))
+    first = F.col("block") * BLOCK
+    one = F.struct(F.greatest(F.col("start") - first, F.lit(0)).alias("lo"), F.least(F.col("end") - first, F.lit(BLOCK)).alias("hi"), (F.col("start") >= first).alias("is_first"))
+    blocks = touched.groupBy("blob", "block").agg(F.array_sort(F.collect_list(one)).alias("x"))
+    return blocks.groupBy("blob").agg(F.map_from_entries(F.collect_list(F.struct("block", "x"))).alias("cuts"))
+
+
 def redact(docs: DataFrame, key: str, text: str, ledger: str, rules: Sequence[Rule] = RULES, mark: str = "[secret]") -> DataFrame:
     """docs with every found span of text replaced by mark; overlapping spans become one mark. All columns stay, whatever
-    their names; null text stays null, repeated rows and null keys stay as rows, an empty table stays empty."""
-    body, blob, at = F.col(quoted(text)), fresh(docs, "blob"), fresh(docs, "spans")
+    their names; null text stays null, repeated rows and null keys stay as rows, an empty table stays empty.
+
+    A place in a text is found by counting from its start, so a text is first cut into blocks, and spans are dealt over them."""
+    body, blob, at = F.col(quoted(text)), fresh(docs, "blob"), fresh(docs, "cuts")
     with scratch() as keep:
-        marks = scan(docs, key, text, ledger, rules).filter("found IS NOT NULL").select(F.col("blob").alias(blob), F.array_sort(F.flatten(F.map_values("found"))).alias(at)).dropDuplicates([blob])
-        found = keep(cut(marks, "redactions"))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
+        marks = scan(docs, key, text, ledger, rules).filter("found IS NOT NULL").select("blob", F.flatten(F.map_values("found")).alias("spans")).dropDuplicates(["blob"])
+        found = keep(cut(_cuts(marks.select("blob", F.inline("spans"))).select(F.col("blob").alias(blob), F.col("cuts").alias(at)), "redactions"))
+
+    def block(x: Column, number: Column) -> Column:
+        def step(acc: Column, c: Column) -> Column:
+            gap = F.substring(x, acc["at"] + 1, c["lo"] - acc["at"])
+            return F.struct(c["hi"].alias("at"), F.concat(acc["kept"], gap, F.when(c["is_first"], F.lit(mark)).otherwise(F.lit(""))).alias("kept"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["kept"], gap, F.lit(mark)).alias("kept"))).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["kept"].alias("kept")))
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
+        clean = F.aggregate(F.try_element_at(F.col(at), number), start, step, lambda acc: F.concat(acc["kept"], F.substring(x, acc["at"] + 1, F.lit(BLOCK))))
+        return F.coalesce(clean, x)
 
-    clean = F.aggregate(at, start, step, lambda acc: F.concat(acc["kept"], F.substring(body, acc["at"] + 1, F.length(body))))
+    blocks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
     joined = docs.withColumn(blob, F.unhex(F.sha2(F.coalesce(body, F.lit("")), 256))).join(found, blob, "left")
-    told = F.when(F.col(at).isNotNull() & body.isNotNull(), clean).otherwise(body).alias(text)
+    told = F.when(F.col(at).isNotNull() & body.isNotNull(), F.array_join(F.transform(blocks, block), "")).otherwise(body).alias(text)
     return joined.select(*(told if c.lower() == text.lower() else F.col(quoted(c)) for c in docs.columns))
 
 

@@ -531,6 +531,29 @@ def test_secret_spans(spark):
     assert "x [secret]" in clean and None in clean and not any(t and "abcdef" in t for t in clean)
 
 
+@pytest.mark.parametrize(("part", "block"), [(2, 3), (3, 64), (256, 4096)])
+def test_dense_secrets_by_brute_force(spark, monkeypatch, part, block):
+    """Spans over slices of matches, and marks over blocks of texts, wherever these end."""
+    monkeypatch.setattr(secrets, "SLICE", part)
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    rng = random.Random(part)
+    bits = ["token=", "a1" * 12, "0f" * 15, "AKIA" + "Q" * 16, "pass", "passwd: '", " ", "🙂", "\n", "é", "s3cret-x", "-----BEGIN RSA PRIVATE KEY-----"]
+    texts = ["".join(rng.choices(bits, k=rng.choice([1, 5, 60]))) for _ in range(60)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    ledger = scratch_path(spark, "ledger-dense")
+    found = {r.doc_id: r.found or {} for r in secrets.scan(docs, "doc_id", "text", ledger).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, "doc_id", "text", ledger).collect()}
+    for i, text in enumerate(texts):
+        want = {r.kind: [m.span() for m in re.finditer(r.pattern, text) if len(m[r.group]) >= r.least] for r in secrets.RULES}
+        assert {k: [(x.start, x.end) for x in v] for k, v in found[i].items()} == {k: v for k, v in want.items() if v}
+        out, at = "", 0
+        for a, b in sorted(x for v in want.values() for x in v):
+            if a >= at:
+                out += text[at:a] + "[secret]"
+            at = max(at, b)
+        assert clean[i] == out + text[at:]
+
+
 def test_secret_scans_of_many_rows_without_a_key(spark):
     """Rows without a key, and versions of one key, meet their own blob alone: 3,000 by 3,000 would be nine million pairs."""
     rows = [(None, f"token = abcdef{i:06d}") for i in range(3000)] + [(5, f"secret: uvwxyz{i:06d}") for i in range(3000)]
