@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quire.llm.common import columns, map_rows, place, small_batches, table
+from quire.llm.common import columns, map_rows, place, quoted, small_batches, table
 
 #: Trigram buckets; the model has one number for each bucket and language.
 BUCKETS = 1 << 16
@@ -80,7 +80,8 @@ class Model:
 def fit(rows: DataFrame, text: str, lang: str) -> Model:
     """Counts over all rows with a text and a language. What reaches the driver is BUCKETS numbers a language at most."""
     small_batches(rows.sparkSession)
-    used = rows.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    spoken, told = F.col(quoted(text)), F.col(quoted(lang))
+    used = rows.filter(spoken.isNotNull() & told.isNotNull()).select(told.alias("lang"), spoken.alias("text"))
     counts = used.mapInArrow(_train, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts.lang.unique())
     n = np.full((BUCKETS, len(langs)), SMOOTHING)
@@ -174,7 +175,7 @@ def identify(docs: DataFrame, text: str, model: Model) -> DataFrame:
 
 def held_out(key: str) -> Column:
     """Whether a document is kept from training: crc32 of its id as text leaves 2 modulo 4 (a null id: not)."""
-    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return F.coalesce(F.crc32(F.col(quoted(key)).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

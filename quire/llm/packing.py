@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, small_batches, table
+from quire.llm.common import cut, quoted, small_batches, table
 
 MAX_TOKENS = 2048
 #: A shard of the packing holds about this many full sequences, and no more than so many pieces on average.
@@ -74,7 +74,7 @@ def tokenize(docs: DataFrame, key: str, text: str, most: int = MAX_TOKENS, ranks
 
     small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(encode, f"key {kind}, {PIECES}").withColumnRenamed("key", key)
+    return docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).mapInArrow(encode, f"key {kind}, {PIECES}").withColumnRenamed("key", key)
 
 
 def best_fit(sizes: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule: str = "norm") -> tuple[np.ndarray, int]:
@@ -109,7 +109,7 @@ def best_fit(sizes: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule:
 def pack(pieces: DataFrame, key: str, max_tokens: int = MAX_TOKENS, max_documents: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.1, 0.1), rule: str = "norm") -> DataFrame:
     """pieces with sequence_id and offset (the place in the sequence, gapless from 0). pieces must be a table that was cut.
 
-    Pieces are dealt over shards by hash, so a shard holds a fair sample of all lengths whatever the sources are, and
+    Pieces are dealt over shards by a hash of their rows, repeated ones too, so a shard holds a fair sample of all lengths whatever the sources are, and
     each shard packs on its own: at most one sequence of a shard stays ill filled. The number of shards follows the input,
     so a shard's memory does not. max_documents and max_cost default to what max_tokens alone allows, so that they cost no
     sequence; their residuals weigh in the choice of a bin all the same. Null keys and repeated rows keep their pieces, an
@@ -120,7 +120,7 @@ def pack(pieces: DataFrame, key: str, max_tokens: int = MAX_TOKENS, max_document
     shards = max(1, -(-total.tokens // (SHARD_SEQUENCES * max_tokens)), -(-total.n // SHARD_PIECES))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key, "piece", "ids_crc32"], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["key", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         length = pdf.length.to_numpy(float)
         bins, _ = best_fit(np.column_stack([length, np.ones(len(pdf)), length**2]), caps, np.array(weights), rule)
         order = np.argsort(bins, kind="stable")
@@ -131,8 +131,11 @@ def pack(pieces: DataFrame, key: str, max_tokens: int = MAX_TOKENS, max_document
         return pdf.assign(sequence_id=(pdf.shard.to_numpy(np.int64) << 32) | bins, offset=offset).drop(columns="shard")
 
     kind = pieces.schema[key].dataType.simpleString()
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(fill, f"`{key}` {kind}, {PIECES}, sequence_id bigint, offset bigint")
+    # a row's number in the cut table parts repeated rows, of which a third of all may be one; a task that is run again gives the same
+    own = F.xxhash64("key", "piece", "ids_crc32", F.monotonically_increasing_id())
+    named = pieces.select(F.col(quoted(key)).alias("key"), "piece", "start", "length", "ids_crc32")
+    dealt = named.withColumn("shard", F.pmod(own, F.lit(shards)).cast("int"))
+    return dealt.groupBy("shard").applyInPandas(fill, f"key {kind}, {PIECES}, sequence_id bigint, offset bigint").withColumnRenamed("key", key)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,6 +350,19 @@ def test_packing(spark, sf):
     assert packing.pack(packing.tokenize(docs.limit(0), "doc_id", "text"), "doc_id").count() == 0
 
 
+def test_packing_deals_repeated_rows_over_shards(spark):
+    """60,000 equal rows need three shards and come to all of them; a column's name may hold a dot."""
+    rows = spark.range(60_000).select(F.lit(1).alias("a.b"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(100).cast("long").alias("length"), F.lit(5).cast("long").alias("ids_crc32"))
+    got = packing.pack(rows, "a.b").toPandas()
+    shards = (got.sequence_id // 2**32).value_counts()
+    assert len(got) == 60_000 and len(shards) == 3 and shards.max() < 25_000
+    assert got.sequence_id.nunique() <= 60_000 // 20 + 3
+    docs = spark.createDataFrame([(1, "one", "en"), (2, None, None)], "`a.b` long, `c.d` string, `e.f` string")
+    assert packing.tokenize(docs, "a.b", "c.d").select("`a.b`", "piece").collect() == [(1, 0), (2, 0)]
+    model = language.fit(docs.filter(~language.held_out("a.b") | F.lit(True)), "c.d", "e.f")
+    assert [r.lang_pred for r in language.identify(docs, "c.d", model).collect()] == ["en", "und"]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     rng = np.random.default_rng(10)
