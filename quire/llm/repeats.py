@@ -290,14 +290,17 @@ def with_spans(docs: DataFrame, doc: str, text: str, kind: Kind) -> DataFrame:
     tag = F.xxhash64(F.coalesce(whole, F.lit(""))) if twice else F.least(F.coalesce(F.length(whole), F.lit(0)), F.lit(0)).cast("long")
     others = F.struct(*columns(c for c in docs.columns if c.lower() != text.lower()))
     rows = docs.select(order_id(doc).alias("id_"), tag.alias("tag_"), F.coalesce(whole, F.lit("")).alias("text_"), F.struct(others.alias("others"), whole.isNull().alias("null_")).alias("row_"))
-    met = rows.select("id_", "tag_", "text_").mapInArrow(_find_anchors(kind), "part bigint, key bigint, seen bigint, doc bigint, tag bigint, start bigint, n int")
+    once = rows
+    if twice:  # a text that an id has many times is searched once; each task folds its own rows before the exchange
+        once = cut(rows.groupBy("id_", "tag_").agg(F.min("text_").alias("text_")).withColumn("row_", F.lit(0)), "once")
+    met = once.select("id_", "tag_", "text_").mapInArrow(_find_anchors(kind), "part bigint, key bigint, seen bigint, doc bigint, tag bigint, start bigint, n int")
     repeated = cut(met.repartition("part").sortWithinPartitions("part").mapInArrow(_find_repeated(WIDE), "key bigint, doc bigint, tag bigint, start bigint, n int"), "repeated")
     # a table of its own: where its size allows it is broadcast, and the rows need no exchange by key
     wide = cut(repeated.filter("n = 0").select("key").distinct(), "wide")
     marked = repeated.filter("n > 0").join(wide.withColumn("wide", F.lit(True)), "key", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     asked = marked.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n", "key", "wide")).alias("rows"))
     # both joins need the same columns of rows, so that they read one exchange of the texts
-    held = rows.join(asked, (F.col("id_") == F.col("doc")) & (F.col("tag_") == F.col("tag"))).select("id_", "tag_", "text_", "rows", "row_")
+    held = once.join(asked, (F.col("id_") == F.col("doc")) & (F.col("tag_") == F.col("tag"))).select("id_", "tag_", "text_", "rows", "row_")
     slices = held.mapInArrow(_cut_slices(kind), "route bigint, doc bigint, tag bigint, start bigint, n int, slice binary")
     later = slices.repartition("route").sortWithinPartitions("route", "slice", "doc", "start").mapInArrow(_find_later(kind), "id_ bigint, tag_ bigint, start bigint, n int")
     spans = later.groupBy("id_", "tag_").agg(F.collect_list(F.struct("start", "n")).alias("spans"))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import columns, cut, fresh, quoted, scratch, small_batches, table
@@ -30,6 +30,8 @@ PAIRWISE = 24
 CHUNK = 65536
 #: Classes of shingles whose parities a set keeps, and rows of one shingle that a task compares with each other.
 PARITIES, BLOCK = 1024, 8192
+#: Shingles that a part of them holds on average at most (16 MB), and the powers of two that the number of parts is between.
+PART, FEWEST, MANY = 2**21, 12, 20
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -250,17 +252,18 @@ _ENTRY = np.dtype([("at", "<u2"), ("df", "<u4"), ("shingle", "<u8")])
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
-def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
+def _shared(texts: DataFrame, size: int, similarity: float, bits: int) -> DataFrame:
     """(node, n, shared, prefix, parity) of texts (doc, digest, text) that may have a partner: the number of distinct shingles,
     those that other texts have too (sorted, packed), those of them in the prefix, and the parities of all of them.
 
     Shingles are ordered by the number of texts they are in, then by hash. Two sets of the similarity have a common shingle
     among the first n - least + 1 of either, so a text whose prefix is all its own has no partner. Shingles go by the first
-    12 of 60 bits to where they are counted, packed by batch of texts, and those in two texts or more come back to their batch."""
+    `bits` of 60 bits to where they are counted, packed by batch of texts, and those in two texts or more come back to their batch."""
+    below, spare = np.uint64(60 - bits), np.uint64(bits - 12)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
-        parts = np.arange(1, 4096, dtype=np.uint64) << np.uint64(48)
+        parts = np.arange(1, 1 << bits, dtype=np.uint64) << below
         for batch in batches:
             sets, nodes = [], []
             for doc, digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -277,7 +280,7 @@ def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
             ends = np.r_[0, np.searchsorted(h, parts), len(h)]
             full = np.flatnonzero(ends[1:] > ends[:-1])
             blobs = [np.stack([np.array(nodes, np.int64), n]).tobytes(), *(packed[ends[p] : ends[p + 1]].tobytes() for p in full.tolist())]
-            part = np.r_[task // 2**32 * 61 % 4096, full].astype(np.int32)
+            part = np.r_[task // 2**32 * 61 % (1 << bits), full].astype(np.int32)
             names = np.full(len(part), task, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(names), pa.array(np.arange(len(part)) > 0), pa.array(blobs, pa.binary())], ["part", "batch", "entry", "blob"])
             task += 1
@@ -305,7 +308,7 @@ def _shared(texts: DataFrame, size: int, similarity: float) -> DataFrame:
                     continue
                 entries = np.empty(int(keep.sum()), _ENTRY)
                 picked = order[keep]
-                entries["at"], entries["df"], entries["shingle"] = packed[picked] & np.uint64(65535), df[keep], h[keep] | np.uint64(p << 48)
+                entries["at"], entries["df"], entries["shingle"] = packed[picked] & np.uint64(65535), df[keep], h[keep] | np.uint64(p) >> spare << np.uint64(48)
                 of = of[picked]
                 order = np.argsort(of, kind="stable")
                 entries, of = entries[order], of[order]
@@ -446,13 +449,22 @@ def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similari
         for batch in batches:
             signed = [shingle_set(x.as_py(), size) for x in batch.column(1)]
             fps = np.array([fp for _, fp in signed], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_digest(found) for found, _ in signed], pa.binary()), pa.array(fps)], ["doc", "digest", "fp"])
+            digests, n = pa.array([_digest(found) for found, _ in signed], pa.binary()), pa.array([len(found) for found, _ in signed], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), digests, pa.array(fps), n], ["doc", "digest", "fp", "n"])
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [_digest(shingle_set(x.as_py(), size)[0]) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], ["doc", "text", "digest"])
 
     rows = docs.filter(F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).cast("long").alias("doc"), F.col(quoted(text)).alias("text"))
-    nodes = cut(rows.mapInArrow(sign, "doc long, digest binary, fp long").groupBy("digest").agg(F.min("doc").alias("node"), F.min("fp").alias("fp")), "nodes")
+    if _repeats(docs, key):  # one row for each set of shingles of a key: each task folds its own rows first
+        rows = cut(rows.mapInArrow(digested, "doc long, text string, digest binary").groupBy("doc", "digest").agg(F.min("text").alias("text")).select("doc", "text"), "folded")
+    nodes = cut(rows.mapInArrow(sign, "doc long, digest binary, fp long, n long").groupBy("digest").agg(F.min("doc").alias("node"), F.min("fp").alias("fp"), F.max("n").alias("n")), "nodes")
+    total = nodes.agg(F.sum("n")).first()[0] or 0
     # merged, so that the rows of a batch come in the same order if a task is run again
     texts = rows.join(nodes.select(F.col("node").alias("doc"), "digest").hint("merge"), "doc")
-    shared = _shared(texts, size, similarity)
+    shared = _shared(texts, size, similarity, min(MANY, max(FEWEST, (total // PART).bit_length())))
     prefixes = shared.select("node", "n", F.explode("prefix").alias("key"))
 
     apart, roots = prefixes.withColumn("root", F.col("node")), None
@@ -470,15 +482,21 @@ def similar_groups(docs: DataFrame, key: str, text: str, size: int = 5, similari
     return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+def _repeats(docs: DataFrame, key: str) -> bool:
+    """Whether a key has several rows; only keys are read and exchanged."""
+    return docs.filter(F.col(quoted(key)).isNotNull()).groupBy(F.col(quoted(key))).count().filter("count > 1").limit(1).count() > 0
+
+
 def keep_one(docs: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one row of each group of near copies, the one with the smallest key; rows that repeat a key count as copies,
     rows without a key stay. An empty table stays empty; columns may have any names."""
-    own, mark, number = F.col(quoted(key)), fresh(docs, "kept"), fresh(docs, "number")
+    own, mark = F.col(quoted(key)), fresh(docs, "kept")
     with scratch() as keep:
         kept = keep(cut(similar_groups(docs, key, text, size, similarity).filter("node = root").select(F.col("node").alias(mark)), "kept"))
-    first = Window.partitionBy(own).orderBy(F.xxhash64(F.col(quoted(text))))
     stays = docs.filter(own.isNotNull()).join(kept, own.cast("long") == F.col(mark), "left_semi")
-    stays = stays.withColumn(number, F.row_number().over(first)).filter(F.col(number) == 1).select(*columns(docs.columns))
+    if _repeats(docs, key):  # each task folds its own rows first
+        one = F.min_by(F.struct(*columns(docs.columns)), F.xxhash64(F.col(quoted(text)))).alias("one")
+        stays = stays.groupBy(own.alias("key")).agg(one).select(*(F.col("one").getField(c).alias(c) for c in docs.columns))
     return stays.unionByName(docs.filter(own.isNull()))
 
 

@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quire.llm.common import columns, fresh, map_rows, place, quoted, small_batches, table
+from quire.llm.common import columns, map_rows, place, quoted, small_batches, table
 from quire.llm.language import held_out
 
 #: Labelled documents that the chain is fitted on at most, those of least hash; features that a model knows; folds.
 SAMPLE, KNOWN, FOLDS = 5_000, 400, 4
-#: Documents of the sample that a feature must be in.
-SEEN = 5
+#: Documents of the sample that a feature must be in, and features that a document of the sample gives at most, those of least number.
+SEEN, WIDEST = 5, 16_384
 #: Weight of the squared coefficients, and steps of accelerated gradient descent.
 RIDGE, STEPS = 1e-4, 400
 #: Word beginnings that are features, in characters.
@@ -171,29 +171,31 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: dict[str, str], sample: int = SAMPLE) -> Chain | None:
     """A chain for categories (name: SQL condition on a label row). The sample is bounded; None if no row has labels and a text.
 
-    Label rows with a null are left out; of several rows for one key each category takes the largest value.
+    Label rows with a null are left out; of several rows for one key each category takes the largest value. Of several texts of one
+    key the one of least hash is the sample's, so what the driver gets is `sample` texts at most, each of WIDEST features.
     """
     small_batches(docs.sparkSession)
-    named = labels.select(F.col(key), *(F.expr(c).cast("int").alias(n) for n, c in categories.items())).na.drop()
-    named = named.groupBy(key).agg(*(F.max(n).alias(n) for n in categories))
-    chosen = named.orderBy(F.xxhash64(key), key).limit(sample)
+    named = labels.select(F.col(quoted(key)).alias("key"), *(F.expr(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories.values()))).na.drop()
+    named = named.groupBy("key").agg(*(F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))))
+    chosen = named.orderBy(F.xxhash64("key"), "key").limit(sample)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            cols = [pa.array([np.fromiter(features(t), np.uint32).view(np.int32) for t in texts], pa.list_(pa.int32())), pa.array([list(style(t)) for t in texts], pa.list_(pa.float64()))]
+            found = [np.sort(np.fromiter(features(t), np.uint32))[:WIDEST].view(np.int32) for t in texts]
+            cols = [pa.array(found, pa.list_(pa.int32())), pa.array([list(style(t)) for t in texts], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["key", "tokens", "style"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    mark = fresh(docs, "key")
+    plain = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).filter(F.col("text").isNotNull())
     # at most `sample` label rows are sent to the documents, so the broadcast is bounded
-    held = docs.filter(F.col(quoted(text)).isNotNull()).join(F.broadcast(chosen.select(F.col(quoted(key)).alias(mark))), F.col(quoted(key)) == F.col(mark), "left_semi")
-    rows = held.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(gather, f"key {kind}, tokens array<int>, style array<double>")
-    got = rows.toPandas().drop_duplicates("key").sort_values("key")
+    held = plain.join(F.broadcast(chosen.select("key")), "key", "left_semi")
+    held = held.groupBy("key").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")).select("key", "one.text")
+    kind = plain.schema["key"].dataType.simpleString()
+    got = held.mapInArrow(gather, f"key {kind}, tokens array<int>, style array<double>").toPandas().sort_values("key")
     if not len(got):
         return None
-    truth = chosen.toPandas().set_index(key).loc[got.key]
-    return fit_chain([np.asarray(t, np.int32).view(np.uint32) for t in got.tokens], np.array(got["style"].tolist()), {c: truth[c].to_numpy(float) for c in categories})
+    truth = chosen.toPandas().set_index("key").loc[got.key]
+    return fit_chain([np.asarray(t, np.int32).view(np.uint32) for t in got.tokens], np.array(got["style"].tolist()), {c: truth[f"y{i}"].to_numpy(float) for i, c in enumerate(categories)})
 
 
 def score(docs: DataFrame, text: str, chain: Chain | None) -> DataFrame:
