@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.ranges import in_range
+
 
 def dangling(refs: DataFrame, ids: DataFrame, ref: str, ident: str) -> DataFrame:
     """JN2/JN3/JN6: references whose target does not exist."""
@@ -130,10 +132,11 @@ def conversion_filter(nodes: DataFrame, marks: Column, negative: Column, wanted:
 
 
 def ancestors(nodes: DataFrame, low: Column, high: Column) -> DataFrame:
-    """JN12: (ancestor, descendant) pairs of marked nodes by interval containment within a work and book."""
-    a = nodes.filter(low).select("work", "book", F.col("pre").alias("a_pre"), F.col("post").alias("a_post"))
+    """JN12: (ancestor, descendant) pairs of marked nodes within a work and book. A node's descendants are the range pre + 1 .. post,
+    so the pairs come from an equi-join on the blocks of these ranges: a node meets its own descendants only."""
+    a = nodes.filter(low).select("work", "book", F.col("pre").alias("a_pre"), F.col("post").alias("a_post"), (F.col("pre") + 1).alias("__low"))
     d = nodes.filter(high).select("work", "book", F.col("pre").alias("d_pre"))
-    return a.join(d, ["work", "book"]).filter("a_pre < d_pre AND d_pre <= a_post")
+    return in_range(d, a, "d_pre", "__low", "a_post", ["work", "book"]).select("work", "book", "a_pre", "a_post", "d_pre")
 
 
 def substitutions(df: DataFrame, text: str, rules: Sequence[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:

@@ -1,4 +1,4 @@
-"""Document-order analytics: windows over ordered nodes, always within a partition key."""
+"""Document-order analytics: ordered scans over nodes within a key (see scan.py), and windows over keys that have a few rows."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.scan import Scan, ordered
+
 
 def _over(by: Sequence[str], order: Sequence[str]):  # noqa: ANN202
     return Window.partitionBy(*by).orderBy(*order)
@@ -14,40 +16,41 @@ def _over(by: Sequence[str], order: Sequence[str]):  # noqa: ANN202
 
 def latest_preceding(df: DataFrame, value: Column, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """JN10: the last non-null value at or before each row (as-of in document order)."""
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(_over(by, order).rowsBetween(Window.unboundedPreceding, 0)))
+    return ordered(df, by, order, {name: Scan("last", value)})
 
 
 def next_following(df: DataFrame, value: Column, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """JN11: the first non-null value after each row."""
-    return df.withColumn(name, F.first(value, ignorenulls=True).over(_over(by, order).rowsBetween(1, Window.unboundedFollowing)))
+    return ordered(df, by, order, {name: Scan("next", value)})
 
 
 def sessions(df: DataFrame, starts: Column, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """WN7: numbers groups that begin where starts is true (group-starting-with); rows before the first start are group 0."""
-    return df.withColumn(name, F.sum(F.when(starts, 1).otherwise(0)).over(_over(by, order).rowsBetween(Window.unboundedPreceding, 0)))
+    return ordered(df, by, order, {name: Scan("total", F.when(starts, 1).otherwise(0))})
 
 
 def islands(df: DataFrame, value: str, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """WN7: numbers runs of equal values (group-adjacent)."""
-    before = F.lag(value).over(_over(by, order))
-    first = F.row_number().over(_over(by, order)) == 1
-    return sessions(df.withColumn(name, first | ~before.eqNullSafe(F.col(value))), F.col(name), by, order, name)
+    # a struct, so that a null before the row is told from no row before it
+    seen = ordered(df, by, order, {f"__{name}": Scan("before", F.struct(F.col(value).alias("v")))})
+    first = F.col(f"__{name}").isNull() | ~F.col(f"__{name}")["v"].eqNullSafe(F.col(value))
+    return sessions(seen, first, by, order, name).drop(f"__{name}")
 
 
 def ordinals(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """WN4: numbers rows in their section from 1."""
-    return df.withColumn(name, F.row_number().over(_over(by, order)))
+    return ordered(df, by, order, {name: Scan("number")}).withColumn(name, F.col(name).cast("int"))
 
 
 def neighbours(df: DataFrame, value: str, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """WN6: prev_ and next_ value."""
-    w = _over(by, order)
-    return df.withColumn("prev_value", F.lag(value).over(w)).withColumn("next_value", F.lead(value).over(w))
+    return ordered(df, by, order, {"prev_value": Scan("before", F.col(value)), "next_value": Scan("after", F.col(value))})
 
 
 def heads(df: DataFrame, value: Column, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """WN8: whether a row's value differs from the one before (first of each letter)."""
-    return df.withColumn(name, ~F.lag(value).over(_over(by, order)).eqNullSafe(value))
+    seen = ordered(df, by, order, {"__before": Scan("before", value)})
+    return seen.withColumn(name, ~F.col("__before").eqNullSafe(value)).drop("__before")
 
 
 def without_repeats(df: DataFrame, value: Column, by: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -84,8 +87,7 @@ def layout(df: DataFrame, by: Sequence[str], order: Sequence[str], width: Column
 def sequence_findings(df: DataFrame, number: str, by: Sequence[str], order: Sequence[str], first: int = 1, last: Column | None = None) -> DataFrame:
     """WN1/DQ1: one finding for each break of a numbered sequence: missing (a gap), repeated or out of order; after a break
     the seen number is the expected one. last: the number that should end each group, for a finding `unfinished`."""
-    w = _over(by, order)
-    seen = df.withColumn("expected", F.coalesce(F.lag(number).over(w) + 1, F.lit(first)))
+    seen = ordered(df, by, order, {"expected": Scan("before", F.col(number))}).withColumn("expected", F.coalesce(F.col("expected") + 1, F.lit(first)))
     kind = F.when(F.col(number) == F.col("expected"), None).when(F.col(number) > F.col("expected"), "missing").when(F.col(number) == F.col("expected") - 1, "repeated").otherwise("out of order")
     found = seen.withColumn("finding", kind).filter(F.col("finding").isNotNull()).select(*by, F.col("expected").cast("long").alias("expected"), F.col(number).cast("long").alias("seen"), "finding")
     if last is None:
@@ -109,7 +111,7 @@ def repair_verses(df: DataFrame, by: Sequence[str], order: Sequence[str], start:
 def balance(df: DataFrame, opens: Column, closes: Column, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """WN1: open tags after each row; a negative number or one left at the end is an error."""
     step = F.when(opens, 1).when(closes, -1).otherwise(0)
-    return df.withColumn("open_tags", F.sum(step).over(_over(by, order).rowsBetween(Window.unboundedPreceding, 0)))
+    return ordered(df, by, order, {"open_tags": Scan("total", step)})
 
 
 def before_first(df: DataFrame, mark: Column, by: Sequence[str], pre: str, name: str) -> DataFrame:

@@ -89,11 +89,32 @@ def scope_string(verses: DataFrame, index: DataFrame, by: Sequence[str], vsys: s
     return text.unionByName(extra).groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list("__s")), lambda s: s["said"]), " ").alias("scope"))
 
 
-def in_range(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, by: Sequence[str] = (), width: int = 1024) -> DataFrame:
-    """JN13: points within ranges as an equi-join on buckets of `width`, so no side needs to be broadcast."""
-    p = points.withColumn("__b", F.floor(F.col(point) / width))
-    r = ranges.filter(F.col(low) <= F.col(high)).withColumn("__b", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
-    return p.join(r, [*by, "__b"]).filter((F.col(point) >= F.col(low)) & (F.col(point) <= F.col(high))).drop("__b")
+def _cover(low: Column, high: Column, levels: int) -> Column:
+    """The blocks (level, at) that make up low..high: at level k a block is 8**k numbers long, and no two overlap. At most 14 a
+    level: those before the first and behind the last whole block of the next level."""
+    up = lambda x, bits: -F.shiftright(-x, bits)
+    of = lambda k: lambda x: F.struct(F.lit(k).alias("level"), x.alias("at"))
+    blocks = []
+    for k in range(levels):
+        a, b = up(low, 3 * k), F.shiftright(high + 1, 3 * k)  # blocks a..b - 1 lie within low..high
+        left = F.least(b, 8 * up(low, 3 * k + 3))
+        right = F.greatest(left, 8 * F.shiftright(high + 1, 3 * k + 3))
+        blocks += [F.when((a < b) & (first < end), F.transform(F.sequence(first, end - 1), of(k))) for first, end in ((a, left), (right, b))]
+    return F.flatten(F.filter(F.array(*blocks), lambda x: x.isNotNull()))
+
+
+def in_range(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, by: Sequence[str] = (), longest: int | None = None) -> DataFrame:
+    """JN13: points within ranges (both ends belong to them), a row for each pair. A range becomes the blocks that make it up, in a
+    tree of blocks of 8: a few for each level, so a long range makes hardly more rows than a short one; a point is in one block of
+    each level. So it is an equi-join without a filter behind it: what is shuffled is near the input and the result. The number of
+    levels follows the longest range (asked of the table, unless the caller knows a bound). Ranges with low > high and nulls give nothing."""
+    fit = ranges.filter(F.col(low) <= F.col(high))
+    longest = longest or fit.agg(F.max(F.col(high).cast("long") - F.col(low).cast("long") + 1)).first()[0] or 1
+    levels = max(1, -(-int(longest).bit_length() // 3))
+    p = points.filter(F.col(point).isNotNull()).withColumn("__n", F.col(point).cast("long"))
+    p = p.withColumn("__b", F.explode(F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("__n", 3 * k).alias("at")) for k in range(levels))))).drop("__n")
+    r = fit.withColumn("__b", F.explode(_cover(F.col(low).cast("long"), F.col(high).cast("long"), levels)))
+    return p.join(r, [*by, "__b"]).drop("__b")
 
 
 def overlaps(a: Column, b: Column) -> Column:

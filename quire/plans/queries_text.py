@@ -228,6 +228,33 @@ def verse_maps(spark, d):  # VM1-VM5, VM8, D10
     return verses.verse_maps(idx, verses.instructions(raw)).select("fixed_id", "src_id", "status")
 
 
+@query("""
+WITH c AS (SELECT 'B' || o_custkey AS b, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS ch, o_orderkey AS k FROM orders),
+v AS (SELECT b, ch, k, unnest(generate_series(1, 4 + k % 5)) AS vs FROM c),
+s AS (SELECT *, (vs = 3 AND k % 3 = 0) OR (vs = 4 AND k % 7 = 0) AS split, vs BETWEEN 1 AND 2 AND k % 4 = 1 AS gone FROM v),
+g AS (SELECT *, ch + sum(CASE WHEN split THEN 1 ELSE 0 END) OVER (PARTITION BY b ORDER BY ch, vs) AS sc FROM s),
+p AS (SELECT *, row_number() OVER (PARTITION BY b, sc ORDER BY ch, vs) AS place FROM g WHERE NOT gone),
+x AS (SELECT b, ch AS sc, 2 AS sv FROM c WHERE k % 5 = 2),
+n AS (SELECT b, sc, n, row_number() OVER (PARTITION BY b, sc ORDER BY n) AS place FROM (SELECT DISTINCT b, sc FROM p), (SELECT unnest(generate_series(1, 40)) AS n) WHERE (b, sc, n) NOT IN (SELECT b, sc, sv FROM x)),
+m AS (SELECT p.b, p.ch, p.vs, p.sc, n.n AS sv FROM p JOIN n ON n.b = p.b AND n.sc = p.sc AND n.place = p.place),
+a AS (SELECT g.b, g.ch, g.vs, gone, m.sc, m.sv FROM g LEFT JOIN m ON m.b = g.b AND m.ch = g.ch AND m.vs = g.vs),
+near AS (SELECT b, ch, vs, gone, coalesce(last_value(CASE WHEN sv IS NOT NULL THEN sc || '.' || sv END IGNORE NULLS) OVER (PARTITION BY b, ch ORDER BY vs),
+ first_value(CASE WHEN sv IS NOT NULL THEN sc || '.' || sv END IGNORE NULLS) OVER (PARTITION BY b, ch ORDER BY vs ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS said FROM a),
+line AS (SELECT b, sc, sv, b || '.' || ch || '.' || vs AS id FROM m UNION ALL SELECT b, sc, sv, NULL FROM x),
+host AS (SELECT b, sc, sv, id, coalesce(last_value(id IGNORE NULLS) OVER (PARTITION BY b ORDER BY sc, sv), first_value(id IGNORE NULLS) OVER (PARTITION BY b ORDER BY sc, sv ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS h FROM line)
+SELECT b || '.' || ch || '.' || vs AS fixed_id, b || '.' || said AS src_id, CASE WHEN gone THEN 'missing' WHEN said = ch || '.' || vs THEN 'same' ELSE 'moved' END AS status FROM near
+UNION ALL SELECT h, b || '.' || sc || '.' || sv, 'extra' FROM host WHERE id IS NULL""")
+def split_verse_maps(spark, d):  # VM1-VM3, VM5, D10
+    n = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    c = load(spark, d, "orders").select(F.concat(F.lit("B"), F.col("o_custkey").cast("string")).alias("book"), F.row_number().over(n).alias("ch"), F.col("o_orderkey").alias("k"))
+    idx = c.select("book", "ch", F.explode(F.sequence(F.lit(1), (4 + F.col("k") % 5).cast("int"))).alias("vs"))
+    said = lambda when, shape: F.when(when, F.format_string(shape, "book", "ch"))
+    k = F.col("k")
+    lines = F.array(said(k % 3 == 0, "VSYS_CHAPTER_SPLIT_AT: %s.%d.3"), said(k % 7 == 0, "VSYS_CHAPTER_SPLIT_AT: %s.%d.4"), said(k % 4 == 1, "VSYS_MISSING: %s.%d.1.2"), said(k % 5 == 2, "VSYS_EXTRA: %s.%d.2"))
+    raw = c.select(k.alias("line_no"), F.explode(lines).alias("raw")).filter("raw IS NOT NULL")
+    return verses.verse_maps(idx, verses.instructions(raw), extra=True).select("fixed_id", "src_id", "status")
+
+
 @query("""
 WITH m AS (SELECT c_custkey AS a, c_custkey + 7 AS b FROM customer WHERE c_nationkey > 11), i AS (SELECT c_custkey AS ord FROM customer),
 r AS (SELECT DISTINCT k, ord FROM (SELECT o_orderkey AS k, coalesce(m.b, x.v) AS ord FROM (SELECT o_orderkey, unnest(generate_series(o_custkey, o_custkey + 3)) AS v FROM orders) x LEFT JOIN m ON m.a = x.v) JOIN i USING (ord)),
@@ -377,8 +404,22 @@ def ancestor_closure(spark, d):  # AL1, AL5 on a tree of suppliers
 def job_levels(spark, d):  # AL2
     s, k = load(spark, d, "supplier").filter("s_suppkey > 0"), F.col("s_suppkey")
     deps = s.select(k.alias("job"), F.floor(k / 3).alias("needs")).unionByName(s.filter("s_nationkey < 12").select(k.alias("job"), F.floor(k / 5).alias("needs")))
-    deps.createOrReplaceTempView("quire_deps")
-    return graph.levels_sql(spark, "quire_deps")
+    return graph.levels(deps).select("name", "level")
+
+
+@query("""
+WITH RECURSIVE e AS (SELECT s_suppkey AS job, s_suppkey // 3 AS needs FROM supplier WHERE s_suppkey > 0 UNION SELECT s_suppkey // 3, s_suppkey FROM supplier WHERE s_suppkey % 17 = 5),
+c(a, b) AS (SELECT job, needs FROM e UNION SELECT c.a, e.needs FROM c JOIN e ON e.job = c.b),
+r AS (SELECT DISTINCT a AS name FROM c WHERE a = b),
+stuck AS (SELECT name FROM r UNION SELECT a FROM c WHERE b IN (SELECT name FROM r)),
+ring AS (SELECT name FROM r UNION SELECT a FROM c WHERE b IN (SELECT name FROM r) AND a IN (SELECT b FROM c WHERE a IN (SELECT name FROM r))),
+ok AS (SELECT job AS name FROM e UNION SELECT needs FROM e EXCEPT SELECT name FROM stuck),
+l(name, level) AS (SELECT name, 0 FROM ok WHERE name NOT IN (SELECT job FROM e) UNION SELECT e.job, l.level + 1 FROM l JOIN e ON e.needs = l.name WHERE e.job IN (SELECT name FROM ok))
+SELECT name, max(level) AS level, 'ready' AS state FROM l GROUP BY name UNION ALL SELECT name, NULL, CASE WHEN name IN (SELECT name FROM ring) THEN 'cycle' ELSE 'blocked' END FROM stuck""")
+def stuck_jobs(spark, d):  # AL2
+    s, k = load(spark, d, "supplier"), F.col("s_suppkey")
+    up = s.filter(k > 0).select(k.alias("job"), F.floor(k / 3).alias("needs"))
+    return graph.levels(up.unionByName(s.filter(k % 17 == 5).select(F.floor(k / 3).alias("job"), k.alias("needs"))))
 
 
 @query("""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from xml.etree import ElementTree
+from xml.parsers import expat
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
@@ -17,25 +17,37 @@ from pyspark.sql import functions as F
 NODE = "work string, pre int, post int, parent int, depth int, kind string, name string, attrs map<string,string>, text string"
 
 
-def _walk(work: str, xml: str) -> list[tuple]:
-    rows: list[list] = []
+def _walk(work: str, xml: str) -> Iterator[tuple]:
+    """The nodes of a document, elements when they end. The open elements are a list, so that depth costs no calls."""
+    done: list[tuple] = []
+    open_: list[list] = []
+    said: list[str] = []
+    number = 0
 
-    def visit(node: ElementTree.Element, parent: int | None, depth: int) -> None:
-        at = len(rows)
-        rows.append([work, at, at, parent, depth, "element", node.tag.rpartition("}")[2], {k.rpartition("}")[2]: v for k, v in node.attrib.items()}, None])
+    def flush() -> None:
+        nonlocal number
+        if said and open_:
+            done.append((work, number, number, open_[-1][1], len(open_), "text", None, None, "".join(said)))
+            number += 1
+        said.clear()
 
-        def said(t: str | None) -> None:
-            if t:
-                rows.append([work, len(rows), len(rows), at, depth + 1, "text", None, None, t])
+    def start(name: str, attrs: dict[str, str]) -> None:
+        nonlocal number
+        flush()
+        open_.append([work, number, open_[-1][1] if open_ else None, len(open_), name.rpartition("}")[2], {k.rpartition("}")[2]: v for k, v in attrs.items()}])
+        number += 1
 
-        said(node.text)
-        for child in node:
-            visit(child, at, depth + 1)
-            said(child.tail)
-        rows[at][2] = len(rows) - 1
+    def end(name: str) -> None:
+        flush()
+        _, at, parent, depth, own, attrs = open_.pop()
+        done.append((work, at, number - 1, parent, depth, "element", own, attrs, None))
 
-    visit(ElementTree.fromstring(xml), None, 0)
-    return [tuple(r) for r in rows]
+    parser = expat.ParserCreate(namespace_separator="}")
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, said.append
+    for i in range(0, len(xml), 2**20):
+        parser.Parse(xml[i : i + 2**20], False)
+    parser.Parse("", True)
+    return iter(done)
 
 
 def shred(docs: DataFrame, key: str, xml: str) -> DataFrame:
@@ -48,7 +60,7 @@ def shred(docs: DataFrame, key: str, xml: str) -> DataFrame:
             for work, x in zip(pdf["work"], pdf["xml"], strict=True):
                 try:
                     out += _walk(work, x or "")
-                except ElementTree.ParseError as e:
+                except (expat.ExpatError, UnicodeEncodeError) as e:
                     out.append((work, 0, 0, None, 0, "error", None, None, str(e)))
             yield pd.DataFrame(out, columns=["work", "pre", "post", "parent", "depth", "kind", "name", "attrs", "text"]).astype({"parent": "Int32"})
 
