@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,22 +41,131 @@ def _admitted(values: frozenset[str], atom: str | None) -> bool:
     return "all" in {v.lower() for v in values} or (atom is not None and (atom in values or atom.split(".")[0] in values))
 
 
-def link_context(rows: list[tuple[int, str, str | None, str | None, bool]], rules: list[tuple[Rule, re.Pattern]]) -> list[tuple[int, int, int, int]]:
+#: Rules at most, since each task gets them all.
+MOST_RULES = 1_000_000
+
+
+class _Fold(dict):
+    """Characters to one that stands for all that a pattern without case takes for the same."""
+
+    def __missing__(self, point: int) -> int:
+        c = chr(point)
+        one = next((x for x in (c.casefold(), c.lower()) if len(x) == 1), c)
+        self[point] = ord(one)
+        return self[point]
+
+
+FOLD = _Fold({0x130: 0x69, 0x131: 0x69})  # both dotted and dotless i
+
+
+def folded(text: str) -> str:
+    """The text in folded characters, as long as it was."""
+    return text.lower() if text.isascii() else text.translate(FOLD)
+
+
+def _plain(c: str) -> bool:
+    """Whether a character's cases have one letter each."""
+    return len(c.casefold()) == len(c.lower()) == len(c.upper()) == 1 or c in "iİı"
+
+
+def stem(p: re.Pattern) -> str:
+    """The longest folded text that each match must hold, by the parsed pattern; empty if none is sure."""
+    try:
+        from re import _constants as op
+        from re import _parser as parser
+    except ImportError:  # another Python: no stem, so the pattern is always tried
+        return ""
+
+    def parts(items: Sequence) -> Iterator[str | None]:
+        """Characters that follow each other in every match; None where anything may be between."""
+        for what, value in items:
+            if what is op.LITERAL:
+                yield chr(value)
+            elif what is op.SUBPATTERN and not value[1] and not value[2]:
+                yield from parts(value[3])
+            elif what in (op.MAX_REPEAT, op.MIN_REPEAT) and value[0] >= 1:
+                yield from (None, *parts(value[2]), None)
+            elif what is not op.AT:
+                yield None
+
+    best, run = "", ""
+    for c in (*parts(parser.parse(p.pattern, p.flags)), None):
+        if c is not None and _plain(c):
+            run += c
+        else:
+            best, run = max(best, run, key=len), ""
+    return folded(best)
+
+
+@dataclass
+class Index:
+    """Rules by their stems: one pass over a text finds where the stems of all rules are, so that only rules whose stem is in a
+    stretch are tried there. Rules without a stem are always tried. Patterns are compiled when they are first tried."""
+
+    rules: list[Rule]
+    stems: list[str]
+    patterns: dict[int, re.Pattern] = field(default_factory=dict)
+    automaton: object = None
+
+    @staticmethod
+    def of(rules: list[Rule]) -> "Index":
+        return Index(rules, [stem(compile_rule(r.pattern)) for r in rules])
+
+    def __getstate__(self) -> dict:
+        return {"rules": self.rules, "stems": self.stems, "patterns": {}, "automaton": None}
+
+    def pattern(self, i: int) -> re.Pattern:
+        if i not in self.patterns:
+            self.patterns[i] = compile_rule(self.rules[i].pattern)
+        return self.patterns[i]
+
+    def places(self, text: str) -> list[tuple[int, list[int] | None]]:
+        """(rule, where its stem begins) of the rules that may match, in the rules' order; None for a rule without a stem."""
+        if self.automaton is None:
+            import ahocorasick
+
+            by_stem: dict[str, list[int]] = {}
+            for i, s in enumerate(self.stems):
+                by_stem.setdefault(s, []).append(i)
+            self.automaton = ahocorasick.Automaton()
+            for s, which in by_stem.items():
+                if s:
+                    self.automaton.add_word(s, (len(s), which))
+            self.automaton.make_automaton()
+            self.always = by_stem.get("", [])
+        found: dict[int, list[int] | None] = {i: None for i in self.always}
+        if len(self.automaton):
+            for end, (size, which) in self.automaton.iter(folded(text)):
+                for i in which:
+                    found.setdefault(i, []).append(end - size + 1)
+        return sorted(found.items())
+
+
+def link_context(rows: list[tuple[int, str, str | None, str | None, bool]], rules: list[tuple[Rule, re.Pattern]] | Index) -> list[tuple[int, int, int, int]]:
     """AN6/AN7/WN2 for the ordered texts (seq, text, atom, testament, in_keyword) of one context: links (seq, start, end, rule).
 
     In each unlinked stretch the first rule that passes and matches wins, and this repeats until none does. A rule that may not
     link again still consumes its match. Keywords are never linked."""
+    index = rules if isinstance(rules, Index) else Index([r for r, _ in rules], [""] * len(rules), {i: p for i, (_, p) in enumerate(rules)})
     used: set = set()
     out = []
     for seq, text, atom, half, keyword in rows:
         if keyword or not text:
             continue
+        admitted = []
+        for i, where in index.places(text):
+            rule = index.rules[i]
+            if not (rule.only and half != rule.only or rule.context and not _admitted(rule.context, atom) or rule.not_context and _admitted(rule.not_context, atom)):
+                admitted.append((i, where, len(index.stems[i])))
         todo, taken = [(0, len(text))], []
         while todo:
             a, b = todo.pop()
-            for i, (rule, p) in enumerate(rules):
-                if rule.only and half != rule.only or rule.context and not _admitted(rule.context, atom) or rule.not_context and _admitted(rule.not_context, atom):
-                    continue
+            for i, where, size in admitted:
+                if where is not None:
+                    k = bisect_left(where, a)
+                    if k == len(where) or where[k] + size > b:
+                        continue
+                rule, p = index.rules[i], index.pattern(i)
                 m = p.search(text[a:b])
                 if not m:
                     continue
@@ -75,15 +186,18 @@ def link_context(rows: list[tuple[int, str, str | None, str | None, bool]], rule
 
 def link_terms(texts: DataFrame, rules: list[Rule], context: list[str]) -> DataFrame:
     """Links of all texts: context columns, seq, start, end, entry, ref, text. texts: context columns, seq, text, atom, testament,
-    in_keyword. A context (a chapter or keyword) is one group, since what is linked there first decides the rest."""
-    compiled = [(r, compile_rule(r.pattern)) for r in rules]
+    in_keyword. A context (a chapter or keyword) is one group, since what is linked there first decides the rest. The rules go to
+    every task; a text is tried with those only whose stems it holds (see Index)."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"{len(rules)} rules are more than {MOST_RULES}")
+    index = Index.of(rules)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
         said = dict(zip(pdf.seq, pdf.text, strict=True))
-        got = link_context(list(zip(pdf.seq, pdf.text, pdf.atom, pdf.testament, pdf.in_keyword, strict=True)), compiled)
+        got = link_context(list(zip(pdf.seq, pdf.text, pdf.atom, pdf.testament, pdf.in_keyword, strict=True)), index)
         cols = {c: [pdf[c].iloc[0]] * len(got) for c in context} | {k: [g[i] for g in got] for i, k in enumerate(("seq", "start", "end"))}
-        cols |= {"entry": [compiled[g[3]][0].entry for g in got], "ref": [compiled[g[3]][0].ref for g in got], "text": [said[s][a:b] for s, a, b, _ in got]}
+        cols |= {"entry": [rules[g[3]].entry for g in got], "ref": [rules[g[3]].ref for g in got], "text": [said[s][a:b] for s, a, b, _ in got]}
         return pd.DataFrame({k: pd.Series(v, dtype=None if v else "object") for k, v in cols.items()})
 
     kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in context)

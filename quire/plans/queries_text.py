@@ -180,13 +180,31 @@ def ref_extract_documents(spark, d):  # AN1 on whole documents: prose with numbe
     return got.select("doc_id", F.explode("links").alias("x")).select("doc_id", "x.*")
 
 
-@query()
+@query(r"""
+WITH c AS (SELECT conv_id, turn AS seq, text, role FROM conversations WHERE role <> 'system'),
+r(entry, ref, pat, only_user, not_assistant) AS (VALUES ('House', 'D:House', 'house\S*', false, false), ('The', 'D:The', 'the', true, false), ('Est', 'D:Est', '(?-i:est|from)', false, true)),
+m AS (SELECT conv_id, seq, entry, ref, text, '(?is)^((?:.*?[^\p{L}\p{N}_])??)(' || pat || ')' || CASE WHEN entry = 'House' THEN '' ELSE '(?:[^\p{L}\p{N}_]|$)' END AS p FROM c, r WHERE (NOT only_user OR role = 'user') AND (NOT not_assistant OR role <> 'assistant')),
+f AS (SELECT *, length(regexp_extract(text, p, 1)) AS b, regexp_extract(text, p, 2) AS t FROM m WHERE regexp_matches(text, p))
+SELECT conv_id, seq, CAST(b AS INTEGER) AS start, CAST(b + length(t) AS INTEGER) AS "end", entry, ref, t AS text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, entry ORDER BY seq) AS n FROM f) WHERE n = 1""")
 def term_link(spark, d):  # AN6, AN7, WN2, F13
     rules = [terms.Rule("House", "D:House", r"/\b(house\S*)/i"), terms.Rule("The", "D:The", r"/\b(the)\b/i", multiple="match", context=frozenset({"user"})), terms.Rule("Est", "D:Est", r"/\b(est|from)\b/", not_context=frozenset({"assistant"})), terms.Rule("In", "D:In", r"/\b(in)\b/", dont_link=True)]
     c = load(spark, d, "conversations").select("conv_id", F.col("turn").alias("seq"), "text", F.col("role").alias("atom"), F.lit("OT").alias("testament"), (F.col("role") == "system").alias("in_keyword"))
     return terms.link_terms(c, rules, ["conv_id"])
 
 
+@query(r"""
+WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w FROM benchmark),
+d AS (SELECT doc_id, string_split_regex(text, '[\p{L}\p{N}_]+') AS gaps, regexp_extract_all(text, '[\p{L}\p{N}_]+') AS ws FROM documents WHERE text <> ''),
+u AS (SELECT doc_id, unnest(ws) AS w, unnest(gaps[1:len(ws)]) AS gap, generate_subscripts(ws, 1) AS i FROM d),
+p AS (SELECT doc_id, w, CAST(sum(length(gap) + length(w)) OVER (PARTITION BY doc_id ORDER BY i) - length(w) AS INTEGER) AS b FROM u)
+SELECT doc_id, w AS entry, min(b) AS start FROM p WHERE w IN (SELECT w FROM t WHERE length(w) >= 5) GROUP BY doc_id, w""")
+def many_terms(spark, d):  # AN6, AN9: a rule for each longer word of the benchmark, on all documents
+    said = load(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[\\p{L}\\p{N}_]+"), F.lit(0))).alias("w")).distinct().filter("length(w) >= 5").orderBy("w")
+    rules = [terms.Rule(r.w, f"D:{r.w}", f"/\\b(\\Q{r.w}\\E)\\b/", multiple="match") for r in said.collect()]  # the rule table
+    docs = load(spark, d, "documents").select("doc_id", F.lit(0).cast("long").alias("seq"), "text", F.lit(None).cast("string").alias("atom"), F.lit(None).cast("string").alias("testament"), F.lit(False).alias("in_keyword"))
+    return terms.link_terms(docs, rules, ["doc_id"]).select("doc_id", "entry", "start")
+
+
 @query("SELECT DISTINCT p_name AS entry, unnest(list_distinct(list_concat([p_name || ', ' || p_type], [p_name, p_type]))) AS variant FROM part")
 def default_rules(spark, d):  # AN10
     e = load(spark, d, "part").select(F.concat_ws(", ", "p_name", "p_type").alias("k"), F.col("p_name")).distinct()
