@@ -70,6 +70,10 @@ class Grammar:
             ("T10", f"(?P<n>\\d{{1,3}})(?:{dash}(?P<m>\\d{{1,3}}))?"),
         ]
         self.forms = [(t, re.compile(p, re.I)) for t, p in shapes]
+        bare = lambda p: re.sub(r"\?P<\w+>", "?:", p)
+        # where any form but T10 begins, in one search; and all forms at once, each with groups of its own
+        self.begin = re.compile(f"(?<![^\\W_])(?:{'|'.join(bare(p) for t, p in shapes if t != 'T10')})", re.I)
+        self.whole = re.compile("|".join(f"(?P<{t}>{re.sub(r'\?P<(\w+)>', lambda m, t=t: f'?P<{t}_{m[1]}>', p)})" for t, p in shapes), re.I)
         more = "|".join([names, chap, verse, here, alt(s.current_book), alt(s.prefixes), alt(s.separators), s.chapter_to_verse, s.continuation, "\\d+", "\\s+", "\\."])
         self.extension = re.compile(f"(?:{more})*", re.I)
         self.end = re.compile(s.ref_end, re.I)
@@ -84,26 +88,23 @@ class Grammar:
 
 
 def locate(g: Grammar, text: str, at: int) -> tuple[int, int] | None:
-    """The leftmost match of any form but T10; of those that start there the shortest."""
-    best: tuple[int, int] | None = None
-    for name, p in g.forms:
-        if name == "T10":
-            continue
-        m = p.search(text, at)
-        while m and m.start() and text[m.start() - 1].isalnum():
-            m = p.search(text, m.start() + 1)
-        if m and (best is None or (m.start(), m.end()) < best):
-            best = (m.start(), m.end())
-    return best
+    """The leftmost match of any form but T10; of those that start there the shortest. What is behind a match is searched from there,
+    so a text is read about once, however many matches it has."""
+    m = g.begin.search(text, at)
+    if not m:
+        return None
+    ends = [x.end() for name, p in g.forms if name != "T10" and (x := p.match(text, m.start()))]
+    return m.start(), min(ends)
 
 
 def resolve(g: Grammar, part: str, book: str | None, ch: int | None, verses: bool) -> tuple[dict, str | None, int | None, bool] | None:
     """A part by the first form that matches it whole: its fields, and the context behind it."""
-    for name, p in g.forms:
-        m = p.fullmatch(part)
-        if not m:
-            continue
-        d = {k: m.groupdict().get(k) for k in ("book", "ch", "vs", "lv", "lch", "n", "m", "here")}
+    # alternatives are tried in the order of the forms
+    m = g.whole.fullmatch(part)
+    if m:
+        name = next(t for t, _ in g.forms if m[t] is not None)
+        found = m.groupdict()
+        d = {k: found.get(f"{name}_{k}") for k in ("book", "ch", "vs", "lv", "lch", "n", "m", "here")}
         num = {k: int(d[k]) if d[k] else None for k in ("ch", "vs", "lv", "lch", "n", "m")}
         b = g.book_of(d["book"], book)
         c, v, last = num["ch"], num["vs"], num["lv"]

@@ -274,7 +274,16 @@ def unreachable_pages(spark, d):  # JN17; a page's path is its title's first wor
     return integrity.dangling(files, html.page_links(p, "page_id", "html"), "path", "href").select("page_id", "url")
 
 
-@query()
+@query("""
+WITH RECURSIVE t AS (SELECT page_id, regexp_extract_all(substr(html, instr(html, '<body')), '<!--(?:.|\\n)*?-->|<[^>]*>|[^<]+') AS ts FROM pages WHERE contains(html, '<body')),
+r(page_id, i, tok, kind, tag, stack, shut) AS (SELECT page_id, 0, '', '', '', ['html'], false FROM t UNION ALL
+ SELECT page_id, i, tok, kind, tag, CASE WHEN kind = 'end' AND list_contains(stack, tag) THEN stack[1:len(stack) - list_position(list_reverse(stack), tag)] WHEN kind = 'start' AND tag NOT IN ('br', 'hr', 'img', 'input', 'meta', 'link') THEN list_append(stack, tag) ELSE stack END, kind = 'end' AND tag = 'body'
+ FROM (SELECT *, lower(regexp_extract(tok, '^</?([a-zA-Z0-9]+)', 1)) AS tag, CASE WHEN starts_with(tok, '<!') THEN 'note' WHEN starts_with(tok, '</') THEN 'end' WHEN starts_with(tok, '<') THEN 'start' ELSE 'text' END AS kind
+  FROM (SELECT r.page_id, r.i + 1 AS i, ts[r.i + 1] AS tok, stack FROM r JOIN t ON r.page_id = t.page_id WHERE r.i < len(ts) AND NOT shut))),
+u AS (SELECT page_id, i, kind, tag, stack, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(tok, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'), '[ \\t\\r\\n]+', ' ', 'g')) AS said,
+ list_sort(regexp_extract_all(tok, '[a-zA-Z-]+="[^"]*"')) AS given FROM r WHERE i > 0 AND kind <> 'note')
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS seq, kind, CASE kind WHEN 'text' THEN array_to_string(list_sort(list_distinct(list_filter(stack, lambda x: x NOT IN ('html', 'body')))), '+') ELSE tag END AS name,
+ CASE kind WHEN 'text' THEN said WHEN 'start' THEN coalesce(replace(array_to_string(given, ';'), '"', ''), '') ELSE '' END AS value FROM u WHERE kind <> 'text' OR said <> ''""")
 def html_events(spark, d):  # SC16, AN13
     return html.html_events(load(spark, d, "pages"), "page_id", "html")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -173,6 +175,37 @@ def ref_extract(spark, d):  # AN1, AN2, WN3, UX8: phrases made from orders' numb
     return got.select("o_orderkey", F.explode("links").alias("x")).select("o_orderkey", "x.ref", "x.type")
 
 
+PLANTED = (
+    ("T01", "Genesis {c}:{v}-{d}:{w}", "Gen.{c}.{v}"), ("T02", "Genesis {c}:{v}-{w}", "Gen.{c}.{v}-Gen.{c}.{w}"), ("T03", "Genesis {c}:{v}", "Gen.{c}.{v}"),
+    ("T04", "Genesis {c} chapter {v}-{w} verses", "Gen.{c}.{v}-Gen.{c}.{w}"), ("T05", "Genesis {c}-{d} chapter", "Gen.{c}"), ("T06", "Genesis {c} chapter", "Gen.{c}"),
+    ("T07", "Jude {v}-{w} verses", "Jude.1.{v}-Jude.1.{w}"), ("T08", "Jude {v} verse", "Jude.1.{v}"), ("T09", "Genesis {c}", "Gen.{c}"), ("T10", "Genesis {c}:{v}, {w}", "Gen.{c}.{w}"),
+    ("T11", "Genesis chapter {c} verse {v}", "Gen.{c}.{v}"), ("T12", "Genesis chapter {c}", "Gen.{c}"), ("T13", "Jude verse {v}", "Jude.1.{v}"),
+)
+
+
+def _planted(i: int, k: int) -> str:
+    """A shape as SQL over a document's numbers."""
+    return " || ".join(f"'{x}'" if n % 2 == 0 else x for n, x in enumerate(re.split("[{}]", PLANTED[i][k])) if x)
+
+
+def _by_form(k: int) -> str:
+    return "CASE doc_id % 13 " + " ".join(f"WHEN {i} THEN {_planted(i, k)}" for i in range(13)) + " END"
+
+
+@query(f"""
+SELECT doc_id, CAST(place + CASE WHEN doc_id % 13 = 9 THEN length(said) - length(w || '') ELSE 0 END AS INTEGER) AS start, CASE WHEN doc_id % 13 = 9 THEN w || '' ELSE said END AS text, ['{"', '".join(t for t, _, _ in PLANTED)}'][doc_id % 13 + 1] AS type, ref
+ FROM (SELECT doc_id, w, CAST(length(coalesce(text, '')) // 2 + 6 AS INTEGER) AS place, {_by_form(1)} AS said, {_by_form(2)} AS ref FROM (SELECT doc_id, text, doc_id % 49 + 1 AS c, doc_id % 49 + 2 AS d, doc_id % 20 + 1 AS v, doc_id % 20 + 3 AS w FROM documents))
+UNION ALL SELECT doc_id, CAST(length(coalesce(text, '')) // 2 + 6 AS INTEGER), 'Genesis ' || (doc_id % 49 + 1) || ':' || (doc_id % 20 + 1), 'T03', 'Gen.' || (doc_id % 49 + 1) || '.' || (doc_id % 20 + 1) FROM documents WHERE doc_id % 13 = 9""")
+def ref_prose(spark, d):  # AN1, AN2: a reference of each form in the middle of every document; numbers of the prose have no book
+    n = F.col("doc_id")
+    numbers = {"c": n % 49 + 1, "d": n % 49 + 2, "v": n % 20 + 1, "w": n % 20 + 3}
+    said = [F.concat(*(F.lit(x) if i % 2 == 0 else numbers[x].cast("string") for i, x in enumerate(re.split("[{}]", shape)) if x)) for _, shape, _ in PLANTED]
+    half, text = F.floor(F.length(F.coalesce("text", F.lit(""))) / 2).cast("int"), F.coalesce("text", F.lit(""))
+    docs = load(spark, d, "documents").select("doc_id", F.concat(F.substring(text, F.lit(1), half), F.lit(" . Lo "), F.element_at(F.array(*said), (n % 13 + 1).cast("int")), F.lit(" lo "), F.substring(text, half + 1, F.length(text))).alias("text"))
+    got = references.link_references(docs, "text", references.Settings(BOOKS))
+    return got.select("doc_id", F.explode("links").alias("x")).filter("x.status = 'ok'").select("doc_id", F.col("x.start").alias("start"), "x.text", "x.type", "x.ref")
+
+
 @query()
 def ref_extract_documents(spark, d):  # AN1 on whole documents: prose with numbers, context book given
     docs = load(spark, d, "documents").select("doc_id", "text", F.lit("Gen").alias("book"), F.lit(1).alias("ch"))
