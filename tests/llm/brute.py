@@ -102,3 +102,31 @@ def _unlzw(body, depth):
         before = entry
         if len(table) == 1 << width and width < 12:
             width += 1
+
+
+def near_copies(docs, size, similarity):
+    """docs: (id, text). The smallest id of each group of texts whose sets of word shingles are as similar, directly or in steps."""
+    sets = {}
+    for i, t in docs:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))}
+    root = components(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9)
+    return {i for i, r in root.items() if i == r}
+
+
+def best_fit(sizes, caps, weights):
+    """The bin of each item: the open bin that leaves the smallest weighted sum of squared rests; the largest weighted item first."""
+    need = [tuple(x / c for x, c in zip(s, caps, strict=True)) for s in sizes]
+    left, bins = [], [0] * len(need)
+    for i in sorted(range(len(need)), key=lambda i: (-sum(a * b for a, b in zip(need[i], weights, strict=True)), i)):
+        rests = {j: [x - y for x, y in zip(b, need[i], strict=True)] for j, b in enumerate(left)}
+        fits = [j for j, r in rests.items() if min(r) >= -1e-9]
+        if fits:
+            j = max(fits, key=lambda j: (round(-sum(k * x * x for k, x in zip(weights, rests[j], strict=True)), 12), -j))
+        else:
+            j = len(left)
+            left.append((1.0,) * len(caps))
+            rests[j] = [1 - y for y in need[i]]
+        left[j] = tuple(rests[j])
+        bins[i] = j
+    return bins
