@@ -117,6 +117,24 @@ def in_range(points: DataFrame, ranges: DataFrame, point: str, low: str, high: s
     return p.join(r, [*by, "__b"]).drop("__b")
 
 
+def scope_books(refs: DataFrame, index: DataFrame, key: str, ref: str, vsys: str) -> DataFrame:
+    """RG5: (key, book) of the books that a scope (a list of references) touches."""
+    return expand_refs(refs, index, key, ref, vsys).select(key, "book").distinct()
+
+
+def books_scope(books: DataFrame, index: DataFrame, by: Sequence[str], vsys: str) -> DataFrame:
+    """RG5: (by, scope) of sets of books (by, book): the shortest scope of all their verses. Books that the system lacks are named last."""
+    idx = index.filter(F.col("vsys") == vsys).select("book", "ch", "vs")
+    every = books.select(*by, "book").distinct()
+    missing = every.join(idx.select("book").distinct(), "book", "left_anti").select(*by, "book", F.lit(None).cast("int").alias("ch"), F.lit(None).cast("int").alias("vs"))
+    return scope_string(every.join(idx, "book").select(*by, "book", "ch", "vs").unionByName(missing), index, by, vsys)
+
+
+def in_scope(verses: DataFrame, scopes: DataFrame, index: DataFrame, key: str, scope: str, vsys: str) -> DataFrame:
+    """RG5: (key, book, ch, vs) of the verses (book, ch, vs) that are members of each scope."""
+    return expand_refs(scopes, index, key, scope, vsys).select(key, "book", "ch", "vs").distinct().join(verses.select("book", "ch", "vs").distinct(), ["book", "ch", "vs"], "left_semi").select(key, "book", "ch", "vs")
+
+
 def overlaps(a: Column, b: Column) -> Column:
     """RG9: whether two lists have an element in common."""
     return F.arrays_overlap(a, b)

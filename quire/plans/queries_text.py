@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import integrity, publish, quality, ranges, references, sorting, terms, verses
+from quire.operators import integrity, paths, publish, quality, ranges, references, sorting, terms, verses
 from quire.plans import graph
 from quire.plans.queries import load, query
 from quire.sources import commands, conf, xml
@@ -508,6 +508,56 @@ def rules_in_force(spark, d):  # SC8: a rule on line 1 until line 5 cancels it,
     return r.groupBy("path", F.col("run_line").alias("run")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_line", "rule_value"))), lambda x: x["rule_value"]), " ").alias("rules"))
 
 
+def _talks(spark, d):
+    """Each conversation as a document of turns, shredded once for all steps."""
+    graph.checkpoints(spark)
+    esc = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\r"), F.lit(""))
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", esc.alias("x")))), lambda r: F.concat(F.lit("<"), r["role"], F.lit(' n="'), r["turn"].cast("string"), F.lit('"><t>'), r["x"], F.lit("</t></"), r["role"], F.lit(">")))
+    doc = load(spark, d, "conversations").groupBy("conv_id").agg(F.concat(F.lit("<d>"), F.array_join(turns, ""), F.lit("</d>")).alias("xml"))
+    return xml.shred(doc, "conv_id", "xml").checkpoint()
+
+
+@query("SELECT c.conv_id, c.turn FROM conversations c JOIN (SELECT conv_id, min(turn) AS first FROM conversations WHERE role = 'assistant' GROUP BY 1) a ON c.conv_id = a.conv_id WHERE c.role = 'user' AND c.turn > first AND c.text <> '' AND c.turn % 4 <> 0")
+def path_selection(spark, d):  # F1, RG8: user turns behind an assistant's, but for every fourth, by their texts
+    n = _talks(spark, d)
+    users = paths.step(n, paths.step(n, paths.roots(n), "child", "assistant"), "following-sibling", "user")
+    wanted = paths.lacking(users, paths.step(n, users, "self", where=F.col("attrs")["n"].cast("int") % 4 == 0))
+    said = paths.step(n, paths.step(n, wanted, "descendant", "t"), "child", where=F.col("kind") == "text")
+    back = paths.nearest(n, said, "ancestor", "user").select("work", F.col("found").alias("pre")).distinct()
+    return paths.step(n, back, "self").select(F.col("work").cast("long").alias("conv_id"), F.col("attrs")["n"].cast("long").alias("turn"))
+
+
+@query("SELECT conv_id, count(*) AS n FROM conversations WHERE role IN ('user', 'assistant') AND turn <> 2 AND regexp_matches(text, '[^\\s]') GROUP BY conv_id")
+def searched_texts(spark, d):  # F2
+    n = _talks(spark, d)
+    only = n.filter("kind = 'element' AND name IN ('user', 'assistant')")
+    return paths.texts_to_search(n, only, n.filter((F.col("kind") == "element") & (F.col("attrs")["n"] == "2")), "system").groupBy(F.col("work").cast("long").alias("conv_id")).agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH k AS (SELECT p_name AS w FROM part WHERE p_size > 25), r AS (SELECT CASE p_partkey % 4 WHEN 0 THEN ' ' WHEN 1 THEN 'D:' || p_name WHEN 2 THEN 'D:none' || p_size ELSE 'X:' || p_size END AS t FROM part)
+SELECT 'duplicate keyword' AS finding, w AS what, count(*) AS n FROM k GROUP BY w HAVING count(*) > 1
+UNION ALL SELECT 'empty target', '', count(*) FROM r WHERE trim(t) = '' HAVING count(*) > 0
+UNION ALL SELECT 'missing target', replace(t, ' ', '_32_'), count(*) FROM r WHERE starts_with(t, 'D:') AND substr(t, 3) NOT IN (SELECT w FROM k) GROUP BY t
+UNION ALL SELECT 'missing file', s_name, 1 FROM supplier WHERE s_nationkey % 2 = 1""")
+def module_findings(spark, d):  # JN18
+    p, m, s = load(spark, d, "part"), F.col("p_partkey") % 4, load(spark, d, "supplier")
+    ref = F.when(m == 0, " ").when(m == 1, F.concat(F.lit("D:"), F.replace("p_name", F.lit(" "), F.lit("_32_")))).when(m == 2, F.concat(F.lit("D:none"), F.col("p_size").cast("string"))).otherwise(F.concat(F.lit("X:"), F.col("p_size").cast("string")))
+    return paths.module_findings(p.filter("p_size > 25").select(F.col("p_name").alias("keyword")), p.select(ref.alias("ref")), s.select(F.col("s_name").alias("src")), s.filter("s_nationkey % 2 = 0").select(F.col("s_name").alias("path")), "D")
+
+
+@query("""
+WITH v AS (SELECT s_nationkey AS k, s_suppkey // 12 AS b FROM supplier), u AS (SELECT DISTINCT k, b FROM v),
+m AS (SELECT max(s_suppkey) // 12 AS last FROM supplier), r AS (SELECT k, min(b) AS lo, max(b) AS hi FROM (SELECT k, b, b - row_number() OVER (PARTITION BY k ORDER BY b) AS g FROM u) GROUP BY k, g)
+SELECT k, string_agg(CASE WHEN lo = hi THEN 'B' || lo ELSE 'B' || lo || '-B' || hi END, ' ' ORDER BY lo) AS scope FROM r GROUP BY k""")
+def book_scopes(spark, d):  # RG5: suppliers of a nation as books of 2 chapters of 3 verses
+    s = load(spark, d, "supplier")
+    b = F.floor(F.col("s_suppkey") / 12)
+    name = F.concat(F.lit("B"), b.cast("string"))
+    chapters = s.select(F.lit("S").alias("vsys"), name.alias("book"), b.alias("book_ord"), F.lit("OT").alias("testament"), F.explode(F.array(F.lit(1), F.lit(2))).alias("ch"), F.lit(3).alias("last_vs")).distinct()
+    return ranges.books_scope(s.select(F.col("s_nationkey").alias("k"), name.alias("book")), ranges.verse_index(chapters), ["k"], "S")
+
+
 @query("SELECT conv_id, turn, role AS name, text FROM conversations")
 def shredded_nodes(spark, d):  # SC5, D2: each conversation as a document of turns, shredded again
     esc = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\r"), F.lit(""))
