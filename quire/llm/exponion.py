@@ -147,21 +147,22 @@ def learn(vectors: DataFrame, key: str, vector: str, parts: int = 4, entries: in
     # a struct keeps all columns apart from those made here, whatever their names
     whole_row = F.struct(*(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(vectors.columns) if c != vector))
     rows = vectors.select(F.col(quoted(key)).cast("long").alias("id_"), whole_row.alias("row_"), F.col(quoted(vector)).alias("v_")).filter(usable("v_"))
-    rows = rows.select("id_", "row_", whole("v_", scale).alias("x"))
-    named = rows.filter("id_ IS NOT NULL").select("id_", "x")
-    first = named.orderBy("id_", F.size("x"), "x").limit(entries).collect()
-    if not first:
+    rows = cut(rows.select("id_", "row_", whole("v_", scale).alias("x")).withColumn("dim_", F.size("x")), "whole")
+    least = rows.filter("id_ IS NOT NULL").agg(F.min(F.struct("id_", "dim_")).alias("least")).first().least
+    if least is None:
         none = StructType([*rows.select("row_", "x").schema.fields, StructField("code", ArrayType(LongType())), StructField("error", LongType())])
         return Codes(spark.createDataFrame([], none), [np.empty((0, 0), np.int64)] * parts)
-    dim = len(first[0].x)
+    dim = least.dim_
     if dim % parts:
         raise ValueError(f"vectors of {dim} components can't be cut into {parts} equal parts")
-    rows = rows.filter(F.size("x") == dim)
-    if len({r.id_ for r in first if len(r.x) == dim}) < len(first):  # a key has several rows, or there are other lengths
-        first = named.filter(F.size("x") == dim).groupBy("id_").agg(F.min("x").alias("x")).orderBy("id_").limit(entries).collect()
+    source, rows = rows, rows.filter(F.col("dim_") == dim)
+    # first the keys alone, so that a task sends a few numbers; then their vectors, of which repeated keys keep one
+    keys = [r.id_ for r in rows.filter("id_ IS NOT NULL").select("id_").distinct().orderBy("id_").limit(entries).collect()]
+    first = rows.filter(F.col("id_").between(keys[0], keys[-1])).groupBy("id_").agg(F.min("x").alias("x")).orderBy("id_").collect()
     start = np.array([r.x for r in first], np.int64).reshape(len(first), dim)
     books = [np.ascontiguousarray(start[:, p * dim // parts : (p + 1) * dim // parts]) for p in range(parts)]
     state = rows.select("row_", "x", F.array(*[F.lit(0).cast("long")] * parts).alias("code"))
+    state._quire_path = source._quire_path
     more = "error long, part int, entry int, added array<long>, number long"
     schema = StructType([*state.schema.fields, *StructType.fromDDL(more).fields])
     for f in schema.fields:

@@ -30,7 +30,7 @@ MOST, COMPONENTS = 16_384, 2**23
 BLOCK = 32_768
 #: Queries that a task holds bounds for at once.
 BATCH = 4096
-#: Vectors that the cells are grown on at most, those of least hash, and cells at most.
+#: Vectors that the cells are grown on, about (chosen by hash; twice as many at most), and cells at most.
 SAMPLE, CELLS = 4096, 64
 #: Below every score.
 LOWEST = -(2**63)
@@ -210,7 +210,7 @@ def _found(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int
     base, asked = cut(clean(vectors), "base"), cut(clean(queries), "asked")
     n, m = base.count(), asked.count()
     blocks = max(1, -(-m // BLOCK))
-    tops, centres = _tops(base, min(CELLS, -(-n // (MOST // 4))))
+    tops, centres = _tops(base, n, min(CELLS, -(-n // (MOST // 4))))
 
     def located(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows with their cell and their distance from its centre."""
@@ -304,9 +304,10 @@ def _found(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int
     return found.select("query_id", "query_hash", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
 
 
-def _tops(base: DataFrame, cells: int) -> tuple[dict[int, Split | int], dict[int, np.ndarray]]:
+def _tops(base: DataFrame, n: int, cells: int) -> tuple[dict[int, Split | int], dict[int, np.ndarray]]:
     """For each length of vectors in a sample the top of a tree, and the centres of its cells."""
-    sample = base.orderBy("h", "id").limit(SAMPLE).select("dim", "v").toPandas()
+    chosen = F.pmod(F.xxhash64("h", "id"), F.lit(max(1, n // SAMPLE))) == 0
+    sample = base.filter(chosen).limit(2 * SAMPLE).select("dim", "v").toPandas()
     tops, centres = {}, {}
     for dim, part in sample.groupby("dim"):
         made: list[np.ndarray] = []
