@@ -11,6 +11,7 @@ from there still reaches.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ LEAF = 64
 LEAST, MOST = 4096, 65_536
 #: Queries that visit a tree together; more are dealt over several blocks, each with a copy of the shard.
 BLOCK = 32_768
-#: Vectors that the cells are grown on at most, those of least hash, and cells at most. What goes to every task is a vantage point a cell.
+#: Vectors that the cells are grown on, about (chosen by hash; twice as many at most), and cells at most. What goes to every task is a vantage point a cell.
 SAMPLE, CELLS = 4096, 64
 #: The default factor: its recall at 10 is 0.99 on 51,282 spread-out vectors of 64 dimensions, where hardly any bound can prune.
 FACTOR = 0.2
@@ -164,25 +165,26 @@ def usable(v: str) -> F.Column:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 10, factor: float = FACTOR) -> DataFrame:
-    """query_id, rank (from 1), key, score: each query's k nearest vectors of the same length, other keys only.
+    """query_id, query_hash, rank (from 1), key, score: each query's k nearest vectors of the same length, other keys only.
 
     score is the Euclidean distance in double precision; ties go to the smaller key. Unusable vectors (see usable) and
     rows without a key take no part, repeated rows are found once each, other columns are ignored, an empty table gives
-    an empty result. Every row is indexed; a shard is of bounded size whatever its cell holds, since copies of one vector
+    an empty result. Different vectors of one key are found each, and as queries have a list each (query_hash, a hash of the
+    vector, tells them apart). Every row is indexed, its shard's tree is built once and stored; a shard is of bounded size whatever its cell holds, since copies of one vector
     are spread over a cell's shards by their keys, and a node whose distances all tie is scanned as a leaf.
     """
     def clean(df: DataFrame) -> DataFrame:
-        return df.filter(F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).cast("long").alias("id"), F.col(quoted(vector)).alias("v")).filter(usable("v")).withColumn("dim", F.size("v"))
+        return df.filter(F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).cast("long").alias("id"), F.col(quoted(vector)).alias("v")).filter(usable("v")).withColumns({"dim": F.size("v"), "h": F.xxhash64("v")})
 
     base, asked = clean(vectors), clean(queries)
     n, m = base.count(), asked.count()
     size = min(MOST, max(LEAST, n // 64))
     blocks = max(1, -(-m // BLOCK))
-    tops = _tops(base, min(CELLS, -(-n // size)))
+    tops = _tops(base, n, min(CELLS, -(-n // size)))
     kind = base.schema["v"].dataType.simpleString()
 
     def located(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows (id, v, dim, bound) with the other cells that bound reaches; without a bound, with their own."""
+        """Rows (id, v, dim, h, bound) with the other cells that bound reaches; without a bound, with their own."""
         for pdf in it:
             for dim, part in pdf.groupby("dim", sort=False):
                 top, x = tops.get(dim, 0), np.stack(part.v.to_numpy()).astype(np.float64)
@@ -195,54 +197,67 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: in
                 yield part.iloc[rows].assign(cell=cells)
 
     def cells_of(df: DataFrame, bound: Column) -> DataFrame:
-        return df.select("id", "v", "dim", bound.cast("double").alias("bound")).mapInPandas(located, f"id bigint, v {kind}, dim int, bound double, cell int")
+        return df.select("id", "v", "dim", "h", bound.cast("double").alias("bound")).mapInPandas(located, f"id bigint, v {kind}, dim int, h bigint, bound double, cell int")
 
-    block = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64(F.lit(1), "id", "h"), F.lit(blocks)).cast("int")
     own = cut(cells_of(base, F.lit(None)).drop("bound"), "cells")
     sizes = cut(own.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).cast("int").alias("shards")), "sizes")
-    shards = own.join(sizes, ["dim", "cell"]).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
-    shards = shards.select("id", "v", "dim", "cell", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    dealt = own.join(sizes, ["dim", "cell"]).withColumn("shard", F.pmod(F.xxhash64("id", "h"), F.col("shards")).cast("int")).select("id", "v", "dim", "cell", "shard")
+
+    def store(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A shard in one row: its ids, vectors and tree."""
+        pdf = pdf.sort_values("id", ignore_index=True)
+        x = np.stack(pdf.v.to_numpy())
+        said = pickle.dumps((pdf.id.to_numpy(np.int64), x, build(x.astype(np.float64))))
+        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in ("dim", "cell", "shard")}, "tree": [said]})
+
+    trees = cut(dealt.groupBy("dim", "cell", "shard").applyInPandas(store, "dim int, cell int, shard int, tree binary"), "trees")
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
-        left, right = left.sort_values("id", ignore_index=True), right.sort_values("id", ignore_index=True)
-        x, q = (np.stack(f.v.to_numpy()).astype(np.float64) for f in (left, right))
-        bound = right.bound.to_numpy(np.float64)
-        search = Search(x, left.id.to_numpy(np.int64), q, right.id.to_numpy(np.int64), k, factor, np.where(np.isnan(bound), np.inf, bound))
-        search.run(build(x))
+            return pd.DataFrame({"query_id": [], "query_hash": [], "id": [], "score": []}).astype({"query_id": "int64", "query_hash": "int64", "id": "int64", "score": "float64"})
+        ids, x, tree = pickle.loads(left.tree.iloc[0])
+        right = right.sort_values(["id", "h"], ignore_index=True)
+        q, bound = np.stack(right.v.to_numpy()).astype(np.float64), right.bound.to_numpy(np.float64)
+        search = Search(x.astype(np.float64), ids, q, right.id.to_numpy(np.int64), k, factor, np.where(np.isnan(bound), np.inf, bound))
+        search.run(tree)
         hit = np.isfinite(search.dist)
-        return pd.DataFrame({"query_id": np.repeat(right.id.to_numpy(np.int64), k).reshape(hit.shape)[hit], "id": search.found[hit], "score": search.dist[hit]})
+        told = {c: np.repeat(right[n].to_numpy(np.int64), k).reshape(hit.shape)[hit] for c, n in (("query_id", "id"), ("query_hash", "h"))}
+        return pd.DataFrame({**told, "id": search.found[hit], "score": search.dist[hit]})
 
     def search(calls: DataFrame) -> DataFrame:
-        """Neighbours in the cells of calls (id, v, dim, bound, cell)."""
-        dealt = calls.join(sizes, ["dim", "cell"]).select("id", "v", "dim", "bound", "cell", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), block.alias("block"))
+        """Neighbours in the cells of calls (id, v, dim, h, bound, cell). A tree goes to the blocks of queries that call its cell."""
+        calls = cut(calls.withColumn("block", block), "calls")
+        wanted = trees.join(calls.select("dim", "cell", "block").distinct(), ["dim", "cell"])
+        wanted = wanted.toDF(*wanted.columns)
+        asking = calls.join(sizes, ["dim", "cell"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
         by = ("dim", "cell", "shard", "block")
-        return shards.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInPandas(cell, "query_id bigint, id bigint, score double")
+        return wanted.groupBy(*by).cogroup(asking.groupBy(*by)).applyInPandas(cell, "query_id bigint, query_hash bigint, id bigint, score double")
 
     def best(found: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query_id").orderBy("score", "id")
+        order = Window.partitionBy("query_id", "query_hash").orderBy("score", "id")
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     # repeated queries are asked once
     asked = cut(asked.dropDuplicates(["id", "v"]), "asked")
     found = cut(best(search(cells_of(asked, F.lit(None)))), "found")
     if any(isinstance(t, Split) for t in tops.values()):
-        bounds = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
+        bounds = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("query_hash").alias("h"), F.col("score").alias("bound"))
         # a query whose own cell has too few neighbours goes everywhere
-        wider = asked.join(bounds, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(EVERYWHERE)))
+        wider = asked.join(bounds, ["id", "h"], "left").withColumn("bound", F.coalesce("bound", F.lit(EVERYWHERE)))
         found = best(found.drop("rank").unionByName(search(cells_of(wider, F.col("bound")))))
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
+    return found.select("query_id", "query_hash", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
 
 
-def _tops(base: DataFrame, cells: int) -> dict[int, Split | int]:
+def _tops(base: DataFrame, n: int, cells: int) -> dict[int, Split | int]:
     """For each length of vectors in a sample the top of a tree; lengths that are not in it have one cell."""
     if cells < 2:
         return {}
-    sample = base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("dim", "v").toPandas()
+    chosen = F.pmod(F.xxhash64("h", "id"), F.lit(max(1, n // SAMPLE))) == 0
+    sample = base.filter(chosen).limit(2 * SAMPLE).select("dim", "v").toPandas()
     return {int(dim): grow(np.stack(part.v.to_numpy()).astype(np.float64), cells)[0] for dim, part in sample.groupby("dim")}
 
 
 def op4_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
-    return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), "vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), "vec_id", "embedding").select("query_id", "rank", "vec_id", "score")

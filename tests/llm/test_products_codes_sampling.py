@@ -229,3 +229,24 @@ def test_new_queries_by_sql(spark, sf, name):
     names = [d[0] for d in rel.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted(map(repr, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(repr, rel.fetchall()))
+
+
+@pytest.mark.parametrize(("least", "block"), [(4096, 32_768), (40, 2)])
+def test_neighbours_of_several_vectors_of_one_key(spark, monkeypatch, least, block):
+    """Each has a list of its own, and both are found."""
+    from quire.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "LEAST", least)
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    r = np.random.default_rng(3)
+    rows = [(int(i), [float(v) for v in r.normal(size=4)]) for i in range(300)]
+    rows += [(0, [5.0, 5.0, 5.0, 5.0]), (0, rows[0][1]), (7, [5.0, 5.0, 5.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = {}
+    for x in neighbours.nearest(df, df.filter("vec_id IN (0, 7)"), "vec_id", "v", 3, factor=1.0).collect():
+        got.setdefault((x.query_id, x.query_hash), []).append((x["rank"], x.vec_id, round(x.score, 9)))
+    want = []
+    for q, v in {(i, tuple(v)) for i, v in rows if i in (0, 7)}:
+        near = sorted((math.dist(v, w), i) for i, w in {(i, tuple(w)) for i, w in rows} if i != q)[:3]
+        want.append((q, [(n + 1, i, round(d, 9)) for n, (d, i) in enumerate(near)]))
+    assert sorted((q, sorted(found)) for (q, _), found in got.items()) == sorted(want)
