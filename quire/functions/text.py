@@ -234,7 +234,7 @@ def ordinal(word: Column, extra: dict[str, int] | None = None) -> Column:
 
 
 def alternation(terms: list[str], longest_first: bool = True) -> str:
-    """SF26: a Java pattern that matches any of the terms."""
+    """SF26/UX6: a Java pattern that matches any of the terms."""
     return "|".join(f"\\Q{t}\\E" for t in sorted(set(terms), key=lambda t: (-len(t) if longest_first else len(t), t)))
 
 

@@ -27,6 +27,11 @@ def duplicate_ids(df: DataFrame, ident: Column | str, name: str = "n") -> DataFr
     return df.groupBy(ident).agg(F.count("*").alias(name)).filter(F.col(name) > 1)
 
 
+def unreachable(files: DataFrame, links: DataFrame, path: str, href: str) -> DataFrame:
+    """JN17: files that no link leads to (links without their ?query and #place)."""
+    return dangling(files, links.withColumn(href, F.regexp_replace(href, "[?#].*$", "")), path, href)
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """JN5: every key of two tables as `both`, `left only`, `right only` or `case repaired`.
 

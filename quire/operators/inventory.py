@@ -59,7 +59,7 @@ def unused(rules: DataFrame, hits: DataFrame, key: str) -> DataFrame:
 
 
 def merge_metrics(parts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """AG6: partial results put together: numbers (n) add up, texts (said) are concatenated in order (seq), lists (items) appended."""
+    """AG6/UX7: partial results put together: numbers (n) add up, texts (said) are concatenated in order (seq), lists (items) appended."""
     ordered = F.array_sort(F.collect_list(F.struct("seq", "said", "items")))
     return parts.groupBy(*by).agg(F.sum("n").alias("n"), ordered.alias("p")).select(*by, "n", F.array_join(F.transform("p", lambda x: x["said"]), "").alias("said"), F.flatten(F.transform("p", lambda x: x["items"])).alias("items"))
 

@@ -120,6 +120,11 @@ def before_first(df: DataFrame, mark: Column, by: Sequence[str], pre: str, name:
     return df.withColumn(name, F.coalesce(F.col(pre) < first, F.lit(False)))
 
 
+def intro_hazards(df: DataFrame, section: Column, chapter: Column, by: Sequence[str], pre: str) -> DataFrame:
+    """DQ5: section titles that stand before the first chapter of their group, where importers drop what follows them."""
+    return before_first(df, chapter, by, pre, "__intro").filter(F.col("__intro") & section).drop("__intro")
+
+
 def distinct_order(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
     """RD5 helper: the number of distinct values in a group, joined back (distinct counts are no window functions)."""
     return df.join(df.groupBy(*by).agg(F.countDistinct(value).alias(name)), [*by], "left")

@@ -91,6 +91,14 @@ def nearest(nodes: DataFrame, selection: DataFrame, axis: str, name: str | None
     return at.join(best, KEY, "left")
 
 
+def chains(nodes: DataFrame, selection: DataFrame) -> DataFrame:
+    """AL5: (work, pre, chain) with the names of the elements around each node of a selection, outermost first (empty for a root)."""
+    at = selection.select(*KEY).distinct()
+    spans = nodes.filter(F.col("kind") == "element").select("work", F.struct(F.col("pre").alias("at"), "name").alias("outer"), (F.col("pre") + 1).alias("low_"), F.col("post").alias("high_"))
+    found = in_range(at, spans, "pre", "low_", "high_", ["work"]).groupBy(*KEY).agg(F.transform(F.array_sort(F.collect_list("outer")), lambda x: x["name"]).alias("chain"))
+    return at.join(found, KEY, "left").withColumn("chain", F.coalesce("chain", F.array().cast("array<string>")))
+
+
 def texts_to_search(nodes: DataFrame, only: DataFrame | None = None, skip: DataFrame | None = None, header: str = "header") -> DataFrame:
     """text nodes that an annotator looks at: not blank, not within a header element, within a node of `only` if it is given, and then
     not within a node of `skip`. A selection of a text node itself counts like one of an element around it."""

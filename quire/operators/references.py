@@ -98,7 +98,8 @@ def locate(g: Grammar, text: str, at: int) -> tuple[int, int] | None:
 
 
 def resolve(g: Grammar, part: str, book: str | None, ch: int | None, verses: bool) -> tuple[dict, str | None, int | None, bool] | None:
-    """A part by the first form that matches it whole: its fields, and the context behind it."""
+    """AN2/WN3: a part by the first form that matches it whole: its fields, and the context behind it, which the next part inherits (its
+    book, chapter, and whether a bare number is a verse)."""
     # alternatives are tried in the order of the forms
     m = g.whole.fullmatch(part)
     if m:
@@ -186,7 +187,7 @@ def find(g: Grammar, text: str, book: str | None = None, ch: int | None = None,
 
 
 def link_references(df: DataFrame, text: str, settings: Settings, book: str | None = None, ch: str | None = None, fixes: DataFrame | None = None) -> DataFrame:
-    """AN1-AN4: df with `links`, an array of links of each text. book, ch: columns of the text's own place. fixes: a small table (found, instead).
+    """AN1-AN4/UX8: df with `links`, an array of links of each text. book, ch: columns of the text's own place. fixes: a small table (found, instead).
 
     Texts without a digit never reach Python's grammar."""
     table = None

@@ -142,10 +142,11 @@ class Index:
 
 
 def link_context(rows: list[tuple[int, str, str | None, str | None, bool]], rules: list[tuple[Rule, re.Pattern]] | Index) -> list[tuple[int, int, int, int]]:
-    """AN6/AN7/WN2 for the ordered texts (seq, text, atom, testament, in_keyword) of one context: links (seq, start, end, rule).
+    """AN6/AN7/WN2/F13 for the ordered texts (seq, text, atom, testament, in_keyword) of one context: links (seq, start, end, rule).
 
     In each unlinked stretch the first rule that passes and matches wins, and this repeats until none does. A rule that may not
-    link again still consumes its match. Keywords are never linked."""
+    link again still consumes its match. Keywords are never linked. A rule's predicates (testament, contexts that it asks for, contexts that
+    it excludes, in this order) are told once for each text, before any pattern is tried."""
     index = rules if isinstance(rules, Index) else Index([r for r, _ in rules], [""] * len(rules), {i: p for i, (_, p) in enumerate(rules)})
     used: set = set()
     out = []
@@ -185,7 +186,7 @@ def link_context(rows: list[tuple[int, str, str | None, str | None, bool]], rule
 
 
 def link_terms(texts: DataFrame, rules: list[Rule], context: list[str]) -> DataFrame:
-    """Links of all texts: context columns, seq, start, end, entry, ref, text. texts: context columns, seq, text, atom, testament,
+    """AN6/UX8: links of all texts: context columns, seq, start, end, entry, ref, text. texts: context columns, seq, text, atom, testament,
     in_keyword. A context (a chapter or keyword) is one group, since what is linked there first decides the rest. The rules go to
     every task; a text is tried with those only whose stems it holds (see Index)."""
     if len(rules) > MOST_RULES:

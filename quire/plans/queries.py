@@ -271,7 +271,7 @@ def page_links(spark, d):  # SC17
 def unreachable_pages(spark, d):  # JN17; a page's path is its title's first word
     p = load(spark, d, "pages")
     files = p.select("page_id", "url", F.concat(F.lit("/"), F.regexp_extract("html", "<title>([^ <]+)", 1)).alias("path"))
-    return integrity.dangling(files, html.page_links(p, "page_id", "html"), "path", "href").select("page_id", "url")
+    return integrity.unreachable(files, html.page_links(p, "page_id", "html"), "path", "href").select("page_id", "url")
 
 
 @query("""

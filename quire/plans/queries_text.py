@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import integrity, paths, publish, quality, ranges, references, sorting, terms, verses
+from quire.operators import integrity, order, paths, publish, quality, ranges, references, sorting, terms, verses
 from quire.plans import graph
 from quire.plans.queries import load, query
 from quire.sources import commands, conf, xml
@@ -293,9 +293,10 @@ near AS (SELECT b, ch, vs, gone, coalesce(last_value(CASE WHEN sv IS NOT NULL TH
  first_value(CASE WHEN sv IS NOT NULL THEN sc || '.' || sv END IGNORE NULLS) OVER (PARTITION BY b, ch ORDER BY vs ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS said FROM a),
 line AS (SELECT b, sc, sv, b || '.' || ch || '.' || vs AS id FROM m UNION ALL SELECT b, sc, sv, NULL FROM x),
 host AS (SELECT b, sc, sv, id, coalesce(last_value(id IGNORE NULLS) OVER (PARTITION BY b ORDER BY sc, sv), first_value(id IGNORE NULLS) OVER (PARTITION BY b ORDER BY sc, sv ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS h FROM line)
-SELECT b || '.' || ch || '.' || vs AS fixed_id, b || '.' || said AS src_id, CASE WHEN gone THEN 'missing' WHEN said = ch || '.' || vs THEN 'same' ELSE 'moved' END AS status FROM near
-UNION ALL SELECT h, b || '.' || sc || '.' || sv, 'extra' FROM host WHERE id IS NULL""")
-def split_verse_maps(spark, d):  # VM1-VM3, VM5, D10
+SELECT b || '.' || ch || '.' || vs AS fixed_id, b || '.' || said AS src_id, CASE WHEN gone THEN 'missing' WHEN said = ch || '.' || vs THEN 'same' ELSE 'moved' END AS status,
+ CASE WHEN NOT gone AND said <> ch || '.' || vs THEN '(' || CASE WHEN split_part(said, '.', 1) <> ch || '' THEN split_part(said, '.', 1) || ':' ELSE '' END || split_part(said, '.', 2) || ')' END AS alt_label FROM near
+UNION ALL SELECT h, b || '.' || sc || '.' || sv, 'extra', NULL FROM host WHERE id IS NULL""")
+def split_verse_maps(spark, d):  # VM1-VM3, VM5, VM8, D10
     n = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     c = load(spark, d, "orders").select(F.concat(F.lit("B"), F.col("o_custkey").cast("string")).alias("book"), F.row_number().over(n).alias("ch"), F.col("o_orderkey").alias("k"))
     idx = c.select("book", "ch", F.explode(F.sequence(F.lit(1), (4 + F.col("k") % 5).cast("int"))).alias("vs"))
@@ -303,7 +304,7 @@ def split_verse_maps(spark, d):  # VM1-VM3, VM5, D10
     k = F.col("k")
     lines = F.array(said(k % 3 == 0, "VSYS_CHAPTER_SPLIT_AT: %s.%d.3"), said(k % 7 == 0, "VSYS_CHAPTER_SPLIT_AT: %s.%d.4"), said(k % 4 == 1, "VSYS_MISSING: %s.%d.1.2"), said(k % 5 == 2, "VSYS_EXTRA: %s.%d.2"))
     raw = c.select(k.alias("line_no"), F.explode(lines).alias("raw")).filter("raw IS NOT NULL")
-    return verses.verse_maps(idx, verses.instructions(raw), extra=True).select("fixed_id", "src_id", "status")
+    return verses.verse_maps(idx, verses.instructions(raw), extra=True).select("fixed_id", "src_id", "status", "alt_label")
 
 
 @query("""
@@ -527,6 +528,19 @@ def path_selection(spark, d):  # F1, RG8: user turns behind an assistant's, but
     return paths.step(n, back, "self").select(F.col("work").cast("long").alias("conv_id"), F.col("attrs")["n"].cast("long").alias("turn"))
 
 
+@query("SELECT conv_id, turn, 'd/' || role || '/t' AS chain FROM conversations WHERE text <> ''")
+def ancestor_chains(spark, d):  # AL5, F1
+    n = _talks(spark, d)
+    said = paths.chains(n, n.filter("kind = 'text'")).select("work", "pre", F.array_join("chain", "/").alias("chain"))
+    turn = paths.nearest(n, said, "ancestor", where=F.col("depth") == 1).join(said, ["work", "pre"])
+    return turn.join(n.select("work", F.col("pre").alias("found"), "attrs"), ["work", "found"]).select(F.col("work").cast("long").alias("conv_id"), F.col("attrs")["n"].cast("long").alias("turn"), "chain")
+
+
+@query("SELECT conv_id, turn FROM (SELECT *, min(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS first FROM conversations) WHERE role = 'system' AND turn < first")
+def intro_hazards(spark, d):  # DQ5: system turns as section titles, the assistant's as chapters
+    return order.intro_hazards(load(spark, d, "conversations"), F.col("role") == "system", F.col("role") == "assistant", ["conv_id"], "turn").select("conv_id", "turn")
+
+
 @query("SELECT conv_id, count(*) AS n FROM conversations WHERE role IN ('user', 'assistant') AND turn <> 2 AND regexp_matches(text, '[^\\s]') GROUP BY conv_id")
 def searched_texts(spark, d):  # F2
     n = _talks(spark, d)

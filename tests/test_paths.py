@@ -68,6 +68,8 @@ def test_sets_and_nearest(forest):
     assert got == {k: max((p for w, p in plain(rows, {k}, "ancestor") if rows[w, p].name == "a"), default=None) for k in is_b}
     got = {(x.work, x.pre): x.found for x in paths.nearest(nodes, b, "child", "a").collect()}
     assert got == {k: min((p for w, p in plain(rows, {k}, "child") if rows[w, p].name == "a"), default=None) for k in is_b}
+    got = {(x.work, x.pre): x.chain for x in paths.chains(nodes, b).collect()}
+    assert got == {k: [rows[a].name for a in sorted(plain(rows, {k}, "ancestor"))] for k in is_b}
     with pytest.raises(ValueError, match="unknown axis"):
         paths.step(nodes, a, "preceding")
 
