@@ -59,7 +59,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", packing),
 ]
 
-#: Recompression names, language inference and tokenization have no SQL; tests hold run() against a brute-force version.
+#: Recompression names, language inference and tokenization have no SQL; tests hold each stage against a plain version on what the one before it kept.
 ORACLE_SQL = None
 
 
