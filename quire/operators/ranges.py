@@ -114,7 +114,8 @@ def in_range(points: DataFrame, ranges: DataFrame, point: str, low: str, high: s
     p = points.filter(F.col(point).isNotNull()).withColumn("__n", F.col(point).cast("long"))
     p = p.withColumn("__b", F.explode(F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("__n", 3 * k).alias("at")) for k in range(levels))))).drop("__n")
     r = fit.withColumn("__b", F.explode(_cover(F.col(low).cast("long"), F.col(high).cast("long"), levels)))
-    return p.join(r, [*by, "__b"]).drop("__b")
+    # merged, not broadcast: the planner knows neither side's size, as blocks are more rows than what they are made from
+    return p.join(r.hint("merge"), [*by, "__b"]).drop("__b")
 
 
 def scope_books(refs: DataFrame, index: DataFrame, key: str, ref: str, vsys: str) -> DataFrame:

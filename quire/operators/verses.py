@@ -57,7 +57,7 @@ def primitives(inst: DataFrame, index: DataFrame, source: DataFrame | None = Non
     if source is not None:
         chapters = chapters.unionByName(source.select(F.lit(True).alias("__source"), "book", "ch", "vs"))
     sizes = chapters.groupBy("__source", "book", "ch").agg(F.max("vs").alias("__last"))
-    whole = rows.withColumn("__source", F.col("op") == "EXTRA").join(sizes, ["__source", "book", "ch"], "left")
+    whole = rows.withColumn("__source", F.col("op") == "EXTRA").join(sizes.hint("merge"), ["__source", "book", "ch"], "left")
     whole = whole.withColumn("lv", F.coalesce("lv", "__last")).withColumn("vs", F.when(F.col("lv").isNotNull(), F.coalesce("vs", F.lit(1))))
     return whole.filter("vs IS NOT NULL").select(*inst.columns)
 
@@ -123,7 +123,9 @@ def verse_maps(index: DataFrame, inst: DataFrame, source: DataFrame | None = Non
     chapter stands for it, or the one behind it where none is before) or, if extra is set, `extra` (a source verse without a fixed one, with the fixed
     verse that it is appended to: the one before it, or the first behind it at a book's beginning). Without `missing` and `extra` the
     map is one to one. alt_label: the source's number where it is another, with the chapter's if that is another too.
-    source: (book, ch, vs) of the source's chapters, for EXTRA of a whole chapter at a book's end."""
+    source: (book, ch, vs) of the source's chapters, for EXTRA of a whole chapter at a book's end.
+
+    No join is a broadcast: the planner takes the size of a packed file for that of the verses made from it, which the driver would get."""
     checkpoints(index.sparkSession)
     rows = primitives(inst, index, source).checkpoint()
     pieces, later = map_pieces(index, rows)
@@ -132,7 +134,7 @@ def verse_maps(index: DataFrame, inst: DataFrame, source: DataFrame | None = Non
     placed = in_range(index.select("book", "ch", "vs"), ended(pieces), "vs", "low", "high", ["book", "ch"], top + 1).select("book", "ch", "vs", F.when(~F.col("gone"), F.col("src_ch")).alias("src_ch"), F.when(~F.col("gone"), F.col("vs") - F.col("base")).alias("place"))
     placed = placed.checkpoint()
     shifts = in_range(placed.select("book", "src_ch", "place"), ended(later), "place", "low", "high", ["book", "src_ch"], top + 1).select("book", "src_ch", "place", "by")
-    found = placed.join(shifts, ["book", "src_ch", "place"], "left").select("book", "ch", "vs", "src_ch", (F.col("place") + F.coalesce("by", F.lit(0))).cast("int").alias("src_vs")).checkpoint()
+    found = placed.join(shifts.hint("merge"), ["book", "src_ch", "place"], "left").select("book", "ch", "vs", "src_ch", (F.col("place") + F.coalesce("by", F.lit(0))).cast("int").alias("src_vs")).checkpoint()
     numbered = found.filter("src_vs IS NOT NULL")
     # a missing verse has the source of the last one before it in its chapter, else of the first behind it
     w = Window.partitionBy("book", "ch").orderBy("vs")
@@ -142,7 +144,7 @@ def verse_maps(index: DataFrame, inst: DataFrame, source: DataFrame | None = Non
     # what a FROM_TO says
     targets = rows.filter("op = 'FROM_TO' AND NOT partial AND to_book IS NOT NULL").select("book", "ch", F.explode(F.sequence("vs", "lv")).alias("vs"), F.col("vs").alias("__first"), "to_book", "to_ch", "to_vs")
     targets = targets.groupBy("book", "ch", "vs").agg(F.min(F.struct(F.col("to_book").alias("b"), F.col("to_ch").alias("c"), (F.col("to_vs") + F.col("vs") - F.col("__first")).alias("v"))).alias("target"))
-    told = near.join(targets, ["book", "ch", "vs"], "left").withColumn("lost", F.col("src_vs").isNull() & F.col("target").isNull()).withColumn("src", F.coalesce("target", "near"))
+    told = near.join(targets.hint("merge"), ["book", "ch", "vs"], "left").withColumn("lost", F.col("src_vs").isNull() & F.col("target").isNull()).withColumn("src", F.coalesce("target", "near"))
     fixed, source_id = _ident(F.col("book"), F.col("ch"), F.col("vs")), _ident(F.col("src.b"), F.col("src.c"), F.col("src.v"))
     status = F.when(F.col("lost"), "missing").when(fixed == source_id, "same").otherwise("moved")
     label = F.when(status == "moved", F.concat(F.lit("("), F.when(F.col("src.c") != F.col("ch"), F.concat(F.col("src.c").cast("string"), F.lit(":"))).otherwise(""), F.col("src.v").cast("string"), F.lit(")")))
@@ -151,7 +153,7 @@ def verse_maps(index: DataFrame, inst: DataFrame, source: DataFrame | None = Non
         return told
     # extra verses follow the source verse before them in the book
     moved_to = targets.select(F.col("target.b").alias("book"), F.col("target.c").alias("src_ch"), F.col("target.v").alias("src_vs"))
-    more = rows.filter("op = 'EXTRA'").select("book", F.col("ch").alias("src_ch"), F.explode(F.sequence("vs", "lv")).alias("src_vs")).distinct().join(moved_to, ["book", "src_ch", "src_vs"], "left_anti")
+    more = rows.filter("op = 'EXTRA'").select("book", F.col("ch").alias("src_ch"), F.explode(F.sequence("vs", "lv")).alias("src_vs")).distinct().join(moved_to.hint("merge"), ["book", "src_ch", "src_vs"], "left_anti")
     line = numbered.select("book", "src_ch", "src_vs", _ident(F.col("book"), F.col("ch"), F.col("vs")).alias("id")).unionByName(more.select("book", "src_ch", "src_vs", F.lit(None).cast("string").alias("id")))
     b = Window.partitionBy("book").orderBy("src_ch", "src_vs")
     host = F.coalesce(F.last("id", ignorenulls=True).over(b.rowsBetween(Window.unboundedPreceding, 0)), F.first("id", ignorenulls=True).over(b.rowsBetween(0, Window.unboundedFollowing)))

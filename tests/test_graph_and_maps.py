@@ -177,3 +177,11 @@ def test_splits_compose_and_whole_chapters(spark):
     assert first == {("A.1.1", "A.1.1", None, "missing"), ("A.1.2", "A.1.1", "(1)", "moved"), ("A.1.3", "A.1.2", "(2)", "moved")}
     absorbed = run([3], ["VSYS_MISSING: A.1.2", "VSYS_MISSING: A.1.2.3", "VSYS_MISSING: A.1.3.PART"])  # overlapping ones count once
     assert {x[1] for x in absorbed} == {"A.1.1"}
+
+
+def test_verse_maps_broadcast_nothing(spark):
+    index = spark.createDataFrame([("A", c, v) for c in (1, 2) for v in range(1, 9)], "book string, ch int, vs int")
+    inst = verses.instructions(spark.createDataFrame([(1, "VSYS_MISSING: A.1.3.4"), (2, "VSYS_FROM_TO: A.2.1 -> A.1.7")], "line_no int, raw string"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    points, spans = index.select("vs"), index.select((F.col("vs") - 1).alias("a"), F.col("vs").alias("b"))
+    assert "Broadcast" not in plan(verses.verse_maps(index, inst)) and "Broadcast" not in plan(ranges.in_range(points, spans, "vs", "a", "b", longest=2))
