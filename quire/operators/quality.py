@@ -66,11 +66,15 @@ def imported(nodes: DataFrame) -> DataFrame:
 
 def explicit_links(marks: DataFrame, entries: DataFrame) -> DataFrame:
     """AN8: explicit index marks (location, lemma, before) to entries (entry, name, context): an equal name; of several the one whose
-    context word stands nearest before the mark, then the smallest. Marks without an entry come back with a null."""
-    hit = marks.join(entries, F.lower("lemma") == F.lower("name"), "left")
-    place = F.when(F.col("context").isNotNull() & F.contains(F.lower("before"), F.lower("context")), F.length("before") - F.instr(F.reverse(F.lower("before")), F.reverse(F.lower("context")))).otherwise(-1)
-    w = Window.partitionBy("location", "lemma").orderBy(F.desc("__p"), "entry")
-    return hit.withColumn("__p", place).withColumn("__n", F.row_number().over(w)).filter("__n = 1").select("location", "lemma", "entry")
+    context word stands nearest before the mark, then the smallest. Marks without an entry come back with a null.
+
+    Of the entries of one name and context word only the smallest can be meant, so marks meet a row for each context word of their
+    name, however many entries have it."""
+    one = entries.groupBy(F.lower("name").alias("__name"), F.lower("context").alias("__context")).agg(F.min(F.struct("entry")).alias("__entry"))
+    hit = marks.join(one, F.lower("lemma") == F.col("__name"), "left")
+    place = F.when(F.col("__context").isNotNull() & F.contains(F.lower("before"), F.col("__context")), F.length("before") - F.instr(F.reverse(F.lower("before")), F.reverse("__context"))).otherwise(-1)
+    best = hit.groupBy("location", "lemma").agg(F.min(F.struct((-place).alias("place"), F.col("__entry.entry").alias("entry"))).alias("__best"))
+    return best.select("location", "lemma", F.col("__best.entry").alias("entry"))
 
 
 def note_targets(notes: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Checks, links and streams on small cases."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from quire.operators import integrity, publish, quality
-from quire.sources import xml
+from quire.sources import conf, xml
 from quire.streaming.sessions import new_findings, session_counts
 
 
@@ -73,3 +75,20 @@ def test_streams(spark, tmp_path):
     assert closed and all(whole[k] == n for k, n in closed.items()) and len(whole) == 4
     told = rows.selectExpr("'E' AS severity", "'c' AS check", "CAST(user_id AS string) AS location", "'m' AS message", "ts")
     assert new_findings(told, "ts").count() == 3
+
+
+def test_explicit_links_of_one_name(spark):
+    marks = spark.range(20_000).select(F.col("id").alias("location"), F.lit("Ark").alias("lemma"), F.concat(F.lit("in C"), F.col("id") % 9).alias("before"))
+    entries = spark.range(20_000).select((20_000 - F.col("id")).alias("entry"), F.lit("ark").alias("name"), F.concat(F.lit("c"), F.col("id") % 7).alias("context"))
+    want = {i: min(e for e in range(1, 20_001) if i % 9 > 6 or (20_000 - e) % 7 == i % 9) for i in range(9)}
+    began = time.time()
+    got = quality.explicit_links(marks, entries).collect()
+    assert len(got) == 20_000 and all(r.entry == want[r.location % 9] for r in got)
+    assert time.time() - began < 60  # 400 million pairs before
+
+
+def test_default_file_of_ties(spark):
+    rows = [("a", p, 1.0) for p in (7, 3, 9, 5)] + [("a", 1, 2.0), ("a", 2, None), ("a", None, 0.5), ("b", 4, None)]
+    for order in (rows, rows[::-1]):
+        got = conf.default_file(spark.createDataFrame(order, "name string, path long, priority double").repartition(3)).collect()
+        assert {r.name: r.path for r in got} == {"a": 3, "b": None}
