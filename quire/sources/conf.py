@@ -63,8 +63,10 @@ def text_of(conf: DataFrame, defaults: DataFrame | None = None) -> DataFrame:
 
 
 def default_file(files: DataFrame, name: str = "name") -> DataFrame:
-    """SC18: of files (name, path, priority) the one in the directory that comes first."""
-    return files.groupBy(name).agg(F.min_by("path", "priority").alias("path"))
+    """SC18: of files (name, path, priority) the one in the directory that comes first; of several there the one with the smallest
+    path. Files without a path or a priority are none."""
+    first = F.when(F.col("priority").isNotNull() & F.col("path").isNotNull(), F.struct("priority", "path"))
+    return files.groupBy(name).agg(F.min(first)["path"].alias("path"))
 
 
 def with_defaults(settings: DataFrame, defaults: DataFrame) -> DataFrame:
