@@ -56,13 +56,30 @@ def expand(df: DataFrame, low: str, high: str, name: str) -> DataFrame:
     return df.filter(F.col(low) <= F.col(high)).select("*", F.explode(F.sequence(low, high)).alias(name))
 
 
+#: Ordinals of a block, and rows of a task on average.
+BLOCK, TASK = 2**16, 2**18
+
+
 def compress(df: DataFrame, by: Sequence[str], ordinal: str, breaks: Sequence[str] = ()) -> DataFrame:
     """RG3: gaps and islands: runs of consecutive ordinals as (by, lo, hi, n). breaks: columns that a run never crosses
-    (chapters, say). Repeated ordinals count once."""
+    (chapters, say). Repeated ordinals count once; a null ordinal is a run of its own.
+
+    A key's ordinals are cut into blocks, each ordered on its own, so a task's rows have a bound (rows are counted first) and a large
+    key is no task of its own. Only runs that touch the end of a block are put together across blocks: two a block at most."""
     keys = [*by, *breaks]
-    once = df.select(*keys, ordinal).distinct()
-    grp = F.col(ordinal) - F.row_number().over(Window.partitionBy(*keys).orderBy(ordinal))
-    return once.withColumn("__g", grp).groupBy(*keys, "__g").agg(F.min(ordinal).alias("lo"), F.max(ordinal).alias("hi"), F.count("*").alias("n")).drop("__g")
+    rows = df.select(*keys, F.col(ordinal).alias("__o")).withColumn("__b", F.floor(F.col("__o") / BLOCK))
+    tasks = -(-rows.count() // TASK) or 1
+    w = Window.partitionBy(*keys, "__b").orderBy("__o")
+    o, before, behind = F.col("__o"), F.lag("__o").over(w), F.lead("__o").over(w)
+    first, last = before.isNull() | (o > before + 1), F.lead(F.lit(1)).over(w).isNull() | (behind > o + 1)
+    marked = rows.repartition(tasks, *keys, "__b").select(*keys, "__b", "__o", F.when(first, o).alias("__first"), last.alias("__last"))
+    begun = marked.withColumn("lo", F.last("__first", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = begun.filter("__last").select(*keys, "lo", F.col("__o").alias("hi"), F.coalesce(F.col("__o") - F.col("lo") + 1, F.lit(1)).cast("long").alias("n"))
+    at_edge = F.coalesce((F.pmod("lo", F.lit(BLOCK)) == 0) | (F.pmod("hi", F.lit(BLOCK)) == BLOCK - 1), F.lit(False))
+    e = Window.partitionBy(*keys).orderBy("lo")
+    edges = runs.filter(at_edge).withColumn("__new", F.when(F.col("lo") == F.lag("hi").over(e) + 1, 0).otherwise(1)).withColumn("__run", F.sum("__new").over(e))
+    joined = edges.groupBy(*keys, "__run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")).drop("__run")
+    return runs.filter(~at_edge).unionByName(joined)
 
 
 def heal(df: DataFrame, by: Sequence[str], ordinal: str) -> DataFrame:

@@ -205,3 +205,31 @@ def test_paths_and_collation(spark):
     assert [r[0] for r in df.select(T.relative_path(F.col("s"), F.col("t"))).collect()] == ["../d/e.html#x", "#y"]
     words = spark.createDataFrame([("cb",), ("chb",), ("ca",), ("b",)], "w string")
     assert [r.w for r in words.orderBy(T.sort_key(F.col("w"), ["b", "c", "ch", "a"])).collect()] == ["b", "cb", "ca", "chb"]
+
+
+def test_runs_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "BLOCK", 4)
+    monkeypatch.setattr(ranges, "TASK", 16)
+    held = {"a": [*range(-9, 30), 40, 41, 43, 44, 45, 47, 48], "b": [3, 4, 8, 9, 10, 11, 12, 15, 16], "c": [7], None: [3, 4, 5]}
+    rows = [(k, n) for k, ns in held.items() for n in ns + ns[::2]] + [("c", None), ("c", None)]
+    want = []
+    for k, ns in held.items():
+        starts = [n for n in ns if n - 1 not in ns]
+        want += [(k, s, next(n for n in range(s, 99) if n + 1 not in ns)) for s in starts]
+    df = ranges.compress(spark.createDataFrame(rows, "k string, n long"), ["k"], "n")
+    assert df.columns == ["k", "lo", "hi", "n"]
+    assert sorted(map(str, df.collect())) == sorted([f"Row(k={k!r}, lo={a}, hi={b}, n={b - a + 1})" for k, a, b in want] + ["Row(k='c', lo=None, hi=None, n=1)"])
+
+
+def test_html_of_one_partition_is_dealt_out(spark):
+    pages = spark.range(0, 500, 1, 1).select("id", F.lit("<body><p>a</p></body>").alias("html"))
+    events = html.html_events(pages, "id", "html")
+    assert events.count() == 2500 and events.select("id", F.spark_partition_id().alias("p")).select("p").distinct().count() > 8
+
+
+def test_links_packed_in_slices(spark):
+    texts = [None if i % 9 == 4 else "nothing" if i % 9 == 5 else f"see Genesis {i % 40 + 1}:2-3; 4" for i in range(3 * references.SLICE + 5)]
+    s = references.Settings({"Genesis": "Gen"})
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    got = {r.i: [x.ref for x in r.links] for r in references.link_references(df, "t", s).collect()}
+    assert got == {i: [x["ref"] for x in references.find(references.Grammar(s), t)] if t else [] for i, t in enumerate(texts)}
