@@ -112,6 +112,13 @@ def bounded_collections(books: DataFrame, by: str, order: str, size: str, most:
     return out.select("row_.*", F.col("collection").cast("int").alias("collection"))
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt over tasks by columns' hashes, for what costs far more than the exchange: a packed file of many small rows may come as
+    one task. Adaptive execution leaves this number of tasks as it is."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *by)
+
+
 def batches(df: DataFrame, by: list[str], order: list[str], rows: int) -> DataFrame:
     """SK9: numbers batches of so many rows within a partition key, for writing with partitionBy("batch")."""
     return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / rows).cast("long"))

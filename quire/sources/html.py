@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.plans.graph import dealt
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -68,7 +70,7 @@ def html_events(pages: DataFrame, key: str, html: str) -> DataFrame:
             yield pd.DataFrame(out, columns=["key", "seq", "kind", "name", "value"])
 
     kind = pages.schema[key].dataType.simpleString()
-    return pages.selectExpr(f"`{key}` AS key", f"`{html}` AS html").mapInPandas(run, f"key {kind}, seq int, kind string, name string, value string").withColumnRenamed("key", key)
+    return dealt(pages.selectExpr(f"`{key}` AS key", f"`{html}` AS html"), "key", "html").mapInPandas(run, f"key {kind}, seq int, kind string, name string, value string").withColumnRenamed("key", key)
 
 
 def note_pairs(events: DataFrame, key: str) -> DataFrame:
