@@ -10,13 +10,15 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Books of one chapter.
 ONE_CHAPTER = ("Obad", "Phlm", "Jude", "2John", "3John")
 MOST_FIXES = 100_000
+SLICE = 64
+DIGIT = re.compile("\\d")
 LINK = "array<struct<start:int,end:int,text:string,type:string,book:string,ch:int,vs:int,lv:int,ref:string,status:string>>"
 
 
@@ -189,7 +191,8 @@ def find(g: Grammar, text: str, book: str | None = None, ch: int | None = None,
 def link_references(df: DataFrame, text: str, settings: Settings, book: str | None = None, ch: str | None = None, fixes: DataFrame | None = None) -> DataFrame:
     """AN1-AN4/UX8: df with `links`, an array of links of each text. book, ch: columns of the text's own place. fixes: a small table (found, instead).
 
-    Texts without a digit never reach Python's grammar."""
+    Texts without a digit never reach Python's grammar. Texts are taken from their batch one by one, and links packed every SLICE
+    texts, so a task holds one batch as it came, and few Python objects."""
     table = None
     if fixes is not None:
         rows = fixes.limit(MOST_FIXES + 1).collect()
@@ -199,14 +202,20 @@ def link_references(df: DataFrame, text: str, settings: Settings, book: str | No
 
     made: list[Grammar] = []  # of a task: its batches share it
 
-    @F.pandas_udf(LINK)
-    def run(t: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+    @F.arrow_udf(LINK)
+    def run(t: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
         if not made:
             made.append(Grammar(settings))
         g = made[0]
-        names = ("start", "end", "text", "type", "book", "ch", "vs", "lv", "ref", "status")
-        one = lambda x, bk, n: [] if x is None or not any(k.isdigit() for k in x) else [{k: r[k] for k in names} for r in find(g, x, bk, None if n is None or n != n else int(n), table)]
-        return pd.Series([one(x, bk, n) for x, bk, n in zip(t, b, c, strict=True)])
+        numbers, kind = {"start", "end", "ch", "vs", "lv"}, ("start", "end", "text", "type", "book", "ch", "vs", "lv", "ref", "status")
+        links = pa.list_(pa.struct([(k, pa.int32() if k in numbers else pa.string()) for k in kind]))
+
+        def one(n: int) -> list[dict]:
+            text = t[n].as_py()
+            return [] if text is None or not DIGIT.search(text) else find(g, text, b[n].as_py(), c[n].as_py(), table)
+
+        parts = [pa.array([one(n) for n in range(k, min(k + SLICE, len(t)))], links) for k in range(0, len(t), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], links)
 
     null = lambda kind: F.lit(None).cast(kind)
     # not repeated in filters that an explode of the links would infer below the exchange
