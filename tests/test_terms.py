@@ -73,3 +73,33 @@ def test_links_are_in_document_order(spark):
     df = spark.createDataFrame([("c", 2, "the house", None, None, False), ("c", 1, "a House, the houses", None, None, False), ("d", 1, None, None, None, False), ("d", 2, "the", None, None, True)], "c string, seq long, text string, atom string, testament string, in_keyword boolean")
     got = sorted((x.c, x.seq, x.start, x.end, x.entry, x.text) for x in terms.link_terms(df, rules, ["c"]).collect())
     assert got == [("c", 1, 2, 8, "House", "House,"), ("c", 1, 9, 12, "The", "the")]
+
+
+def test_literal_rules_at_the_ends_of_stretches():
+    rnd = random.Random(5)
+    shapes = [r"/\b(%s)\b/", r"/(%s)/i", r"/\b(%s)/", r"/\B(%s)\b/i", r"/(%s)\B/", r"/%s/", r"/\b(\w*%s)\b/", r"/(%s\w+)/i"]
+    for _ in range(400):
+        pick = lambda: rnd.choice(shapes) % rnd.choice(["ab", "abc", "b", "bc", "ca", "a b", "Ab", "c"])
+        rules = [terms.Rule(f"e{rnd.randrange(4)}", "", pick(), multiple=rnd.choice(["false", "match", "true"]), dont_link=rnd.random() < 0.1) for _ in range(5)]
+        rows = [(s, "".join(rnd.choice("abcABC  .") for _ in range(50)), None, None, False) for s in range(2)]
+        assert terms.link_context(rows, terms.Index.of(rules)) == every_rule(rows, rules)
+
+
+def test_a_long_text_of_many_terms():
+    index = terms.Index.of([terms.Rule(f"w{i}", "", f"/\\b(\\Qterm{i:03}\\E)\\b/", multiple="match") for i in range(500)])
+    # each stem stands in longer words too, where it is no match
+    text = " ".join(f"term{i * 7 % 500:03} term{i * 11 % 500:03}s" for i in range(10_000))
+    began = time.time()
+    assert len(terms.link_context([(0, text, None, None, False)], index)) == 500
+    assert time.time() - began < 10
+
+
+def test_many_small_contexts_in_one_pass(spark):
+    rows = [(k, n, "an ark of Arks, an ark", None, None, False) for k in (*range(40), None) for n in (2, 1, 3)]
+    texts = spark.createDataFrame(rows, "k long, seq int, text string, atom string, testament string, in_keyword boolean")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # contexts are cut by batches
+    got = terms.link_terms(texts, [terms.Rule("Ark", "D", r"/\b(ark)\b/")], ["k"])
+    assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(f"Row(k={k}, seq=1, start=3, end=6, entry='Ark', ref='D', text='ark')" for k in (*range(40), None))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
