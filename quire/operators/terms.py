@@ -92,7 +92,7 @@ def stem(p: re.Pattern) -> str:
 
     best, run = "", ""
     for c in (*parts(parser.parse(p.pattern, p.flags)), None):
-        if c is not None and _plain(c):
+        if c is not None and (not p.flags & re.I or _plain(c)):
             run += c
         else:
             best, run = max(best, run, key=len), ""
@@ -111,7 +111,7 @@ def literal(p: re.Pattern) -> bool:
     def length(items: Sequence) -> int | None:
         n = 0
         for what, value in items:
-            if what is op.LITERAL and _plain(chr(value)):
+            if what is op.LITERAL and (not p.flags & re.I or _plain(chr(value))):
                 n += 1
             elif what is op.SUBPATTERN and not value[1] and not value[2]:
                 inner = length(value[3])
