@@ -9,17 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.ranges import in_range
 from quire.plans.graph import checkpoints
 
 SHAPE = "^VSYS_([A-Z_]+):\\s*([A-Za-z0-9]+)\\.(\\d+)(?:\\.(\\d+))?(?:\\.(\\d+|PART))?(?:\\s*->\\s*([A-Za-z0-9]+)\\.(\\d+)(?:\\.(\\d+))?(?:\\.(\\d+))?)?\\s*$"
+#: Stands between the groups of a line; no line that fits SHAPE holds it.
+CUT = "\x1f"
 
 
 def instructions(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """VM1/VM10: VSYS_ lines as (seq, op, book, ch, vs, lv, partial, to_book, to_ch, to_vs, to_lv, valid)."""
-    g = lambda i: F.nullif(F.regexp_extract(raw, SHAPE, i), F.lit(""))
-    num = lambda i: F.expr(f"try_cast(nullif(regexp_extract({raw}, '{SHAPE.replace(chr(92), chr(92) * 2)}', {i}), '') AS int)")
-    rows = lines.filter(F.col(raw).startswith("VSYS_")).select("line_no", g(1).alias("op"), g(2).alias("book"), num(3).alias("ch"), num(4).alias("vs"), num(5).alias("lv"), (g(5) == "PART").alias("partial"), g(6).alias("to_book"), num(7).alias("to_ch"), num(8).alias("to_vs"), num(9).alias("to_lv"))
+    # a line is matched once: its groups in a row, taken apart; the explode keeps filters from matching it anew
+    groups = F.split(F.regexp_replace(F.col(raw), SHAPE, "".join(f"${i}{CUT}" for i in range(1, 10))), CUT)
+    read = lines.filter(F.col(raw).startswith("VSYS_")).select("line_no", F.explode(F.array(F.when(~F.contains(F.col(raw), F.lit(CUT)), groups))).alias("__g"))
+    g = lambda i: F.when(F.size("__g") == 10, F.nullif(F.get("__g", F.lit(i - 1)), F.lit("")))
+    num = lambda i: g(i).try_cast("int")
+    rows = read.select("line_no", g(1).alias("op"), g(2).alias("book"), num(3).alias("ch"), num(4).alias("vs"), num(5).alias("lv"), (g(5) == "PART").alias("partial"), g(6).alias("to_book"), num(7).alias("to_ch"), num(8).alias("to_vs"), num(9).alias("to_lv"))
     last = lambda a, b: F.coalesce(b, a)
     counts = (last(F.col("vs"), F.col("lv")) - F.col("vs")).eqNullSafe(last(F.col("to_vs"), F.col("to_lv")) - F.col("to_vs"))
     return rows.withColumn("lv", last(F.col("vs"), F.col("lv"))).withColumn("partial", F.coalesce("partial", F.lit(False))).withColumn("valid", F.col("op").isNotNull() & (F.col("to_book").isNull() | counts) & (F.col("lv").isNull() | (F.col("lv") >= F.col("vs"))))
@@ -125,26 +129,30 @@ def verse_maps(index: DataFrame, inst: DataFrame, source: DataFrame | None = Non
     map is one to one. alt_label: the source's number where it is another, with the chapter's if that is another too.
     source: (book, ch, vs) of the source's chapters, for EXTRA of a whole chapter at a book's end.
 
-    No join is a broadcast: the planner takes the size of a packed file for that of the verses made from it, which the driver would get."""
+    No join is a broadcast: the planner takes the size of a packed file for that of the verses made from it, which the driver would get.
+    Verses meet their interval in one ordered line of both (see _standing()), not by a join."""
     checkpoints(index.sparkSession)
     rows = primitives(inst, index, source).checkpoint()
     pieces, later = map_pieces(index, rows)
-    top = index.agg(F.max("vs")).first()[0] or 0
-    ended = lambda intervals: intervals.withColumn("low", F.coalesce("low", F.lit(0))).withColumn("high", F.coalesce("high", F.lit(top)))
-    placed = in_range(index.select("book", "ch", "vs"), ended(pieces), "vs", "low", "high", ["book", "ch"], top + 1).select("book", "ch", "vs", F.when(~F.col("gone"), F.col("src_ch")).alias("src_ch"), F.when(~F.col("gone"), F.col("vs") - F.col("base")).alias("place"))
-    placed = placed.checkpoint()
-    shifts = in_range(placed.select("book", "src_ch", "place"), ended(later), "place", "low", "high", ["book", "src_ch"], top + 1).select("book", "src_ch", "place", "by")
-    found = placed.join(shifts.hint("merge"), ["book", "src_ch", "place"], "left").select("book", "ch", "vs", "src_ch", (F.col("place") + F.coalesce("by", F.lit(0))).cast("int").alias("src_vs")).checkpoint()
+    placed = _standing(index.select("book", "ch", "vs").na.drop(), pieces.select("book", "ch", "low", F.struct("gone", "src_ch", "base").alias("said")), ["book", "ch"], "vs")
+    kept = lambda c: F.when(~F.col("said.gone"), c)
+    placed = placed.select("book", "ch", "vs", kept(F.col("said.src_ch")).alias("src_ch"), kept(F.col("vs") - F.col("said.base")).alias("place"))
+    # verses without a source stay with their chapter; extra verses say nothing of them
+    placed = placed.withColumn("group", F.coalesce("src_ch", -F.col("ch")))
+    shifted = _standing(placed, later.select("book", F.col("src_ch").alias("group"), "low", F.struct("by").alias("said")), ["book", "group"], "place")
+    found = shifted.select("book", "ch", "vs", "src_ch", (F.col("place") + F.coalesce("said.by", F.lit(0))).cast("int").alias("src_vs")).checkpoint()
     numbered = found.filter("src_vs IS NOT NULL")
     # a missing verse has the source of the last one before it in its chapter, else of the first behind it
     w = Window.partitionBy("book", "ch").orderBy("vs")
     src = F.when(F.col("src_vs").isNotNull(), F.struct(F.col("book").alias("b"), F.col("src_ch").alias("c"), F.col("src_vs").alias("v")))
     near = F.coalesce(F.last(src, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(src, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    near = found.withColumn("near", near)
     # what a FROM_TO says
     targets = rows.filter("op = 'FROM_TO' AND NOT partial AND to_book IS NOT NULL").select("book", "ch", F.explode(F.sequence("vs", "lv")).alias("vs"), F.col("vs").alias("__first"), "to_book", "to_ch", "to_vs")
     targets = targets.groupBy("book", "ch", "vs").agg(F.min(F.struct(F.col("to_book").alias("b"), F.col("to_ch").alias("c"), (F.col("to_vs") + F.col("vs") - F.col("__first")).alias("v"))).alias("target"))
-    told = near.join(targets.hint("merge"), ["book", "ch", "vs"], "left").withColumn("lost", F.col("src_vs").isNull() & F.col("target").isNull()).withColumn("src", F.coalesce("target", "near"))
+    # in one exchange with the line of near verses
+    both = found.withColumn("here", F.lit(True)).unionByName(targets.withColumn("here", F.lit(False)), allowMissingColumns=True)
+    both = both.withColumn("target", F.first("target", ignorenulls=True).over(Window.partitionBy("book", "ch", "vs"))).filter("here")
+    told = both.withColumn("near", near).withColumn("lost", F.col("src_vs").isNull() & F.col("target").isNull()).withColumn("src", F.coalesce("target", "near"))
     fixed, source_id = _ident(F.col("book"), F.col("ch"), F.col("vs")), _ident(F.col("src.b"), F.col("src.c"), F.col("src.v"))
     status = F.when(F.col("lost"), "missing").when(fixed == source_id, "same").otherwise("moved")
     label = F.when(status == "moved", F.concat(F.lit("("), F.when(F.col("src.c") != F.col("ch"), F.concat(F.col("src.c").cast("string"), F.lit(":"))).otherwise(""), F.col("src.v").cast("string"), F.lit(")")))
@@ -161,6 +169,14 @@ def verse_maps(index: DataFrame, inst: DataFrame, source: DataFrame | None = Non
     return told.unionByName(hosted.select(F.col("host").alias("fixed_id"), _ident(F.col("book"), F.col("src_ch"), F.col("src_vs")).alias("src_id"), F.lit(None).cast("string").alias("alt_label"), F.lit("extra").alias("status")))
 
 
+def _standing(points: DataFrame, pieces: DataFrame, by: list[str], at: str) -> DataFrame:
+    """points (by, at and more) with `said` of the piece (by, low, said) that each stands in: of those of its group the last that begins
+    at or before it, or null before the first. A piece without low begins before all points. One exchange of both, and no row more."""
+    line = points.withColumn("__point", F.lit(1)).unionByName(pieces.select(*by, F.col("low").alias(at), "said", F.lit(0).alias("__point")), allowMissingColumns=True)
+    w = Window.partitionBy(*by).orderBy(F.asc_nulls_first(at), "__point").rowsBetween(Window.unboundedPreceding, 0)
+    return line.withColumn("said", F.last("said", ignorenulls=True).over(w)).filter("__point = 1").drop("__point")
+
+
 def _ident(book: Column, ch: Column, vs: Column) -> Column:
     return F.concat_ws(".", book, ch.cast("string"), vs.cast("string"))
 

@@ -185,3 +185,21 @@ def test_verse_maps_broadcast_nothing(spark):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     points, spans = index.select("vs"), index.select((F.col("vs") - 1).alias("a"), F.col("vs").alias("b"))
     assert "Broadcast" not in plan(verses.verse_maps(index, inst)) and "Broadcast" not in plan(ranges.in_range(points, spans, "vs", "a", "b", longest=2))
+
+
+def test_lines_of_instructions_are_matched_once(spark):
+    lines = spark.createDataFrame([(1, "VSYS_MISSING: A.1.3.4"), (2, "VSYS_EXTRA: A.1.5.PART"), (3, "VSYS_MISSING: A\x1f1"), (4, "VSYS_x"), (5, "VSYS_EMPTY: A.2\u2028"), (6, None)], "line_no int, raw string")
+    inst = verses.instructions(lines)
+    said = inst.filter("valid")._jdf.queryExecution().optimizedPlan().toString()
+    assert said.count("regexp_") == 1 and said.count("RegExp") == 0
+    assert [tuple(r)[:7] for r in inst.orderBy("line_no").collect()] == [
+        (1, "MISSING", "A", 1, 3, 4, False), (2, "EXTRA", "A", 1, 5, 5, True), (3, None, None, None, None, None, False), (4, None, None, None, None, None, False), (5, "EMPTY", "A", 2, None, None, False),
+    ]
+
+
+def test_points_stand_in_the_last_piece_before_them(spark):
+    points = spark.createDataFrame([("a", n, f"p{n}") for n in range(5)] + [("b", 1, "q"), (None, 1, "r")], "g string, n int, more string")
+    pieces = spark.createDataFrame([("a", 1, 10), ("a", 3, 30), ("b", None, 0), ("c", 1, 5)], "g string, low int, x int").select("g", "low", F.struct("x").alias("said"))
+    got = verses._standing(points, pieces, ["g"], "n")
+    assert {(r.g, r.n, r.more, r.said and r.said.x) for r in got.collect()} == {("a", 0, "p0", None), ("a", 1, "p1", 10), ("a", 2, "p2", 10), ("a", 3, "p3", 30), ("a", 4, "p4", 30), ("b", 1, "q", 0), (None, 1, "r", None)}
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
