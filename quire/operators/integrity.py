@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.ranges import in_range
+from quire.operators.scan import Scan, ordered
+from quire.plans.graph import checkpoints
 
 
 def dangling(refs: DataFrame, ids: DataFrame, ref: str, ident: str) -> DataFrame:
@@ -15,11 +17,36 @@ def dangling(refs: DataFrame, ids: DataFrame, ref: str, ident: str) -> DataFrame
     return refs.join(ids.select(F.col(ident).alias("__id")).distinct(), F.col(ref) == F.col("__id"), "left_anti")
 
 
+#: References of a key that meet so many targets in one piece of work, and tasks of such pieces at most. The codecs of columnar files find
+#: a block of targets again if it is short.
+REFS, TARGETS, TASKS = 16384, 1024, 10_000
+
+
 def lookup(refs: DataFrame, targets: DataFrame, ref: str, ident: str) -> DataFrame:
-    """JN1: keyed lookup on a list-valued key: both sides exploded, then an equi-join."""
+    """JN1: keyed lookup on a list-valued key: both sides exploded, then an equi-join; a row for every match.
+
+    A key with more matches than two blocks make is no task of its own: its rows are dealt over blocks on each side, and every block
+    meets every block of the other side, so a piece of work has REFS * TARGETS matches at most. A row of refs comes with its block of targets
+    in turn, again and again the same, which packs well. Keys are counted first; if none has so many matches, the rest is one lazy join."""
     left = refs.withColumn("__k", F.explode(F.split(F.trim(F.col(ref)), "\\s+")))
     right = targets.withColumn("__k", F.explode(F.split(F.trim(F.col(ident)), "\\s+")))
-    return left.join(right, "__k").drop("__k")
+    counts = left.groupBy("__k").agg(F.count("*").alias("__n")).join(right.groupBy("__k").agg(F.count("*").alias("__m")), "__k")
+    blocks = lambda n, size: F.ceil(F.col(n) / size).cast("int").alias(n)
+    hot = counts.filter(F.col("__n").cast("double") * F.col("__m") > REFS * TARGETS).select("__k", blocks("__n", REFS), blocks("__m", TARGETS))
+    if not (pieces := hot.agg(F.sum(F.col("__n").cast("double") * F.col("__m"))).first()[0]):
+        return left.join(right, "__k").drop("__k")
+    checkpoints(refs.sparkSession)
+    hot = hot.checkpoint()
+
+    def dealt(side: DataFrame, size: int, own: str, other: str, others: str) -> DataFrame:
+        # a written table, since rows may have other numbers when a task runs again
+        rows = side.join(hot, "__k").withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+        rows = ordered(rows, ["__k"], ["__id"], {"__at": Scan("number")}).withColumn(own, F.floor((F.col("__at") - 1) / size).cast("int"))
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+        return rows.select(*side.columns, "__i", "__j").repartition(int(min(pieces, TASKS)), "__k", "__i", "__j")
+
+    met = dealt(left, REFS, "__i", "__j", "__m").join(dealt(right, TARGETS, "__j", "__i", "__n").hint("merge"), ["__k", "__i", "__j"]).drop("__i", "__j")
+    return left.join(hot, "__k", "left_anti").join(right, "__k").unionByName(met).drop("__k")
 
 
 def duplicate_ids(df: DataFrame, ident: Column | str, name: str = "n") -> DataFrame:

@@ -203,3 +203,19 @@ def test_points_stand_in_the_last_piece_before_them(spark):
     got = verses._standing(points, pieces, ["g"], "n")
     assert {(r.g, r.n, r.more, r.said and r.said.x) for r in got.collect()} == {("a", 0, "p0", None), ("a", 1, "p1", 10), ("a", 2, "p2", 10), ("a", 3, "p3", 30), ("a", 4, "p4", 30), ("b", 1, "q", 0), (None, 1, "r", None)}
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_deals_a_hot_key_over_tasks(spark, monkeypatch):
+    for name, n in (("REFS", 16), ("TARGETS", 4)):
+        monkeypatch.setattr(integrity, name, n, raising=False)
+    refs = [(i % 90, "hot x") for i in range(100)] + [(200, "cold  hot"), (201, "warm"), (202, None), (203, "")]
+    targets = [(i % 45, "other hot") for i in range(50)] + [(60, "cold"), (61, "warm"), (61, "warm"), (62, None)]
+    got = integrity.lookup(spark.createDataFrame(refs, "r int, ref string"), spark.createDataFrame(targets, "t int, ident string"), "ref", "ident")
+    assert got.columns == ["r", "ref", "t", "ident"]
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    want = sorted((r, t) for r, a in refs for t, b in targets for x in (a or "").split() for y in (b or "").split() if x == y)
+    assert sorted((x.r, x.t) for x in rows) == want and len(want) == 101 * 50 + 3
+    tasks = defaultdict(int)
+    for x in rows:
+        tasks[x.task] += 1
+    assert max(tasks.values()) < len(want) / 4  # a hot key was one task's
