@@ -219,3 +219,22 @@ def test_lookup_deals_a_hot_key_over_tasks(spark, monkeypatch):
     for x in rows:
         tasks[x.task] += 1
     assert max(tasks.values()) < len(want) / 4  # a hot key was one task's
+
+
+def test_runs_within_chapters_in_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "BLOCK", 16)
+    monkeypatch.setattr(ranges, "TASK", 32)
+    r = random.Random(5)
+    rows = [(g, n) for g in "ab" for n in r.sample(range(-100, 400), 350)] * 2
+    df = spark.createDataFrame(rows, "g string, n long").withColumn("ch", F.floor(F.col("n") / 10))
+    got = ranges.compress(df, ["g"], "n", ["ch"])
+    want, there = set(), set(rows)
+    for g, n in there:
+        if n % 10 == 0 or (g, n - 1) not in there:
+            end = n
+            while end % 10 < 9 and (g, end + 1) in there:
+                end += 1
+            want.add((g, n // 10, n, end, end - n + 1))
+    found = got.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((x.g, x.ch, x.lo, x.hi, x.n) for x in found) == sorted(want)
+    assert len({x.task for x in found}) > len(rows) / 32 / 2  # small exchanges came as one task
