@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from quire.plans.graph import dealt
 
+#: The characters that stand around a text and are no part of it: all of Unicode's spaces. Within a text only ASCII ones are folded.
+_SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -22,14 +25,24 @@ def page_links(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 class _Reader(HTMLParser):
-    """Body text runs with the stack of open tags, comments and scripts left out."""
+    """Body text runs with the stack of open tags, comments and scripts left out. entities: what is decoded in texts, None for all of
+    HTML's, in attributes too."""
 
-    def __init__(self) -> None:
+    def __init__(self, entities: Mapping[str, str] | None = None) -> None:
         super().__init__(convert_charrefs=True)
+        self.entities = entities
+        # longer names first: `&amp;` is not `&amp` and a semicolon
+        self.known = entities and re.compile("|".join(re.escape(x) for x in sorted(entities, key=len, reverse=True)))
         self.stack: list[str] = []
         self.rows: list[tuple[int, str, str, str]] = []
         self.inside = False
 
+    def read(self, page: str) -> list[tuple[int, str, str, str]]:
+        # with its ampersands escaped a page comes back from the parser as it was written
+        self.feed(page if self.entities is None else page.replace("&", "&amp;"))
+        self.close()
+        return self.rows
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "body":
             self.inside = True
@@ -49,24 +62,26 @@ class _Reader(HTMLParser):
             self.inside = False
 
     def handle_data(self, data: str) -> None:
-        text = " ".join(data.split())
+        if self.known:
+            data = self.known.sub(lambda m: self.entities[m[0]], data)
+        text = re.sub("[ \t\r\n]+", " ", data).strip(_SPACES)
         if self.inside and text and not {"script", "style"} & {*self.stack}:
             # AN13: the style key of a run: open inline tags, distinct and sorted
             self.rows.append((len(self.rows), "text", "+".join(sorted({*self.stack} - {"html", "body"})), text))
 
 
-def html_events(pages: DataFrame, key: str, html: str) -> DataFrame:
+def html_events(pages: DataFrame, key: str, html: str, entities: Mapping[str, str] | None = None) -> DataFrame:
     """SC16/AN13: start, end and text events of each page's body: (key, seq, kind, name, value). name is the tag, or a text
-    run's style key; value the sorted attributes, or the text."""
+    run's style key; value the sorted attributes, or the text.
+
+    entities: those decoded in texts, as they are written (`&lt;`) and what they stand for; others and attributes stay as they are. Without it
+    all that HTML knows are decoded, also those that it knows without a semicolon (`&quot` at the end of a cut text)."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for k, x in zip(pdf["key"], pdf["html"], strict=True):
-                reader = _Reader()
-                reader.feed(x or "")
-                reader.close()
-                out += [(k, *r) for r in reader.rows]
+                out += [(k, *r) for r in _Reader(entities).read(x or "")]
             yield pd.DataFrame(out, columns=["key", "seq", "kind", "name", "value"])
 
     kind = pages.schema[key].dataType.simpleString()

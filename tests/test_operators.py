@@ -1,5 +1,6 @@
 """Operators on small cases of their own."""
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import integrity, order, publish, ranges, references, terms, verses
 from quire.plans import graph
+from quire.plans.queries import QUERIES, SQL
 from quire.sources import commands, conf, html, xml
 
 CANON = [("S", "A", 1, "OT", 1, 3), ("S", "A", 1, "OT", 2, 2), ("S", "B", 2, "NT", 1, 4)]
@@ -227,6 +229,20 @@ def test_html_of_one_partition_is_dealt_out(spark):
     assert events.count() == 2500 and events.select("id", F.spark_partition_id().alias("p")).select("p").distinct().count() > 8
 
 
+def test_html_entities_as_written(spark, tmp_path):
+    odd = ["cut &quot", "cut &amp", "&quot;a&quot; &amp;lt; &lt;&nbsp;&#39;&copy &copy;", "a\u00a0 b\x0bc\u3000", "&", "\u00a0", 'x<a href="?a=1&amp;b=2&copy">y</a>z &am']
+    rows = [(i, f"<html><body><p>{x}</p></body></html>") for i, x in enumerate(odd)] + [(90, "<html><body><p>cut here &quot"), (91, None), (92, "&quot")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = db.execute(SQL["html_events"]).fetchall()
+    assert (90, 2, "text", "p", "cut here &quot") in want
+    assert sorted(map(tuple, QUERIES["html_events"](spark, str(tmp_path)).collect())) == sorted(want)
+    # without names all that HTML knows are decoded, as before
+    said = html.html_events(spark.createDataFrame(rows[:1], "k long, h string"), "k", "h").filter("kind = 'text'").collect()
+    assert [r.value for r in said] == ['cut "']
+
+
 def test_links_packed_in_slices(spark):
     texts = [None if i % 9 == 4 else "nothing" if i % 9 == 5 else f"see Genesis {i % 40 + 1}:2-3; 4" for i in range(3 * references.SLICE + 5)]
     s = references.Settings({"Genesis": "Gen"})
