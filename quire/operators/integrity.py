@@ -18,21 +18,23 @@ def dangling(refs: DataFrame, ids: DataFrame, ref: str, ident: str) -> DataFrame
 
 
 #: References of a key that meet so many targets in one piece of work, and tasks of such pieces at most. The codecs of columnar files find
-#: a block of targets again if it is short.
-REFS, TARGETS, TASKS = 16384, 1024, 10_000
+#: a block of targets again if it is short. Pieces are dealt by hash, several to some tasks, so they are small beside what a core makes.
+REFS, TARGETS, TASKS = 2048, 1024, 10_000
+#: A key whose matches would make so many pieces at most stays whole.
+WHOLE = 8
 
 
 def lookup(refs: DataFrame, targets: DataFrame, ref: str, ident: str) -> DataFrame:
     """JN1: keyed lookup on a list-valued key: both sides exploded, then an equi-join; a row for every match.
 
-    A key with more matches than two blocks make is no task of its own: its rows are dealt over blocks on each side, and every block
+    A key with more matches than WHOLE pieces make is no task of its own: its rows are dealt over blocks on each side, and every block
     meets every block of the other side, so a piece of work has REFS * TARGETS matches at most. A row of refs comes with its block of targets
     in turn, again and again the same, which packs well. Keys are counted first; if none has so many matches, the rest is one lazy join."""
     left = refs.withColumn("__k", F.explode(F.split(F.trim(F.col(ref)), "\\s+")))
     right = targets.withColumn("__k", F.explode(F.split(F.trim(F.col(ident)), "\\s+")))
     counts = left.groupBy("__k").agg(F.count("*").alias("__n")).join(right.groupBy("__k").agg(F.count("*").alias("__m")), "__k")
     blocks = lambda n, size: F.ceil(F.col(n) / size).cast("int").alias(n)
-    hot = counts.filter(F.col("__n").cast("double") * F.col("__m") > REFS * TARGETS).select("__k", blocks("__n", REFS), blocks("__m", TARGETS))
+    hot = counts.filter(F.col("__n").cast("double") * F.col("__m") > WHOLE * REFS * TARGETS).select("__k", blocks("__n", REFS), blocks("__m", TARGETS))
     if not (pieces := hot.agg(F.sum(F.col("__n").cast("double") * F.col("__m"))).first()[0]):
         return left.join(right, "__k").drop("__k")
     checkpoints(refs.sparkSession)

@@ -243,6 +243,13 @@ def test_html_entities_as_written(spark, tmp_path):
     assert [r.value for r in said] == ['cut "']
 
 
+def test_lookup_dealt_evenly(spark):
+    refs, targets = spark.range(20_000).select("id", F.lit("a b").alias("ref")), spark.range(2_000).select(F.col("id").alias("t"), F.lit("b c").alias("ident"))
+    got = integrity.lookup(refs, targets, "ref", "ident").groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum("id").alias("i"), F.sum("t").alias("t")).collect()
+    assert sum(r.n for r in got) == 40_000_000 and max(r.n for r in got) < 1 << 23
+    assert sum(r.i for r in got) == 2_000 * sum(range(20_000)) and sum(r.t for r in got) == 20_000 * sum(range(2_000))
+
+
 def test_links_packed_in_slices(spark):
     texts = [None if i % 9 == 4 else "nothing" if i % 9 == 5 else f"see Genesis {i % 40 + 1}:2-3; 4" for i in range(3 * references.SLICE + 5)]
     s = references.Settings({"Genesis": "Gen"})
